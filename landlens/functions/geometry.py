@@ -8,12 +8,16 @@ Representation
 ``shape`` STRUCT derived once per row, the only thing spatial joins carry:
           xmin/ymin/xmax/ymax  bounding box
           area                 |outer| - sum |holes|, summed over parts
-          rect                 single part, single axis-aligned rectangle ring
+          nparts               number of polygon parts
+          rect                 single part, single axis-aligned rectangle ring;
+                               then the bbox IS the geometry and no array is
+                               stored (rows stay small through shuffles)
           rects                ARRAY<rect> when every part is a plain rectangle
                                (exact closed-form fast path), else NULL
           segs                 oriented segments (outer CCW, holes CW) for the
-                               general path; NULL when ``rects`` is set
-          probes               first vertex of each part (point-in-polygon seed)
+                               general path; NULL when rectangles suffice
+          probes               first vertex of each part (point-in-polygon
+                               seed) for the general path
 
 Pair functions pick the cheapest exact path per row with CASE WHEN, which Spark
 evaluates lazily: rectangle pairs never touch the higher-order-function path.
@@ -36,7 +40,7 @@ POINT_T = "struct<x:double,y:double>"
 GEOM_T = f"array<array<array<{POINT_T}>>>"
 RECT_T = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
 SEG_T = "struct<x1:double,y1:double,x2:double,y2:double>"
-SHAPE_T = (f"struct<xmin:double,ymin:double,xmax:double,ymax:double,area:double,"
+SHAPE_T = (f"struct<xmin:double,ymin:double,xmax:double,ymax:double,area:double,nparts:int,"
            f"rect:boolean,rects:array<{RECT_T}>,segs:array<{SEG_T}>,"
            f"probes:array<{POINT_T}>>")
 
@@ -86,23 +90,24 @@ def shape_from_rects(rects: str) -> Column:
         'xmax', array_max(transform({rects}, q -> q.xmax)),
         'ymax', array_max(transform({rects}, q -> q.ymax)),
         'area', aggregate({rects}, 0D, (a, q) -> a + (q.xmax - q.xmin) * (q.ymax - q.ymin)),
+        'nparts', size({rects}),
         'rect', size({rects}) = 1,
-        'rects', {rects},
+        'rects', CASE WHEN size({rects}) <> 1 THEN {rects} END,
         'segs', cast(NULL AS array<{SEG_T}>),
-        'probes', transform({rects}, q -> named_struct('x', q.xmin, 'y', q.ymin)))""")
+        'probes', cast(NULL AS array<{POINT_T}>))""")
 
 
 def shape_from_box(xmin: str, ymin: str, xmax: str, ymax: str) -> Column:
-    """Shape of one rectangle given by four numeric columns (no arrays scanned)."""
+    """Shape of one rectangle given by four numeric columns (scalars only)."""
     return F.expr(f"""named_struct(
         'xmin', cast({xmin} AS double), 'ymin', cast({ymin} AS double),
         'xmax', cast({xmax} AS double), 'ymax', cast({ymax} AS double),
         'area', (cast({xmax} AS double) - {xmin}) * (cast({ymax} AS double) - {ymin}),
+        'nparts', 1,
         'rect', true,
-        'rects', array(named_struct('xmin', cast({xmin} AS double), 'ymin', cast({ymin} AS double),
-                                    'xmax', cast({xmax} AS double), 'ymax', cast({ymax} AS double))),
+        'rects', cast(NULL AS array<{RECT_T}>),
         'segs', cast(NULL AS array<{SEG_T}>),
-        'probes', array(named_struct('x', cast({xmin} AS double), 'y', cast({ymin} AS double))))""")
+        'probes', cast(NULL AS array<{POINT_T}>))""")
 
 
 # ---------------------------------------------------------------------------
@@ -169,15 +174,30 @@ def shape(g: str) -> Column:
         'xmax', array_max(transform({pts}, p -> p.x)),
         'ymax', array_max(transform({pts}, p -> p.y)),
         'area', {area_sql(g)},
+        'nparts', size({g}),
         'rect', size({g}) = 1 AND {all_rect},
-        'rects', CASE WHEN {all_rect} THEN transform({g}, pr -> {_rect_of_ring('pr[0]')}) END,
+        'rects', CASE WHEN size({g}) <> 1 AND {all_rect} THEN transform({g}, pr -> {_rect_of_ring('pr[0]')}) END,
         'segs', CASE WHEN NOT {all_rect} THEN {_oriented_segs_sql(g)} END,
-        'probes', transform({g}, pr -> pr[0][0]))""")
+        'probes', CASE WHEN NOT {all_rect} THEN transform({g}, pr -> pr[0][0]) END)""")
+
+
+def _rects_of(s: str) -> str:
+    """Rectangles of a rectangle-only shape (the bbox for a single one)."""
+    return (f"CASE WHEN {s}.rect THEN array(named_struct('xmin', {s}.xmin, 'ymin', {s}.ymin,"
+            f" 'xmax', {s}.xmax, 'ymax', {s}.ymax)) ELSE {s}.rects END")
+
+
+def _probes_of(s: str) -> str:
+    return f"coalesce({s}.probes, transform({_rects_of(s)}, q -> named_struct('x', q.xmin, 'y', q.ymin)))"
+
+
+def _all_rect(s: str) -> str:
+    return f"({s}.rect OR {s}.rects IS NOT NULL)"
 
 
 def _segs_of(s: str) -> str:
     """Segments of a shape; rectangle shapes get theirs on the fly (CCW)."""
-    return (f"coalesce({s}.segs, flatten(transform({s}.rects, q -> array("
+    return (f"coalesce({s}.segs, flatten(transform({_rects_of(s)}, q -> array("
             f"named_struct('x1', q.xmin, 'y1', q.ymin, 'x2', q.xmax, 'y2', q.ymin),"
             f"named_struct('x1', q.xmax, 'y1', q.ymin, 'x2', q.xmax, 'y2', q.ymax),"
             f"named_struct('x1', q.xmax, 'y1', q.ymax, 'x2', q.xmin, 'y2', q.ymax),"
@@ -229,8 +249,8 @@ def overlap_area_sql(a: str, b: str) -> str:
     """ST_Area(ST_Intersection(a, b)) for two shape structs."""
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b)} THEN 0D"
             f" WHEN {a}.rect AND {b}.rect THEN {_rect_overlap(a, b)}"
-            f" WHEN {a}.rects IS NOT NULL AND {b}.rects IS NOT NULL THEN"
-            f" aggregate({a}.rects, 0D, (acc_p, p) -> acc_p + aggregate({b}.rects, 0D,"
+            f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN"
+            f" aggregate({_rects_of(a)}, 0D, (acc_p, p) -> acc_p + aggregate({_rects_of(b)}, 0D,"
             f" (acc_q, q) -> acc_q + {_rect_overlap('p', 'q')}))"
             f" ELSE {_edge_pair_area(a, b)} END")
 
@@ -258,16 +278,16 @@ def _point_in(p: str, s: str) -> str:
 
 def _general_intersects(a: str, b: str) -> str:
     return (f"(exists({_segs_of(a)}, e -> exists({_segs_of(b)}, f -> {_seg_intersects('e', 'f')}))"
-            f" OR exists({a}.probes, pa -> {_point_in('pa', b)})"
-            f" OR exists({b}.probes, pb -> {_point_in('pb', a)}))")
+            f" OR exists({_probes_of(a)}, pa -> {_point_in('pa', b)})"
+            f" OR exists({_probes_of(b)}, pb -> {_point_in('pb', a)}))")
 
 
 def intersects_sql(a: str, b: str) -> str:
     """ST_Intersects (closed: touching counts)."""
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b)} THEN false"
             f" WHEN {a}.rect AND {b}.rect THEN true"
-            f" WHEN {a}.rects IS NOT NULL AND {b}.rects IS NOT NULL THEN"
-            f" exists({a}.rects, p -> exists({b}.rects, q -> {bbox_intersects_sql('p', 'q')}))"
+            f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN"
+            f" exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {bbox_intersects_sql('p', 'q')}))"
             f" ELSE {_general_intersects(a, b)} END")
 
 
@@ -293,8 +313,8 @@ def dwithin_sql(a: str, b: str, d: float) -> str:
               f" {_pt_seg_d2('f.x1', 'f.y1', 'e')}, {_pt_seg_d2('f.x2', 'f.y2', 'e')})")
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b, d)} THEN false"
             f" WHEN {a}.rect AND {b}.rect THEN {_rect_gap2(a, b)} <= {d2}"
-            f" WHEN {a}.rects IS NOT NULL AND {b}.rects IS NOT NULL THEN"
-            f" exists({a}.rects, p -> exists({b}.rects, q -> {_rect_gap2('p', 'q')} <= {d2}))"
+            f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN"
+            f" exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {_rect_gap2('p', 'q')} <= {d2}))"
             f" ELSE ({_general_intersects(a, b)}"
             f" OR exists({_segs_of(a)}, e -> exists({_segs_of(b)}, f -> {seg_d2} <= {d2}))) END")
 

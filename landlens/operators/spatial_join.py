@@ -30,11 +30,18 @@ from ..functions import geometry as G
 _CELL_SHIFT = 4294967296  # 2^32: pack (cx, cy) into one BIGINT key
 
 
-def _cells_sql(s: str, c: float, d: float) -> str:
-    return (f"flatten(transform(sequence(cast(floor(({s}.xmin - {d}) / {c}) AS bigint),"
-            f" cast(floor(({s}.xmax + {d}) / {c}) AS bigint)), cx ->"
-            f" transform(sequence(cast(floor(({s}.ymin - {d}) / {c}) AS bigint),"
-            f" cast(floor(({s}.ymax + {d}) / {c}) AS bigint)), cy -> cx * {_CELL_SHIFT} + cy)))")
+def _cell_range(s: str, axis: str, c: float, d: float) -> str:
+    lo, hi = f"{s}.{axis}min", f"{s}.{axis}max"
+    return (f"sequence(cast(floor(({lo} - {d}) / {c}) AS bigint),"
+            f" cast(floor(({hi} + {d}) / {c}) AS bigint))")
+
+
+def _explode_cells(df: DataFrame, s: str, c: float, d: float) -> DataFrame:
+    """One row per covered grid cell (two codegen'd explodes, no lambdas)."""
+    return (df.withColumn("_cx", F.explode(F.expr(_cell_range(s, "x", c, d))))
+            .withColumn("_cy", F.explode(F.expr(_cell_range(s, "y", c, d))))
+            .withColumn("_cell", F.col("_cx") * _CELL_SHIFT + F.col("_cy"))
+            .drop("_cx", "_cy"))
 
 
 def _owner_sql(a: str, b: str, c: float, d: float) -> str:
@@ -58,10 +65,8 @@ def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape"
     """
     d = float(distance) if predicate == "dwithin" else 0.0
     c = float(cell)
-    lq = (left.withColumnRenamed(left_shape, "_ls")
-          .withColumn("_cell", F.explode(F.expr(_cells_sql("_ls", c, d)))))
-    rq = (right.withColumnRenamed(right_shape, "_rs")
-          .withColumn("_cell", F.explode(F.expr(_cells_sql("_rs", c, 0.0)))))
+    lq = _explode_cells(left.withColumnRenamed(left_shape, "_ls"), "_ls", c, d)
+    rq = _explode_cells(right.withColumnRenamed(right_shape, "_rs"), "_rs", c, 0.0)
     cond = F.expr(f"_cell = {_owner_sql('_ls', '_rs', c, d)} AND {G.bbox_intersects_sql('_ls', '_rs', d)}")
     pairs = lq.join(rq, ["_cell", *on]).where(cond)
     if predicate == "intersects":

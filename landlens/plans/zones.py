@@ -27,7 +27,7 @@ def zone_base(zoning: DataFrame) -> DataFrame:
                     F.col("hauptnutzung").alias("commune_name"), F.col("typ_kt").alias("zone_type"),
                     F.col("hauptnutzung").alias("primary_use"), "zone_code", "height_limit_m",
                     "density_indice", "shape", F.col("shape.area").alias("area_m2"),
-                    F.size("shape.probes").alias("n_parts")))
+                    F.col("shape.nparts").alias("n_parts")))
 
 
 def _trim_list(col: F.Column) -> F.Column:

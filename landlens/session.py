@@ -40,6 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", memory)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if event_log_dir:
         b = (b.config("spark.eventLog.enabled", "true")
