@@ -45,11 +45,19 @@ SHAPE_T = (f"struct<xmin:double,ymin:double,xmax:double,ymax:double,area:double,
            f"probes:array<{POINT_T}>>")
 
 
-def _sql(c: Column | str) -> str:
-    """Accept a column name / SQL snippet; Columns are bound via a temp name."""
-    if isinstance(c, str):
-        return c
-    raise TypeError("pass SQL text or a column name")
+# Column metadata flag: every row of the shape column is made of axis-aligned
+# rectangles. Spatial joins between two such columns emit only the compact
+# closed-form expressions (small plans, fully code-generated); anything else
+# gets the general exact path.
+RECT_ONLY = "landlens.rect_only"
+
+
+def mark_rect_only(df, col: str = "shape"):
+    return df.withMetadata(col, {RECT_ONLY: True})
+
+
+def is_rect_only(df, col: str = "shape") -> bool:
+    return bool(df.schema[col].metadata.get(RECT_ONLY, False))
 
 
 # ---------------------------------------------------------------------------
@@ -245,13 +253,15 @@ def _edge_pair_area(a: str, b: str) -> str:
             f" + aggregate({_segs_of(b)}, 0D, (acc_f, f) -> acc_f + {term})), 0D)")
 
 
-def overlap_area_sql(a: str, b: str) -> str:
+def overlap_area_sql(a: str, b: str, rect_only: bool = False) -> str:
     """ST_Area(ST_Intersection(a, b)) for two shape structs."""
+    rects = (f"aggregate({_rects_of(a)}, 0D, (acc_p, p) -> acc_p + aggregate({_rects_of(b)}, 0D,"
+             f" (acc_q, q) -> acc_q + {_rect_overlap('p', 'q')}))")
+    if rect_only:
+        return f"CASE WHEN {a}.rect AND {b}.rect THEN {_rect_overlap(a, b)} ELSE {rects} END"
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b)} THEN 0D"
             f" WHEN {a}.rect AND {b}.rect THEN {_rect_overlap(a, b)}"
-            f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN"
-            f" aggregate({_rects_of(a)}, 0D, (acc_p, p) -> acc_p + aggregate({_rects_of(b)}, 0D,"
-            f" (acc_q, q) -> acc_q + {_rect_overlap('p', 'q')}))"
+            f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN {rects}"
             f" ELSE {_edge_pair_area(a, b)} END")
 
 
@@ -282,12 +292,14 @@ def _general_intersects(a: str, b: str) -> str:
             f" OR exists({_probes_of(b)}, pb -> {_point_in('pb', a)}))")
 
 
-def intersects_sql(a: str, b: str) -> str:
+def intersects_sql(a: str, b: str, rect_only: bool = False) -> str:
     """ST_Intersects (closed: touching counts)."""
+    rects = f"exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {bbox_intersects_sql('p', 'q')}))"
+    if rect_only:
+        return f"({bbox_intersects_sql(a, b)} AND (({a}.rect AND {b}.rect) OR {rects}))"
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b)} THEN false"
             f" WHEN {a}.rect AND {b}.rect THEN true"
-            f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN"
-            f" exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {bbox_intersects_sql('p', 'q')}))"
+            f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN {rects}"
             f" ELSE {_general_intersects(a, b)} END")
 
 
@@ -306,9 +318,12 @@ def _rect_gap2(p: str, q: str) -> str:
     return f"({gx} * {gx} + {gy} * {gy})"
 
 
-def dwithin_sql(a: str, b: str, d: float) -> str:
+def dwithin_sql(a: str, b: str, d: float, rect_only: bool = False) -> str:
     """ST_DWithin(a, b, d): planar distance <= d (0 when intersecting)."""
     d2 = float(d) * float(d)
+    if rect_only:
+        return (f"CASE WHEN {a}.rect AND {b}.rect THEN {_rect_gap2(a, b)} <= {d2}"
+                f" ELSE exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {_rect_gap2('p', 'q')} <= {d2})) END")
     seg_d2 = (f"least({_pt_seg_d2('e.x1', 'e.y1', 'f')}, {_pt_seg_d2('e.x2', 'e.y2', 'f')},"
               f" {_pt_seg_d2('f.x1', 'f.y1', 'e')}, {_pt_seg_d2('f.x2', 'f.y2', 'e')})")
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b, d)} THEN false"
@@ -319,27 +334,27 @@ def dwithin_sql(a: str, b: str, d: float) -> str:
             f" OR exists({_segs_of(a)}, e -> exists({_segs_of(b)}, f -> {seg_d2} <= {d2}))) END")
 
 
-def contains_sql(a: str, b: str) -> str:
+def contains_sql(a: str, b: str, rect_only: bool = False) -> str:
     """ST_Contains(a, b) for polygonal b with positive area."""
     return (f"({b}.area > 0 AND {a}.xmin <= {b}.xmin AND {b}.xmax <= {a}.xmax"
             f" AND {a}.ymin <= {b}.ymin AND {b}.ymax <= {a}.ymax"
-            f" AND {overlap_area_sql(a, b)} >= {b}.area - 1e-9 * greatest({b}.area, 1D))")
+            f" AND {overlap_area_sql(a, b, rect_only)} >= {b}.area - 1e-9 * greatest({b}.area, 1D))")
 
 
-def overlap_area(a: str, b: str) -> Column:
-    return F.expr(overlap_area_sql(a, b))
+def overlap_area(a: str, b: str, rect_only: bool = False) -> Column:
+    return F.expr(overlap_area_sql(a, b, rect_only))
 
 
-def intersects(a: str, b: str) -> Column:
-    return F.expr(intersects_sql(a, b))
+def intersects(a: str, b: str, rect_only: bool = False) -> Column:
+    return F.expr(intersects_sql(a, b, rect_only))
 
 
-def dwithin(a: str, b: str, d: float) -> Column:
-    return F.expr(dwithin_sql(a, b, d))
+def dwithin(a: str, b: str, d: float, rect_only: bool = False) -> Column:
+    return F.expr(dwithin_sql(a, b, d, rect_only))
 
 
-def contains(a: str, b: str) -> Column:
-    return F.expr(contains_sql(a, b))
+def contains(a: str, b: str, rect_only: bool = False) -> Column:
+    return F.expr(contains_sql(a, b, rect_only))
 
 
 # ---------------------------------------------------------------------------

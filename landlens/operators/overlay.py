@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from .spatial_join import spatial_join
 
 KIND = "_kind"
@@ -36,6 +37,8 @@ def tagged_union(layers: Mapping[str, DataFrame], columns: Sequence[str] = (),
             sel.append(F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c))
         part = df.select(*sel)
         out = part if out is None else out.unionByName(part)
+    if all(G.is_rect_only(df, shape) for df in layers.values()):
+        out = G.mark_rect_only(out, "shape")
     return out
 
 
@@ -52,7 +55,10 @@ def overlay_summary(targets: DataFrame, key: str, layers: Mapping[str, DataFrame
     and the target ``key``. Targets without any hit get NULL aggregates.
     """
     right = tagged_union(layers, columns)
-    pairs = spatial_join(targets.select(key, F.col(shape).alias("_tshape")), right,
+    left = targets.select(key, F.col(shape).alias("_tshape"))
+    if G.is_rect_only(targets, shape):
+        left = G.mark_rect_only(left, "_tshape")
+    pairs = spatial_join(left, right,
                          left_shape="_tshape", right_shape="shape", with_overlap=True, cell=cell)
     summary = pairs.groupBy(key).agg(*aggs)
     return targets.join(summary, key, "left") if join_back else summary

@@ -61,21 +61,25 @@ def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape"
                equi-join, e.g. a shared use class).
     The shape columns come back as ``_ls`` / ``_rs`` when ``keep_shapes``;
     ``with_overlap`` adds ``overlap_m2`` = ST_Area(ST_Intersection).
+    When both shape columns are marked rectangle-only (column metadata, see
+    ``geometry.mark_rect_only``) only closed-form rectangle expressions are
+    planned; otherwise every pair gets the general exact path.
     Column names of the two sides must be disjoint apart from ``on``.
     """
     d = float(distance) if predicate == "dwithin" else 0.0
     c = float(cell)
+    ro = G.is_rect_only(left, left_shape) and G.is_rect_only(right, right_shape)
     lq = _explode_cells(left.withColumnRenamed(left_shape, "_ls"), "_ls", c, d)
     rq = _explode_cells(right.withColumnRenamed(right_shape, "_rs"), "_rs", c, 0.0)
     cond = F.expr(f"_cell = {_owner_sql('_ls', '_rs', c, d)} AND {G.bbox_intersects_sql('_ls', '_rs', d)}")
     pairs = lq.join(rq, ["_cell", *on]).where(cond)
     if predicate == "intersects":
-        pairs = pairs.where(F.expr(G.intersects_sql("_ls", "_rs")))
+        pairs = pairs.where(F.expr(G.intersects_sql("_ls", "_rs", ro)))
     elif predicate == "dwithin":
-        pairs = pairs.where(F.expr(G.dwithin_sql("_ls", "_rs", d)))
+        pairs = pairs.where(F.expr(G.dwithin_sql("_ls", "_rs", d, ro)))
     elif predicate != "bbox":
         raise ValueError(f"unknown predicate {predicate!r}")
     if with_overlap:
-        pairs = pairs.withColumn("overlap_m2", F.expr(G.overlap_area_sql("_ls", "_rs")))
+        pairs = pairs.withColumn("overlap_m2", F.expr(G.overlap_area_sql("_ls", "_rs", ro)))
     pairs = pairs.drop("_cell")
     return pairs if keep_shapes else pairs.drop("_ls", "_rs")

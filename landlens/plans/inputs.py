@@ -23,7 +23,8 @@ class Layers:
 
     @cached_property
     def zoning_features(self) -> DataFrame:
-        return D.zoning_features(self.spark, self.d).withColumn("shape", G.shape_from_rects("rects"))
+        return G.mark_rect_only(
+            D.zoning_features(self.spark, self.d).withColumn("shape", G.shape_from_rects("rects")))
 
     @cached_property
     def zoning(self) -> DataFrame:

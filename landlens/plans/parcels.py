@@ -87,7 +87,8 @@ def adjacency(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,
     other = cand.select(F.col("pkey").alias("b_pkey"), "primary_use", "shape")
     pairs = spatial_join(cand, other, predicate="dwithin", distance=distance, cell=cell,
                          on=["primary_use"], keep_shapes=True)
-    return (pairs.where((F.col("pkey") != F.col("b_pkey")) & ~F.expr(G.contains_sql("_ls", "_rs")))
+    ro = G.is_rect_only(enriched, "shape")
+    return (pairs.where((F.col("pkey") != F.col("b_pkey")) & ~F.expr(G.contains_sql("_ls", "_rs", ro)))
             .select("pkey").distinct())
 
 

@@ -63,8 +63,8 @@ def parcels(spark: SparkSession, d: str) -> DataFrame:
                   k.cast("string").alias("parcel_no"),
                   (w * h).alias("area_m2"),
                   xmin.alias("_x"), ymin.alias("_y"), w.alias("_w"), h.alias("_h")))
-    return (df.withColumn("shape", G.shape_from_box("_x", "_y", "_x + _w", "_y + _h"))
-            .drop("_x", "_y", "_w", "_h"))
+    return G.mark_rect_only(df.withColumn("shape", G.shape_from_box("_x", "_y", "_x + _w", "_y + _h"))
+                            .drop("_x", "_y", "_w", "_h"))
 
 
 def zoning_features(spark: SparkSession, d: str) -> DataFrame:
@@ -110,7 +110,7 @@ def buildings(spark: SparkSession, d: str) -> DataFrame:
     xmin = F.lit(X0) + (k % 120) * 48 + 1 + (ln - 1) * 5
     ymin = F.lit(Y0) + F.expr("l_orderkey div 120") * 48 + 1 + (ln % 4) * 9
     w, h = 2 + q % 6 + big, 2 + q % 7 + big
-    return (li.where(q % 3 != 0)
+    return G.mark_rect_only(li.where(q % 3 != 0)
             .select(F.concat_ws("-", k.cast("string"), ln.cast("string")).alias("bld_id"),
                     F.when(F.col("l_returnflag") == "R", None)
                     .otherwise(F.round(F.col("l_tax") * 100)).cast("int").alias("floors"),
@@ -124,7 +124,7 @@ def forest(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select("s_suppkey")
     k = F.col("s_suppkey")
     side = 60 + (k % 4) * 20
-    return (s.select(k.cast("string").alias("fg_id"),
+    return G.mark_rect_only(s.select(k.cast("string").alias("fg_id"),
                      (F.lit(X0) + (k * 97) % 5700).alias("_x"), (F.lit(Y0) + k * 60).alias("_y"),
                      side.alias("_s"))
             .withColumn("shape", G.shape_from_box("_x", "_y", "_x + _s", "_y + _s"))
@@ -134,7 +134,7 @@ def forest(spark: SparkSession, d: str) -> DataFrame:
 def planning_zones(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey")
     k = F.col("c_custkey")
-    return (c.where(k % 30 == 0)
+    return G.mark_rect_only(c.where(k % 30 == 0)
             .select(k.cast("string").alias("pz_id"), (6600 + k % 25).cast("int").alias("commune_bfs"),
                     F.lit("inForce").alias("status"), F.lit("2025-01-01").cast("date").alias("valid_from"),
                     (F.lit(X0) + (k * 53) % 5600).alias("_x"), (F.lit(Y0) + k * 4).alias("_y"))
@@ -145,7 +145,7 @@ def planning_zones(spark: SparkSession, d: str) -> DataFrame:
 def surelevation(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("c_custkey")
-    return (c.where(k % 3 == 0)
+    return G.mark_rect_only(c.where(k % 3 == 0)
             .select(k.alias("objectid"), k.cast("string").alias("egid"),
                     F.concat(F.lit("NATION_"), (k % 25).cast("string")).alias("commune"),
                     F.col("c_mktsegment").alias("destination"), F.lit(None).cast("string").alias("remarque"),
