@@ -168,3 +168,187 @@ def restrictions(spark: SparkSession, d: str) -> DataFrame:
                     F.concat(F.lit("Thème "), F.col("event_type")).alias("theme_text"),
                     F.lit(None).cast("string").alias("sub_theme"),
                     F.when(F.col("value") < 20, "inForce").otherwise("changeWithPreEffect").alias("legal_state")))
+
+
+# ---------------------------------------------------------------------------
+# landed feature sets for the loaders (id, properties, shape)
+# ---------------------------------------------------------------------------
+
+def _box_shape(df: DataFrame, x, y, w, h) -> DataFrame:
+    return G.mark_rect_only(df.withColumn("_x", x).withColumn("_y", y).withColumn("_w", w)
+                            .withColumn("_h", h)
+                            .withColumn("shape", G.shape_from_box("_x", "_y", "_x + _w", "_y + _h"))
+                            .drop("_x", "_y", "_w", "_h"))
+
+
+def federal_zoning_features(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").select("p_partkey")
+    k = F.col("p_partkey")
+    props = F.create_map(
+        F.lit("canton"), _pick(k % 4, ("VD", "vd", "GE", "FR")),
+        F.lit("affectation_principale_code"), _pick(k % 6, ("11", "21", "15", " 43 ", "abc", None)),
+        F.lit("type_canton_designation"), _pick(k % 5, (None, "", "Zone mixte", "Zone agricole", "Zone centrale")),
+        F.lit("affectation_principale_designation"),
+        _pick(k % 3, ("Zones d'habitation", "Zones agricoles", "Zones mixtes")),
+        F.lit("t_id"), k.cast("string"))
+    df = p.select(F.when(k % 10 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("f"), k.cast("string")))
+                  .alias("id"), props.alias("properties"), k.alias("_k"))
+    return _box_shape(df, F.lit(X0) + (F.col("_k") % 20) * 288, F.lit(Y0) + F.expr("_k div 20") * 60,
+                      F.lit(288.0), F.lit(60.0)).drop("_k")
+
+
+def parcel_features(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    egrid = (F.when(k % 6 == 0, F.lit(None).cast("string")).when(k % 6 == 1, F.lit(""))
+             .otherwise(F.concat(F.lit("CH"), F.lpad(k.cast("string"), 12, "0"))))
+    props = F.create_map(
+        F.lit("Kanton"), _pick(c % 4, ("VD", "vd", "GE", None)), F.lit("EGRIS_EGRID"), egrid,
+        F.lit("Nummer"), (k % 1000).cast("string"), F.lit("NBIdent"), F.concat(F.lit("NB"), k.cast("string")),
+        F.lit("BFSNr"), F.when(k % 5 == 0, F.lit("x")).otherwise((6600 + k % 25).cast("string")),
+        F.lit("Flaeche"), F.round(F.col("o_totalprice")).cast("bigint").cast("string"))
+    df = o.select(F.when(k % 8 == 0, F.lit(None).cast("string")).otherwise(k.cast("string")).alias("id"),
+                  props.alias("properties"), k.alias("_k"))
+    return _box_shape(df, F.lit(X0) + (F.col("_k") % 120) * 48, F.lit(Y0) + F.expr("_k div 120") * 48,
+                      F.lit(48.0), F.lit(48.0)).drop("_k")
+
+
+def landcover_features(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    props = F.create_map(
+        F.lit("art"), _pick(ln % 5, ("Gebaeude", None, "", "Strasse", "bâtiment")),
+        F.lit("objektart"), _pick(F.col("l_partkey") % 3, ("building", "Gebäude", "wasser")),
+        F.lit("genre"), F.lit(None).cast("string"),
+        F.lit("type"), F.when(F.col("l_suppkey") % 7 == 0, F.lit("edificio")))
+    df = li.select(F.concat_ws("-", k.cast("string"), ln.cast("string")).alias("id"),
+                   props.alias("properties"), k.alias("_k"), ln.alias("_l"))
+    return _box_shape(df, F.lit(X0) + (F.col("_k") % 120) * 48 + F.col("_l"),
+                      F.lit(Y0) + F.expr("_k div 120") * 48, F.lit(4.0), F.lit(4.0)).drop("_k", "_l")
+
+
+def planning_features(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    props = F.create_map(F.lit("commune_bfs"), (6600 + k % 25).cast("string"),
+                         F.lit("status"), F.when(k % 60 == 0, "inForce").otherwise("planned"),
+                         F.lit("valid_from"), F.lit("2025-01-01"))
+    df = c.where(k % 30 == 0).select(F.concat(F.lit("PZ"), k.cast("string")).alias("id"),
+                                     props.alias("properties"), k.alias("_k"))
+    return _box_shape(df, F.lit(X0) + (F.col("_k") * 53) % 5600, F.lit(Y0) + F.col("_k") * 4,
+                      F.lit(100.0), F.lit(100.0)).drop("_k")
+
+
+def building_floor_features(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                            "l_quantity", "l_tax", "l_returnflag", "l_linestatus")
+    k, ln, q = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity").cast("int")
+    props = F.create_map(
+        F.lit("OBJECTID"), (k * 10 + ln).cast("string"), F.lit("EGID"), F.col("l_partkey").cast("string"),
+        F.lit("COMMUNE"), F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 25).cast("string")),
+        F.lit("DESTINATION"), F.col("l_linestatus"), F.lit("NOMEN_CLASSE"), F.col("l_returnflag"),
+        F.lit("NIVEAUX_HORSOL"), F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
+        .otherwise(F.round(F.col("l_tax") * 100).cast("int").cast("string")),
+        F.lit("HAUTEUR"), (q * 3).cast("string"),
+        F.lit("ANNEE_CONSTRUCTION"), (1900 + F.col("l_partkey") % 120).cast("string"),
+        F.lit("SURFACE"), F.when(ln % 3 == 0, F.lit(None).cast("string")).otherwise((q * 4).cast("string")),
+        F.lit("SHAPE.AREA"), (q * 5).cast("string"))
+    df = li.select(F.lit(None).cast("string").alias("id"), props.alias("properties"), k.alias("_k"), ln.alias("_l"))
+    return _box_shape(df, F.lit(X0) + (F.col("_k") % 120) * 48 + F.col("_l") * 5,
+                      F.lit(Y0) + F.expr("_k div 120") * 48, F.lit(4.0), F.lit(4.0)).drop("_k", "_l")
+
+
+def raisable_features(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    k = F.col("c_custkey")
+    props = F.create_map(
+        F.lit("OBJECTID"), k.cast("string"), F.lit("EGID"), (k * 7).cast("string"),
+        F.lit("COMMUNE"), F.concat(F.lit("NATION_"), (k % 25).cast("string")),
+        F.lit("DESTINATION"), F.col("c_mktsegment"),
+        F.lit("REMARQUE"), F.when(k % 2 == 0, F.lit("LCI art. 23")))
+    df = c.where(k % 3 == 0).select(k.cast("string").alias("id"), props.alias("properties"), k.alias("_k"))
+    return _box_shape(df, F.lit(X0) + (F.col("_k") * 37) % 5750, F.lit(Y0) + F.col("_k") * 4,
+                      F.lit(10.0), F.lit(10.0)).drop("_k")
+
+
+# ---------------------------------------------------------------------------
+# landed JSON documents
+# ---------------------------------------------------------------------------
+
+def _coords_json(x1: str, y1: str, x2: str, y2: str, closed: bool = True) -> str:
+    pts = [f"[{x1},{y1}]", f"[{x2},{y1}]", f"[{x2},{y2}]", f"[{x1},{y2}]"]
+    if closed:
+        pts.append(f"[{x1},{y1}]")
+    return "[" + ",".join(pts) + "]"
+
+
+def zoning_geojson_features(spark: SparkSession, d: str) -> DataFrame:
+    """Zoning features as GeoJSON Feature strings, with the awkward cases a
+    real service returns: MultiPolygon parts, unclosed rings (p % 17 = 0),
+    zero-area rings (p % 19 = 0), GeometryCollections with a point (p % 23 = 0)."""
+    zf = zoning_features(spark, d)
+    r = "rects"
+    one = ("concat('[', " + _sql_ring(f"{r}[0]", True) + ", ']')")
+    poly = f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', True)}, ']}}')"
+    multi = (f"concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[[', {_sql_ring(f'{r}[0]', True)}, '],[',"
+             f" {_sql_ring(f'{r}[1]', True)}, ']]}}')")
+    open_poly = f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', False)}, ']}}')"
+    flat = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
+            f" {r}[0].xmax, ',', {r}[0].ymin, '],[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
+            f" {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
+    base = f"CASE WHEN size({r}) = 2 THEN {multi} ELSE {poly} END"
+    coll = (f"concat('{{\"type\":\"GeometryCollection\",\"geometries\":[{{\"type\":\"Point\",\"coordinates\":[',"
+            f" {r}[0].xmin, ',', {r}[0].ymin, ']}},', {base}, ']}}')")
+    k = "cast(id AS bigint)"
+    geom = (f"CASE WHEN {k} % 19 = 0 THEN {flat} WHEN {k} % 17 = 0 THEN {open_poly}"
+            f" WHEN {k} % 23 = 0 THEN {coll} ELSE {base} END")
+    del one
+    feat = F.concat(F.lit('{"type":"Feature","id":"'), F.col("id"), F.lit('","properties":'),
+                    F.to_json("properties"), F.lit(',"geometry":'), F.expr(geom), F.lit("}"))
+    return zf.select("id", feat.alias("feature_json"))
+
+
+def _sql_ring(rect: str, closed: bool) -> str:
+    x1, y1, x2, y2 = (f"{rect}.xmin", f"{rect}.ymin", f"{rect}.xmax", f"{rect}.ymax")
+    pts = [(x1, y1), (x2, y1), (x2, y2), (x1, y2)] + ([(x1, y1)] if closed else [])
+    parts = []
+    for i, (x, y) in enumerate(pts):
+        parts.append(f"'{',' if i else ''}[', {x}, ',', {y}, ']'")
+    return "concat('[', " + ", ".join(parts) + ", ']')"
+
+
+def zoning_pages(spark: SparkSession, d: str, page_size: int = 100) -> DataFrame:
+    """FeatureCollection page documents (page_no, page_json), page_size features
+    each; pages are formed from key ranges, so every group is bounded."""
+    f = zoning_geojson_features(spark, d)
+    page = F.floor(F.col("id").cast("bigint") / page_size)
+    return (f.groupBy(page.alias("page_no"))
+            .agg(F.concat(F.lit('{"type":"FeatureCollection","features":['),
+                          F.array_join(F.collect_list("feature_json"), ","),
+                          F.lit("]}")).alias("page_json")))
+
+
+def restriction_extracts(spark: SparkSession, d: str) -> DataFrame:
+    """One legal-extract JSON document per restriction row (egrid, extract_json).
+
+    Variants: Theme.Code missing (event_id % 4 = 0, only Sub_Code given), text
+    as a plain string (event_id % 3 = 0), empty French text (event_id % 7 = 0).
+    """
+    e = table(spark, d, "events").select("event_id", "event_type", "value")
+    k, ev = F.col("event_id"), F.col("event_type")
+    theme = None
+    for name, th in THEME_BY_EVENT.items():
+        theme = F.when(ev == name, th) if theme is None else theme.when(ev == name, th)
+    fr = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("Thème "), ev))
+    text = F.when(k % 3 == 0, F.to_json(F.concat(F.lit("Thème "), ev))).otherwise(
+        F.concat(F.lit('[{"Language":"de","Text":'), F.to_json(F.concat(F.lit("Thema "), ev)),
+                 F.lit('},{"Language":"fr","Text":'), F.to_json(fr), F.lit("}]")))
+    code = F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit('"Code":'), F.to_json(theme), F.lit(",")))
+    state = F.when(F.col("value") < 20, "inForce").otherwise("changeWithPreEffect")
+    doc = F.concat(
+        F.lit('{"GetExtractByIdResponse":{"extract":{"RealEstate":[{"RestrictionOnLandownership":[{"Theme":{'),
+        code, F.lit('"Sub_Code":'), F.to_json(F.concat(theme, F.lit(".sub"))), F.lit(',"Text":'), text,
+        F.lit('},"SubTheme":null,"Lawstatus":{"Code":'), F.to_json(state), F.lit("}}]}]}}}"))
+    return (e.where(k % 5 == 0)
+            .select(F.concat(F.lit("CH"), F.lpad(k.cast("string"), 12, "0")).alias("egrid"),
+                    doc.alias("extract_json")))
