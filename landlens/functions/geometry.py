@@ -172,10 +172,14 @@ def _oriented_segs_sql(g: str) -> str:
             f"sequence(0, size(ro) - 2), k -> CASE WHEN (io = 0) = ({sa} >= 0) THEN {seg_fwd} ELSE {seg_rev} END)))))")
 
 
-def shape(g: str) -> Column:
-    """Full shape struct from a multipolygon column (general input path)."""
+def shape(g: str, general: bool = False) -> Column:
+    """Full shape struct from a multipolygon column (general input path).
+
+    ``general=True`` keeps segments/probes even for rectangles, forcing the
+    general exact path (used to check it against rectangle arithmetic).
+    """
     pts = f"flatten(flatten({g}))"
-    all_rect = f"forall({g}, pr -> size(pr) = 1 AND {_is_rect_ring('pr[0]')})"
+    all_rect = "false" if general else f"forall({g}, pr -> size(pr) = 1 AND {_is_rect_ring('pr[0]')})"
     return F.expr(f"""named_struct(
         'xmin', array_min(transform({pts}, p -> p.x)),
         'ymin', array_min(transform({pts}, p -> p.y)),

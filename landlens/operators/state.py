@@ -71,3 +71,17 @@ def migrate(df: DataFrame, columns: Mapping[str, tuple[str, object]]) -> DataFra
         if name not in out.columns:
             out = out.withColumn(name, F.lit(default).cast(typ))
     return out
+
+
+def update_from(target: DataFrame, source: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """UPDATE target SET col = source.src_col FROM source WHERE source.key = target.key.
+
+    Unmatched target rows keep their previous values; ``source`` must be unique
+    on ``key`` (as the source pipeline's DISTINCT ON guarantees).
+    """
+    src = source.select(F.col(key).alias("_k"), F.lit(True).alias("_hit"),
+                        *[F.col(s).alias(f"_new_{t}") for t, s in columns.items()])
+    j = target.join(src, target[key] == src["_k"], "left")
+    for t in columns:
+        j = j.withColumn(t, F.when(F.col("_hit"), F.col(f"_new_{t}")).otherwise(F.col(t)))
+    return j.drop("_k", "_hit", *[f"_new_{t}" for t in columns])

@@ -5,14 +5,19 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..session import tune
 from ..sources import derived as D
 from ..sources import loaders as L
+from ..sources import geojson as J
+from . import changes as C
 from . import parcels as P
 from . import zones as Z
 
+RUN1_TS, RUN2_TS, RUN3_TS = "2025-01-01 00:00:00", "2025-01-02 00:00:00", "2025-01-03 00:00:00"
+
 
 class Layers:
     """raw.* layers derived from the driver tables in ``d`` (all lazy)."""
@@ -79,3 +84,34 @@ class Layers:
     @cached_property
     def communes_b(self) -> DataFrame:
         return Z.communes(self.zones_b, "b")
+
+    @cached_property
+    def shortlist(self) -> DataFrame:
+        return P.shortlist(self.scored)
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        """Two earlier runs of audit.parcel_snapshot derived from the parcels:
+        run 1 hashes 'old' for all; run 2 the true hash except 'x' for every
+        7th parcel; every 10th parcel (k % 10 = 9) is absent from both."""
+        k = F.col("source_id").cast("bigint")
+        cur = (self.scored.where(F.col("egrid").isNotNull() & (k % 10 != 9))
+               .select("egrid", k.alias("_k"), C.content_hash().alias("h")))
+        r1 = cur.select("egrid", F.lit(RUN1_TS).cast("timestamp").alias("run_ts"),
+                        F.md5(F.lit("old")).alias("content_hash"))
+        r2 = cur.select("egrid", F.lit(RUN2_TS).cast("timestamp").alias("run_ts"),
+                        F.when(F.col("_k") % 7 == 0, F.md5(F.lit("x"))).otherwise(F.col("h")).alias("content_hash"))
+        return r1.unionByName(r2)
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        return C.detect_changes(self.scored, self.snapshots)
+
+    @cached_property
+    def zoning_parsed(self) -> DataFrame:
+        """Zoning read back from landed FeatureCollection pages."""
+        return J.to_features(J.explode_pages(D.zoning_pages(self.spark, self.d)))
+
+    @cached_property
+    def extracts(self) -> DataFrame:
+        return D.restriction_extracts(self.spark, self.d)

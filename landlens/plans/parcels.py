@@ -115,7 +115,8 @@ def score(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,
     s = F.least(F.lit(100.0), F.greatest(F.lit(0.0), raw))
     # NOT NULL is NULL in the source WHERE clause; such rows have developable 0 anyway
     zero = F.coalesce(~bz, F.lit(False)) | ~free | (F.coalesce(dev, F.lit(0.0)) == 0)
-    return p.withColumn("opportunity_score", F.when(zero, F.lit(0.0)).otherwise(s))
+    return (p.withColumn("score_raw", s).withColumn("score_zeroed", zero)
+            .withColumn("opportunity_score", F.when(zero, F.lit(0.0)).otherwise(s)))
 
 
 def shortlist(scored: DataFrame, n: int = 100) -> DataFrame:

@@ -328,6 +328,11 @@ def zoning_pages(spark: SparkSession, d: str, page_size: int = 100) -> DataFrame
                           F.lit("]}")).alias("page_json")))
 
 
+def _jstr(c: F.Column) -> F.Column:
+    """JSON text of a string value (escaped, quoted; NULL -> null)."""
+    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+
+
 def restriction_extracts(spark: SparkSession, d: str) -> DataFrame:
     """One legal-extract JSON document per restriction row (egrid, extract_json).
 
@@ -340,15 +345,46 @@ def restriction_extracts(spark: SparkSession, d: str) -> DataFrame:
     for name, th in THEME_BY_EVENT.items():
         theme = F.when(ev == name, th) if theme is None else theme.when(ev == name, th)
     fr = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("Thème "), ev))
-    text = F.when(k % 3 == 0, F.to_json(F.concat(F.lit("Thème "), ev))).otherwise(
-        F.concat(F.lit('[{"Language":"de","Text":'), F.to_json(F.concat(F.lit("Thema "), ev)),
-                 F.lit('},{"Language":"fr","Text":'), F.to_json(fr), F.lit("}]")))
-    code = F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit('"Code":'), F.to_json(theme), F.lit(",")))
+    text = F.when(k % 3 == 0, _jstr(F.concat(F.lit("Thème "), ev))).otherwise(
+        F.concat(F.lit('[{"Language":"de","Text":'), _jstr(F.concat(F.lit("Thema "), ev)),
+                 F.lit('},{"Language":"fr","Text":'), _jstr(fr), F.lit("}]")))
+    code = F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit('"Code":'), _jstr(theme), F.lit(",")))
     state = F.when(F.col("value") < 20, "inForce").otherwise("changeWithPreEffect")
     doc = F.concat(
         F.lit('{"GetExtractByIdResponse":{"extract":{"RealEstate":[{"RestrictionOnLandownership":[{"Theme":{'),
-        code, F.lit('"Sub_Code":'), F.to_json(F.concat(theme, F.lit(".sub"))), F.lit(',"Text":'), text,
-        F.lit('},"SubTheme":null,"Lawstatus":{"Code":'), F.to_json(state), F.lit("}}]}]}}}"))
+        code, F.lit('"Sub_Code":'), _jstr(F.concat(theme, F.lit(".sub"))), F.lit(',"Text":'), text,
+        F.lit('},"SubTheme":null,"Lawstatus":{"Code":'), _jstr(state), F.lit("}}]}]}}}"))
     return (e.where(k % 5 == 0)
             .select(F.concat(F.lit("CH"), F.lpad(k.cast("string"), 12, "0")).alias("egrid"),
                     doc.alias("extract_json")))
+
+
+def wgs84_zone_features(spark: SparkSession, d: str) -> DataFrame:
+    """GeoJSON features of which every third (p % 3 = 0) is given in WGS84
+    degrees instead of LV95 metres (id, geometry)."""
+    p = table(spark, d, "part").select("p_partkey")
+    k = F.col("p_partkey")
+    lon1 = F.lit(6.1) + (k % 20) * 0.004
+    lat1 = F.lit(46.2) + F.expr("p_partkey div 20") * 0.0006
+    x1 = F.lit(X0) + (k % 20) * 288
+    y1 = F.lit(Y0) + F.expr("p_partkey div 20") * 60
+    deg = (lon1, lat1, lon1 + 0.003, lat1 + 0.0005)
+    lv = (x1, y1, x1 + 288, y1 + 60)
+
+    def ring(a, b, c, e):
+        pts = [(a, b), (c, b), (c, e), (a, e), (a, b)]
+        return F.concat(F.lit('{"type":"Polygon","coordinates":[['),
+                        *sum(([F.lit("," if i else ""), F.lit("["), x.cast("string"), F.lit(","),
+                               y.cast("string"), F.lit("]")] for i, (x, y) in enumerate(pts)), []),
+                        F.lit("]]}"))
+    return p.select(k.cast("string").alias("id"),
+                    F.when(k % 3 == 0, ring(*deg)).otherwise(ring(*lv)).alias("geometry"))
+
+
+def page_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """One row per fetched page: 20 layers, feature count per page from part."""
+    p = table(spark, d, "part").select("p_partkey", "p_size")
+    k, sz = F.col("p_partkey"), F.col("p_size")
+    return p.select((k % 20).cast("int").alias("layer"), F.expr("p_partkey div 20").alias("page_no"),
+                    F.when(sz == 50, 40).when(sz == 49, 0).otherwise(100).cast("bigint").alias("n"),
+                    (k % 2 == 0).alias("exceeded"), (k % 11 != 10).alias("has_next"))
