@@ -182,7 +182,12 @@ SELECT e.*,
 FROM enriched e LEFT JOIN adjacent a ON a.egrid = e.egrid""")
 
 cte("scored", ("signals",), """
-SELECT s.*, CASE WHEN coalesce(NOT s.is_building_zone, false) OR coalesce(s.oereb_blocking, false)
+SELECT s.*, least(100.0::DOUBLE, greatest(0.0::DOUBLE, least(s.developable_m2, 5000.0::DOUBLE) / 5000.0::DOUBLE * 30
+        + CASE WHEN s.signal_underuse THEN 25 ELSE 0 END + CASE WHEN s.signal_servicing THEN 20 ELSE 0 END
+        + CASE WHEN s.signal_assembly THEN 20 ELSE 0 END + CASE WHEN s.in_planning_zone THEN 5 ELSE 0 END)) AS score_raw,
+   coalesce(NOT s.is_building_zone, false) OR coalesce(s.oereb_blocking, false)
+        OR coalesce(s.developable_m2, 0) = 0 AS score_zeroed,
+   CASE WHEN coalesce(NOT s.is_building_zone, false) OR coalesce(s.oereb_blocking, false)
                       OR coalesce(s.developable_m2, 0) = 0 THEN 0.0::DOUBLE
    ELSE least(100.0::DOUBLE, greatest(0.0::DOUBLE, least(s.developable_m2, 5000.0::DOUBLE) / 5000.0::DOUBLE * 30
         + CASE WHEN s.signal_underuse THEN 25 ELSE 0 END + CASE WHEN s.signal_servicing THEN 20 ELSE 0 END
@@ -327,6 +332,113 @@ cte("communes_a", ("zones_a",), _communes("zones_a", "a"))
 cte("communes_b", ("zones_b",), _communes("zones_b", "b"))
 
 
+# --------------------------------------------------------------------------
+# shortlist, change detection
+# --------------------------------------------------------------------------
+cte("shortlist", ("scored",), """
+SELECT egrid, opportunity_score FROM scored WHERE egrid IS NOT NULL AND opportunity_score > 0
+ORDER BY opportunity_score DESC, egrid LIMIT 100""")
+
+cte("cur_hash", ("scored",), """
+SELECT egrid, CAST(source_id AS BIGINT) AS k,
+       md5(coalesce(zone_type, '') || '|' || coalesce(CAST(is_building_zone AS VARCHAR), '') || '|'
+           || coalesce(CAST(CAST(round_even(area_m2, 0) AS BIGINT) AS VARCHAR), '') || '|'
+           || coalesce(CAST(oereb_blocking AS VARCHAR), '') || '|'
+           || coalesce(CAST(CAST(round_even(opportunity_score, 0) AS BIGINT) AS VARCHAR), '')) AS content_hash
+FROM scored WHERE egrid IS NOT NULL""")
+
+cte("snapshots", ("cur_hash",), """
+SELECT egrid, TIMESTAMP '2025-01-01 00:00:00' AS run_ts, md5('old') AS content_hash FROM cur_hash WHERE k % 10 <> 9
+UNION ALL
+SELECT egrid, TIMESTAMP '2025-01-02 00:00:00', CASE WHEN k % 7 = 0 THEN md5('x') ELSE content_hash END
+FROM cur_hash WHERE k % 10 <> 9""")
+
+cte("latest", ("snapshots",), "SELECT egrid, arg_max(content_hash, run_ts) AS content_hash FROM snapshots GROUP BY egrid")
+
+cte("diff", ("cur_hash", "latest"), """
+SELECT c.egrid, c.content_hash AS new_hash, l.content_hash AS old_hash, l.egrid IS NOT NULL AS seen
+FROM cur_hash c LEFT JOIN latest l ON l.egrid = c.egrid WHERE c.content_hash IS DISTINCT FROM l.content_hash""")
+
+cte("changes", ("diff",), """
+SELECT egrid, CASE WHEN seen THEN 'changed' ELSE 'new' END AS change_type,
+       CAST(json_object('new_hash', new_hash, 'old_hash', old_hash) AS VARCHAR) AS detail FROM diff""")
+
+# --------------------------------------------------------------------------
+# parsed GeoJSON zoning (what the landed pages should read back as)
+# --------------------------------------------------------------------------
+cte("zparsed_all", ("zoning",), """
+SELECT z.*, CAST(zone_id AS BIGINT) // 100 AS page_no,
+       CASE WHEN CAST(zone_id AS BIGINT) % 19 = 0 THEN 'rejected' WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN 'repaired'
+            ELSE 'ok' END AS status,
+       CASE WHEN CAST(zone_id AS BIGINT) % 19 = 0 THEN 'zero-area ring' END AS reason,
+       CASE WHEN CAST(zone_id AS BIGINT) % 19 = 0 THEN 'Polygon' WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN 'Polygon'
+            WHEN CAST(zone_id AS BIGINT) % 23 = 0 THEN 'GeometryCollection'
+            WHEN n_parts = 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS gtype
+FROM zoning z""")
+
+cte("zparsed", ("zparsed_all",), """
+SELECT zone_id, page_no, gtype, zone_code, height_limit_m, commune_bfs, is_building_zone, ymin, ymax, xmin,
+       CASE WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN p1x2 ELSE xmax END AS xmax,
+       p1x1, p1x2,
+       CASE WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN NULL ELSE p2x1 END AS p2x1,
+       CASE WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN NULL ELSE p2x2 END AS p2x2,
+       CASE WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN 1 ELSE n_parts END AS n_parts,
+       CASE WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN (p1x2 - p1x1) * (ymax - ymin) ELSE area_m2 END AS area_m2
+FROM zparsed_all WHERE status <> 'rejected'""")
+
+# --------------------------------------------------------------------------
+# loader inputs (feature property rules) and extracts
+# --------------------------------------------------------------------------
+cte("federal", (), """
+SELECT p_partkey AS p, CAST(p_partkey AS VARCHAR) AS t_id,
+       CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 'f' || CAST(p_partkey AS VARCHAR) END AS fid,
+       (['VD','vd','GE','FR'])[p_partkey % 4 + 1] AS canton,
+       ([ '11', '21', '15', ' 43 ', 'abc', NULL])[p_partkey % 6 + 1] AS code,
+       ([NULL, '', 'Zone mixte', 'Zone agricole', 'Zone centrale'])[p_partkey % 5 + 1] AS label,
+       (['Zones d''habitation', 'Zones agricoles', 'Zones mixtes'])[p_partkey % 3 + 1] AS designation
+FROM part""")
+
+cte("pfeat", (), """
+SELECT o_orderkey AS k, (['VD','vd','GE',NULL])[o_custkey % 4 + 1] AS kanton,
+       CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS fid0,
+       'NB' || CAST(o_orderkey AS VARCHAR) AS nbident,
+       CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 6 = 1 THEN ''
+            ELSE 'CH' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') END AS egris,
+       o_totalprice
+FROM orders""")
+
+cte("flat_extracts", (), """
+SELECT 'CH' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS egrid,
+       CASE event_type WHEN 'view' THEN 'ForestPerimeters' WHEN 'signup' THEN 'LandUsePlans'
+            WHEN 'purchase' THEN 'ContaminatedSites' WHEN 'error' THEN 'NoiseSensitivityLevels'
+            WHEN 'click' THEN 'GroundwaterProtectionZones' END
+         || CASE WHEN event_id % 4 = 0 THEN '.sub' ELSE '' END AS theme_code,
+       CASE WHEN event_id % 3 = 0 THEN 'Thème ' || event_type WHEN event_id % 7 = 0 THEN 'Thema ' || event_type
+            ELSE 'Thème ' || event_type END AS theme_text,
+       CAST(NULL AS VARCHAR) AS sub_theme,
+       CASE WHEN value < 20 THEN 'inForce' ELSE 'changeWithPreEffect' END AS legal_state
+FROM events WHERE event_id % 5 = 0""")
+
+cte("restrictions2", ("restrictions", "flat_extracts", "shortlist"), """
+SELECT egrid, theme_code, theme_text, sub_theme, legal_state FROM restrictions WHERE egrid NOT IN (SELECT egrid FROM shortlist)
+UNION ALL
+SELECT egrid, theme_code, theme_text, sub_theme, legal_state FROM flat_extracts WHERE egrid IN (SELECT egrid FROM shortlist)""")
+
+
+def _variant(name: str, base: str, subs: dict[str, str], needs: tuple[str, ...]) -> None:
+    body = CTE[base][1]
+    for a, b in subs.items():
+        body = body.replace(a, b)
+    CTE[name] = (needs, body)
+
+
+_variant("p_flags2", "p_flags", {"FROM restrictions": "FROM restrictions2"}, ("restrictions2",))
+_variant("enriched2", "enriched", {"LEFT JOIN p_flags r": "LEFT JOIN p_flags2 r"},
+         ("parcels", "dominant", "p_forest", "p_bld", "p_plan", "p_flags2"))
+_variant("signals2", "signals", {"FROM enriched e": "FROM enriched2 e"}, ("enriched2", "adjacent"))
+_variant("scored2", "scored", {"FROM signals s": "FROM signals2 s"}, ("signals2",))
+
+
 def sql(body: str, *needs: str) -> str:
     order: list[str] = []
 
