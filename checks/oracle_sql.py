@@ -453,4 +453,8 @@ def sql(body: str, *needs: str) -> str:
         visit(n)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n][1]})" for n in order) + "\n" + body
+    head = "WITH " + ",\n".join(f"{n} AS ({CTE[n][1]})" for n in order)
+    b = body.lstrip()
+    if b[:4].upper() == "WITH":
+        return head + ",\n" + b[4:]
+    return head + "\n" + body
