@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..session import tune
+from ..session import ensure_checkpoint_dir, tune
 from ..sources import derived as D
 from ..sources import loaders as L
 from ..sources import geojson as J
@@ -26,6 +26,13 @@ class Layers:
         self.spark = tune(spark)
         self.d = d
 
+    def pin(self, df: DataFrame) -> DataFrame:
+        """Materialise an intermediate that several branches reuse: a reliable
+        checkpoint in the shared ``spark.checkpoint.dir`` (cuts lineage, so a
+        lost executor never forces the spatial joins to rerun)."""
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     @cached_property
     def zoning_features(self) -> DataFrame:
         return G.mark_rect_only(
@@ -60,18 +67,26 @@ class Layers:
         return D.restrictions(self.spark, self.d)
 
     # --- products ---------------------------------------------------------
+    @cached_property
+    def overlaid(self) -> DataFrame:
+        return self.pin(P.overlay(P.base_parcels(self.parcels), self.zoning, self.planning, self.forest,
+                                  self.buildings))
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return P.enrich(P.base_parcels(self.parcels), self.zoning, self.planning, self.forest,
-                        self.buildings, self.restrictions)
+        return P.apply_restrictions(self.overlaid, self.restrictions)
+
+    @cached_property
+    def adjacent(self) -> DataFrame:
+        return P.adjacency(self.overlaid)
 
     @cached_property
     def scored(self) -> DataFrame:
-        return P.score(self.enriched)
+        return self.pin(P.score(self.enriched, adjacent=self.adjacent))
 
     @cached_property
     def zones_a(self) -> DataFrame:
-        return Z.phase_a(self.zoning, self.forest, self.planning)
+        return self.pin(Z.phase_a(self.zoning, self.forest, self.planning))
 
     @cached_property
     def zones_b(self) -> DataFrame:

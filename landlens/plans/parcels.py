@@ -42,9 +42,9 @@ def restriction_flags(restrictions: DataFrame) -> DataFrame:
             .select(F.col("egrid").alias("pkey"), F.lit(True).alias("_checked"), "_blocking"))
 
 
-def enrich(parcels: DataFrame, zoning: DataFrame, planning: DataFrame, forest: DataFrame,
-           buildings: DataFrame, restrictions: DataFrame, cell: float = PARCEL_CELL) -> DataFrame:
-    """core.parcel after the enrichment steps (parcels = base_parcels output)."""
+def overlay(parcels: DataFrame, zoning: DataFrame, planning: DataFrame, forest: DataFrame,
+            buildings: DataFrame, cell: float = PARCEL_CELL) -> DataFrame:
+    """Spatial part of the enrichment (everything but the legal flags)."""
     zcols = ["zone_id", "typ_kt", "hauptnutzung", "is_building_zone"]
     z = is_kind("zone")
     dominant = F.min(F.when(z, F.struct(
@@ -65,16 +65,25 @@ def enrich(parcels: DataFrame, zoning: DataFrame, planning: DataFrame, forest: D
         F.coalesce("forest_overlap_m2", F.lit(0.0)).alias("forest_overlap_m2"),
         F.coalesce("building_footprint_m2", F.lit(0.0)).alias("building_footprint_m2"))
     area = F.col("area_m2")
-    p = (p.withColumn("developable_m2",
-                      F.when(F.col("is_building_zone"), F.greatest(area - F.col("forest_overlap_m2"), F.lit(0.0)))
-                      .otherwise(F.lit(0.0)))
-         .withColumn("coverage_ratio", F.when(area > 0, F.col("building_footprint_m2") / area)))
+    return (p.withColumn("developable_m2",
+                         F.when(F.col("is_building_zone"), F.greatest(area - F.col("forest_overlap_m2"), F.lit(0.0)))
+                         .otherwise(F.lit(0.0)))
+            .withColumn("coverage_ratio", F.when(area > 0, F.col("building_footprint_m2") / area)))
+
+
+def apply_restrictions(overlaid: DataFrame, restrictions: DataFrame) -> DataFrame:
+    """oereb_checked / oereb_blocking for parcels whose egrid has restriction rows."""
     flags = restriction_flags(restrictions)
-    p = (p.join(flags, "pkey", "left")
-         .withColumn("oereb_checked", F.coalesce("_checked", F.lit(False)))
-         .withColumn("oereb_blocking", F.col("_blocking"))
-         .drop("_checked", "_blocking"))
-    return p
+    return (overlaid.drop("oereb_checked", "oereb_blocking").join(flags, "pkey", "left")
+            .withColumn("oereb_checked", F.coalesce("_checked", F.lit(False)))
+            .withColumn("oereb_blocking", F.col("_blocking"))
+            .drop("_checked", "_blocking"))
+
+
+def enrich(parcels: DataFrame, zoning: DataFrame, planning: DataFrame, forest: DataFrame,
+           buildings: DataFrame, restrictions: DataFrame, cell: float = PARCEL_CELL) -> DataFrame:
+    """core.parcel after the enrichment steps (parcels = base_parcels output)."""
+    return apply_restrictions(overlay(parcels, zoning, planning, forest, buildings, cell), restrictions)
 
 
 def adjacency(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,
@@ -93,12 +102,16 @@ def adjacency(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,
 
 
 def score(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,
-          cell: float = PARCEL_CELL) -> DataFrame:
-    """Signals and 0-100 opportunity score, recomputed from scratch."""
+          cell: float = PARCEL_CELL, adjacent: DataFrame | None = None) -> DataFrame:
+    """Signals and 0-100 opportunity score, recomputed from scratch.
+
+    ``adjacent`` (output of :func:`adjacency`) can be passed when it is already
+    known; it depends only on geometry and zoning, not on the legal flags.
+    """
     bz, dev = F.col("is_building_zone"), F.col("developable_m2")
     cov = F.col("coverage_ratio")
     free = F.coalesce(F.col("oereb_blocking"), F.lit(False)) == False  # noqa: E712
-    adj = adjacency(enriched, distance, cell).withColumn("_adj", F.lit(True))
+    adj = (adjacent if adjacent is not None else adjacency(enriched, distance, cell)).withColumn("_adj", F.lit(True))
     p = enriched.join(adj, "pkey", "left")
     p = (p.withColumn("signal_underuse",
                       F.coalesce(bz & (dev > 0) & cov.isNotNull() & (cov < 0.25) & free, F.lit(False)))

@@ -158,7 +158,8 @@ _proj("surrogate_key", "enriched", ["egrid", lambda: F.sha2(F.col("pkey"), 256).
 @query("score_reset")
 def score_reset(spark, d):
     """Rescoring an already scored table recomputes every signal from scratch."""
-    again = P.score(Layers(spark, d).scored.drop("score_raw", "score_zeroed"))
+    L = Layers(spark, d)
+    again = P.score(L.scored.drop("score_raw", "score_zeroed"), adjacent=L.adjacent)
     return again.select("egrid", "signal_underuse", "signal_servicing", "signal_assembly", "opportunity_score")
 
 
@@ -552,7 +553,7 @@ def join_spatial_exists(spark, d):
 
 @query("join_dwithin_self")
 def join_dwithin_self(spark, d):
-    return P.adjacency(Layers(spark, d).enriched).select(F.col("pkey").alias("egrid"))
+    return Layers(spark, d).adjacent.select(F.col("pkey").alias("egrid"))
 
 
 @query("join_update_from")
@@ -675,10 +676,13 @@ def job_detect_changes(spark, d):
 
 @query("job_restriction_refresh")
 def job_restriction_refresh(spark, d):
+    """Shortlist -> extracts for those keys -> replace their restriction rows ->
+    re-flag and re-score. The spatial overlay and the adjacency do not depend
+    on the legal flags and are reused, not recomputed."""
     L = Layers(spark, d)
-    r = _refreshed_restrictions(L)
-    e = P.enrich(P.base_parcels(L.parcels), L.zoning, L.planning, L.forest, L.buildings, r)
-    return P.score(e).select("egrid", "oereb_checked", "oereb_blocking", "signal_assembly", "opportunity_score")
+    e = P.apply_restrictions(L.overlaid, _refreshed_restrictions(L))
+    return P.score(e, adjacent=L.adjacent).select(
+        "egrid", "oereb_checked", "oereb_blocking", "signal_assembly", "opportunity_score")
 
 
 @query("job_guard_empty_layer")
