@@ -79,10 +79,10 @@ def envelope(xmin, ymin, xmax, ymax) -> Column:
 def rects_to_geom(rects: str) -> Column:
     """ARRAY<rect> -> multipolygon, one rectangle part per element."""
     return F.expr(
-        f"transform({rects}, q -> array(array("
-        f"named_struct('x', q.xmin, 'y', q.ymin), named_struct('x', q.xmax, 'y', q.ymin),"
-        f"named_struct('x', q.xmax, 'y', q.ymax), named_struct('x', q.xmin, 'y', q.ymax),"
-        f"named_struct('x', q.xmin, 'y', q.ymin))))")
+        f"transform({rects}, vq_ -> array(array("
+        f"named_struct('x', vq_.xmin, 'y', vq_.ymin), named_struct('x', vq_.xmax, 'y', vq_.ymin),"
+        f"named_struct('x', vq_.xmax, 'y', vq_.ymax), named_struct('x', vq_.xmin, 'y', vq_.ymax),"
+        f"named_struct('x', vq_.xmin, 'y', vq_.ymin))))")
 
 
 def multi(polygon: str) -> Column:
@@ -93,11 +93,11 @@ def multi(polygon: str) -> Column:
 def shape_from_rects(rects: str) -> Column:
     """Shape of a geometry made only of axis-aligned rectangles (cheap path)."""
     return F.expr(f"""named_struct(
-        'xmin', array_min(transform({rects}, q -> q.xmin)),
-        'ymin', array_min(transform({rects}, q -> q.ymin)),
-        'xmax', array_max(transform({rects}, q -> q.xmax)),
-        'ymax', array_max(transform({rects}, q -> q.ymax)),
-        'area', aggregate({rects}, 0D, (a, q) -> a + (q.xmax - q.xmin) * (q.ymax - q.ymin)),
+        'xmin', array_min(transform({rects}, vq_ -> vq_.xmin)),
+        'ymin', array_min(transform({rects}, vq_ -> vq_.ymin)),
+        'xmax', array_max(transform({rects}, vq_ -> vq_.xmax)),
+        'ymax', array_max(transform({rects}, vq_ -> vq_.ymax)),
+        'area', aggregate({rects}, 0D, (va_, vq_) -> va_ + (vq_.xmax - vq_.xmin) * (vq_.ymax - vq_.ymin)),
         'nparts', size({rects}),
         'rect', size({rects}) = 1,
         'rects', CASE WHEN size({rects}) <> 1 THEN {rects} END,
@@ -142,10 +142,10 @@ def _rect_of_ring(r: str) -> str:
 
 def area_sql(g: str) -> str:
     """ST_Area: per part |outer| - sum |holes|."""
-    outer = _ring_signed_area("pa[0]")
-    holes = _ring_signed_area("rh")
-    return (f"aggregate({g}, 0D, (acc_a, pa) -> acc_a + abs({outer})"
-            f" - aggregate(slice(pa, 2, greatest(size(pa) - 1, 0)), 0D, (acc_h, rh) -> acc_h + abs({holes})))")
+    outer = _ring_signed_area("vpa_[0]")
+    holes = _ring_signed_area("vrh_")
+    return (f"aggregate({g}, 0D, (acc_a, vpa_) -> acc_a + abs({outer})"
+            f" - aggregate(slice(vpa_, 2, greatest(size(vpa_) - 1, 0)), 0D, (acc_h, vrh_) -> acc_h + abs({holes})))")
 
 
 def area(g: str) -> Column:
@@ -155,8 +155,8 @@ def area(g: str) -> Column:
 def bbox(g: str) -> Column:
     pts = f"flatten(flatten({g}))"
     return F.expr(f"""named_struct(
-        'xmin', array_min(transform({pts}, p -> p.x)), 'ymin', array_min(transform({pts}, p -> p.y)),
-        'xmax', array_max(transform({pts}, p -> p.x)), 'ymax', array_max(transform({pts}, p -> p.y)))""")
+        'xmin', array_min(transform({pts}, vp_ -> vp_.x)), 'ymin', array_min(transform({pts}, vp_ -> vp_.y)),
+        'xmax', array_max(transform({pts}, vp_ -> vp_.x)), 'ymax', array_max(transform({pts}, vp_ -> vp_.y)))""")
 
 
 def num_parts(g: str) -> Column:
@@ -165,11 +165,11 @@ def num_parts(g: str) -> Column:
 
 def _oriented_segs_sql(g: str) -> str:
     # outer rings CCW (positive), holes CW: flip a ring whose sign is wrong
-    sa = _ring_signed_area("ro")
-    seg_fwd = "named_struct('x1', ro[k].x, 'y1', ro[k].y, 'x2', ro[k + 1].x, 'y2', ro[k + 1].y)"
-    seg_rev = "named_struct('x1', ro[k + 1].x, 'y1', ro[k + 1].y, 'x2', ro[k].x, 'y2', ro[k].y)"
-    return (f"flatten(flatten(transform({g}, po -> transform(po, (ro, io) -> transform("
-            f"sequence(0, size(ro) - 2), k -> CASE WHEN (io = 0) = ({sa} >= 0) THEN {seg_fwd} ELSE {seg_rev} END)))))")
+    sa = _ring_signed_area("vro_")
+    seg_fwd = "named_struct('x1', vro_[vk_].x, 'y1', vro_[vk_].y, 'x2', vro_[vk_ + 1].x, 'y2', vro_[vk_ + 1].y)"
+    seg_rev = "named_struct('x1', vro_[vk_ + 1].x, 'y1', vro_[vk_ + 1].y, 'x2', vro_[vk_].x, 'y2', vro_[vk_].y)"
+    return (f"flatten(flatten(transform({g}, vpo_ -> transform(vpo_, (vro_, vio_) -> transform("
+            f"sequence(0, size(vro_) - 2), vk_ -> CASE WHEN (vio_ = 0) = ({sa} >= 0) THEN {seg_fwd} ELSE {seg_rev} END)))))")
 
 
 def shape(g: str, general: bool = False) -> Column:
@@ -179,18 +179,18 @@ def shape(g: str, general: bool = False) -> Column:
     general exact path (used to check it against rectangle arithmetic).
     """
     pts = f"flatten(flatten({g}))"
-    all_rect = "false" if general else f"forall({g}, pr -> size(pr) = 1 AND {_is_rect_ring('pr[0]')})"
+    all_rect = "false" if general else f"forall({g}, vpr_ -> size(vpr_) = 1 AND {_is_rect_ring('vpr_[0]')})"
     return F.expr(f"""named_struct(
-        'xmin', array_min(transform({pts}, p -> p.x)),
-        'ymin', array_min(transform({pts}, p -> p.y)),
-        'xmax', array_max(transform({pts}, p -> p.x)),
-        'ymax', array_max(transform({pts}, p -> p.y)),
+        'xmin', array_min(transform({pts}, vp_ -> vp_.x)),
+        'ymin', array_min(transform({pts}, vp_ -> vp_.y)),
+        'xmax', array_max(transform({pts}, vp_ -> vp_.x)),
+        'ymax', array_max(transform({pts}, vp_ -> vp_.y)),
         'area', {area_sql(g)},
         'nparts', size({g}),
         'rect', size({g}) = 1 AND {all_rect},
-        'rects', CASE WHEN size({g}) <> 1 AND {all_rect} THEN transform({g}, pr -> {_rect_of_ring('pr[0]')}) END,
+        'rects', CASE WHEN size({g}) <> 1 AND {all_rect} THEN transform({g}, vpr_ -> {_rect_of_ring('vpr_[0]')}) END,
         'segs', CASE WHEN NOT {all_rect} THEN {_oriented_segs_sql(g)} END,
-        'probes', CASE WHEN NOT {all_rect} THEN transform({g}, pr -> pr[0][0]) END)""")
+        'probes', CASE WHEN NOT {all_rect} THEN transform({g}, vpr_ -> vpr_[0][0]) END)""")
 
 
 def _rects_of(s: str) -> str:
@@ -200,7 +200,7 @@ def _rects_of(s: str) -> str:
 
 
 def _probes_of(s: str) -> str:
-    return f"coalesce({s}.probes, transform({_rects_of(s)}, q -> named_struct('x', q.xmin, 'y', q.ymin)))"
+    return f"coalesce({s}.probes, transform({_rects_of(s)}, vq_ -> named_struct('x', vq_.xmin, 'y', vq_.ymin)))"
 
 
 def _all_rect(s: str) -> str:
@@ -209,11 +209,11 @@ def _all_rect(s: str) -> str:
 
 def _segs_of(s: str) -> str:
     """Segments of a shape; rectangle shapes get theirs on the fly (CCW)."""
-    return (f"coalesce({s}.segs, flatten(transform({_rects_of(s)}, q -> array("
-            f"named_struct('x1', q.xmin, 'y1', q.ymin, 'x2', q.xmax, 'y2', q.ymin),"
-            f"named_struct('x1', q.xmax, 'y1', q.ymin, 'x2', q.xmax, 'y2', q.ymax),"
-            f"named_struct('x1', q.xmax, 'y1', q.ymax, 'x2', q.xmin, 'y2', q.ymax),"
-            f"named_struct('x1', q.xmin, 'y1', q.ymax, 'x2', q.xmin, 'y2', q.ymin)))))")
+    return (f"coalesce({s}.segs, flatten(transform({_rects_of(s)}, vq_ -> array("
+            f"named_struct('x1', vq_.xmin, 'y1', vq_.ymin, 'x2', vq_.xmax, 'y2', vq_.ymin),"
+            f"named_struct('x1', vq_.xmax, 'y1', vq_.ymin, 'x2', vq_.xmax, 'y2', vq_.ymax),"
+            f"named_struct('x1', vq_.xmax, 'y1', vq_.ymax, 'x2', vq_.xmin, 'y2', vq_.ymax),"
+            f"named_struct('x1', vq_.xmin, 'y1', vq_.ymax, 'x2', vq_.xmin, 'y2', vq_.ymin)))))")
 
 
 # ---------------------------------------------------------------------------
@@ -233,8 +233,8 @@ def _rect_overlap(p: str, q: str) -> str:
 def _edge_pair_area(a: str, b: str) -> str:
     ox, oy = f"least({a}.xmin, {b}.xmin)", f"least({a}.ymin, {b}.ymin)"
     # shifted endpoints
-    ex1, ey1, ex2, ey2 = (f"(e.x1 - {ox})", f"(e.y1 - {oy})", f"(e.x2 - {ox})", f"(e.y2 - {oy})")
-    fx1, fy1, fx2, fy2 = (f"(f.x1 - {ox})", f"(f.y1 - {oy})", f"(f.x2 - {ox})", f"(f.y2 - {oy})")
+    ex1, ey1, ex2, ey2 = (f"(ve_.x1 - {ox})", f"(ve_.y1 - {oy})", f"(ve_.x2 - {ox})", f"(ve_.y2 - {oy})")
+    fx1, fy1, fx2, fy2 = (f"(vf_.x1 - {ox})", f"(vf_.y1 - {oy})", f"(vf_.x2 - {ox})", f"(vf_.y2 - {oy})")
     lo = f"greatest(least({ex1}, {ex2}), least({fx1}, {fx2}))"
     hi = f"least(greatest({ex1}, {ex2}), greatest({fx1}, {fx2}))"
 
@@ -250,17 +250,17 @@ def _edge_pair_area(a: str, b: str) -> str:
     same = f"({hi} - {lo}) * (least({yel}, {yfl}) + least({yer}, {yfr})) / 2"
     split = (f"{xc} * (least({yel}, {yfl}) + {yc}) / 2"
              f" + ({hi} - {lo} - {xc}) * ({yc} + least({yer}, {yfr})) / 2")
-    term = (f"CASE WHEN e.x1 = e.x2 OR f.x1 = f.x2 OR {hi} <= {lo} THEN 0D"
-            f" ELSE signum(e.x2 - e.x1) * signum(f.x2 - f.x1)"
+    term = (f"CASE WHEN ve_.x1 = ve_.x2 OR vf_.x1 = vf_.x2 OR {hi} <= {lo} THEN 0D"
+            f" ELSE signum(ve_.x2 - ve_.x1) * signum(vf_.x2 - vf_.x1)"
             f" * CASE WHEN {dl} * {dr} >= 0 THEN {same} ELSE {split} END END")
-    return (f"greatest(aggregate({_segs_of(a)}, 0D, (acc_e, e) -> acc_e"
-            f" + aggregate({_segs_of(b)}, 0D, (acc_f, f) -> acc_f + {term})), 0D)")
+    return (f"greatest(aggregate({_segs_of(a)}, 0D, (acc_e, ve_) -> acc_e"
+            f" + aggregate({_segs_of(b)}, 0D, (acc_f, vf_) -> acc_f + {term})), 0D)")
 
 
 def overlap_area_sql(a: str, b: str, rect_only: bool = False) -> str:
     """ST_Area(ST_Intersection(a, b)) for two shape structs."""
-    rects = (f"aggregate({_rects_of(a)}, 0D, (acc_p, p) -> acc_p + aggregate({_rects_of(b)}, 0D,"
-             f" (acc_q, q) -> acc_q + {_rect_overlap('p', 'q')}))")
+    rects = (f"aggregate({_rects_of(a)}, 0D, (acc_p, vp_) -> acc_p + aggregate({_rects_of(b)}, 0D,"
+             f" (acc_q, vq_) -> acc_q + {_rect_overlap('vp_', 'vq_')}))")
     if rect_only:
         return f"CASE WHEN {a}.rect AND {b}.rect THEN {_rect_overlap(a, b)} ELSE {rects} END"
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b)} THEN 0D"
@@ -285,20 +285,20 @@ def _seg_intersects(e: str, f: str) -> str:
 
 def _point_in(p: str, s: str) -> str:
     """Crossing-number parity of point p against all rings of shape s."""
-    cross = (f"((g.y1 > {p}.y) <> (g.y2 > {p}.y)) AND "
-             f"({p}.x < g.x1 + ({p}.y - g.y1) * (g.x2 - g.x1) / (g.y2 - g.y1))")
-    return f"(size(filter({_segs_of(s)}, g -> {cross})) % 2 = 1)"
+    cross = (f"((vg_.y1 > {p}.y) <> (vg_.y2 > {p}.y)) AND "
+             f"({p}.x < vg_.x1 + ({p}.y - vg_.y1) * (vg_.x2 - vg_.x1) / (vg_.y2 - vg_.y1))")
+    return f"(size(filter({_segs_of(s)}, vg_ -> {cross})) % 2 = 1)"
 
 
 def _general_intersects(a: str, b: str) -> str:
-    return (f"(exists({_segs_of(a)}, e -> exists({_segs_of(b)}, f -> {_seg_intersects('e', 'f')}))"
-            f" OR exists({_probes_of(a)}, pa -> {_point_in('pa', b)})"
-            f" OR exists({_probes_of(b)}, pb -> {_point_in('pb', a)}))")
+    return (f"(exists({_segs_of(a)}, ve_ -> exists({_segs_of(b)}, vf_ -> {_seg_intersects('ve_', 'vf_')}))"
+            f" OR exists({_probes_of(a)}, vpa_ -> {_point_in('vpa_', b)})"
+            f" OR exists({_probes_of(b)}, vpb_ -> {_point_in('vpb_', a)}))")
 
 
 def intersects_sql(a: str, b: str, rect_only: bool = False) -> str:
     """ST_Intersects (closed: touching counts)."""
-    rects = f"exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {bbox_intersects_sql('p', 'q')}))"
+    rects = f"exists({_rects_of(a)}, vp_ -> exists({_rects_of(b)}, vq_ -> {bbox_intersects_sql('vp_', 'vq_')}))"
     if rect_only:
         return f"({bbox_intersects_sql(a, b)} AND (({a}.rect AND {b}.rect) OR {rects}))"
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b)} THEN false"
@@ -327,15 +327,15 @@ def dwithin_sql(a: str, b: str, d: float, rect_only: bool = False) -> str:
     d2 = float(d) * float(d)
     if rect_only:
         return (f"CASE WHEN {a}.rect AND {b}.rect THEN {_rect_gap2(a, b)} <= {d2}"
-                f" ELSE exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {_rect_gap2('p', 'q')} <= {d2})) END")
-    seg_d2 = (f"least({_pt_seg_d2('e.x1', 'e.y1', 'f')}, {_pt_seg_d2('e.x2', 'e.y2', 'f')},"
-              f" {_pt_seg_d2('f.x1', 'f.y1', 'e')}, {_pt_seg_d2('f.x2', 'f.y2', 'e')})")
+                f" ELSE exists({_rects_of(a)}, vp_ -> exists({_rects_of(b)}, vq_ -> {_rect_gap2('vp_', 'vq_')} <= {d2})) END")
+    seg_d2 = (f"least({_pt_seg_d2('ve_.x1', 've_.y1', 'vf_')}, {_pt_seg_d2('ve_.x2', 've_.y2', 'vf_')},"
+              f" {_pt_seg_d2('vf_.x1', 'vf_.y1', 've_')}, {_pt_seg_d2('vf_.x2', 'vf_.y2', 've_')})")
     return (f"CASE WHEN NOT {bbox_intersects_sql(a, b, d)} THEN false"
             f" WHEN {a}.rect AND {b}.rect THEN {_rect_gap2(a, b)} <= {d2}"
             f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN"
-            f" exists({_rects_of(a)}, p -> exists({_rects_of(b)}, q -> {_rect_gap2('p', 'q')} <= {d2}))"
+            f" exists({_rects_of(a)}, vp_ -> exists({_rects_of(b)}, vq_ -> {_rect_gap2('vp_', 'vq_')} <= {d2}))"
             f" ELSE ({_general_intersects(a, b)}"
-            f" OR exists({_segs_of(a)}, e -> exists({_segs_of(b)}, f -> {seg_d2} <= {d2}))) END")
+            f" OR exists({_segs_of(a)}, ve_ -> exists({_segs_of(b)}, vf_ -> {seg_d2} <= {d2}))) END")
 
 
 def contains_sql(a: str, b: str, rect_only: bool = False) -> str:
@@ -384,5 +384,5 @@ def _wgs84_to_lv95_point(p: str) -> str:
 
 def to_lv95(g: str) -> Column:
     """Transform a WGS84 multipolygon to LV95; LV95 input passes through."""
-    conv = f"transform({g}, pt -> transform(pt, rt -> transform(rt, q -> {_wgs84_to_lv95_point('q')})))"
+    conv = f"transform({g}, vpt_ -> transform(vpt_, vrt_ -> transform(vrt_, vq_ -> {_wgs84_to_lv95_point('vq_')})))"
     return F.expr(f"CASE WHEN abs({g}[0][0][0].x) <= 200 THEN {conv} ELSE {g} END")
