@@ -399,3 +399,4 @@ SELECT page_id, concat_ws('|', CASE WHEN contains(lower(html), 'zone_affectation
        CAST((contains(lower(html), 'zone_affectation'))::INT + (contains(lower(html), 'affectation'))::INT
             + (contains(lower(html), 'zone'))::INT AS INTEGER) AS n_hits
 FROM pages""")
+proj("stream_restriction_refresh", "egrid, theme_code, theme_text, legal_state", "restrictions2")

@@ -765,3 +765,17 @@ def prof_filter_works(spark, d):
 @query("prof_keyword_hits")
 def prof_keyword_hits(spark, d):
     return PR.keyword_hits(D.table(spark, d, "pages"), "page_id", "html")
+
+
+@query("stream_restriction_refresh")
+def stream_restriction_refresh(spark, d):
+    """Shortlist extracts landed as files, applied by the streaming refresh job."""
+    from ..streaming import restrictions as RS
+    L = Layers(spark, d)
+    st = _store(spark)
+    st.replace(L.restrictions, "restrictions")
+    landed = f"{st.root}/landed"
+    L.extracts.join(L.shortlist.select("egrid"), "egrid", "left_semi").write.mode("overwrite").json(landed)
+    q = RS.start(spark, landed, st, checkpoint=f"{st.root}/stream-checkpoint")
+    q.awaitTermination()
+    return st.read("restrictions").select("egrid", "theme_code", "theme_text", "legal_state")
