@@ -230,19 +230,25 @@ def _rect_overlap(p: str, q: str) -> str:
             f" * greatest(least({p}.ymax, {q}.ymax) - greatest({p}.ymin, {q}.ymin), 0D)")
 
 
+def _norm_edges(s: str, ox: str, oy: str) -> str:
+    """Non-vertical edges of a shape, each once as left/right x and y relative
+    to the pair's origin plus the sign of its direction (O(E), per side)."""
+    return (f"transform(filter({_segs_of(s)}, vs_ -> vs_.x1 <> vs_.x2), vs_ -> named_struct("
+            f"'xl', least(vs_.x1, vs_.x2) - {ox}, 'xr', greatest(vs_.x1, vs_.x2) - {ox},"
+            f" 'yl', CASE WHEN vs_.x1 < vs_.x2 THEN vs_.y1 ELSE vs_.y2 END - {oy},"
+            f" 'yr', CASE WHEN vs_.x1 < vs_.x2 THEN vs_.y2 ELSE vs_.y1 END - {oy},"
+            f" 'sg', signum(vs_.x2 - vs_.x1)))")
+
+
 def _edge_pair_area(a: str, b: str) -> str:
     ox, oy = f"least({a}.xmin, {b}.xmin)", f"least({a}.ymin, {b}.ymin)"
-    # shifted endpoints
-    ex1, ey1, ex2, ey2 = (f"(ve_.x1 - {ox})", f"(ve_.y1 - {oy})", f"(ve_.x2 - {ox})", f"(ve_.y2 - {oy})")
-    fx1, fy1, fx2, fy2 = (f"(vf_.x1 - {ox})", f"(vf_.y1 - {oy})", f"(vf_.x2 - {ox})", f"(vf_.y2 - {oy})")
-    lo = f"greatest(least({ex1}, {ex2}), least({fx1}, {fx2}))"
-    hi = f"least(greatest({ex1}, {ex2}), greatest({fx1}, {fx2}))"
+    lo = "greatest(ve_.xl, vf_.xl)"
+    hi = "least(ve_.xr, vf_.xr)"
 
-    def yat(x1, y1, x2, y2, x):
-        return f"({y1} + ({x} - {x1}) * ({y2} - {y1}) / ({x2} - {x1}))"
+    def yat(v, x):
+        return f"({v}.yl + ({x} - {v}.xl) * ({v}.yr - {v}.yl) / ({v}.xr - {v}.xl))"
 
-    yel, yer = yat(ex1, ey1, ex2, ey2, lo), yat(ex1, ey1, ex2, ey2, hi)
-    yfl, yfr = yat(fx1, fy1, fx2, fy2, lo), yat(fx1, fy1, fx2, fy2, hi)
+    yel, yer, yfl, yfr = yat("ve_", lo), yat("ve_", hi), yat("vf_", lo), yat("vf_", hi)
     dl, dr = f"({yel} - {yfl})", f"({yer} - {yfr})"
     t = f"({dl} / ({dl} - {dr}))"
     xc = f"({t} * ({hi} - {lo}))"
@@ -250,11 +256,12 @@ def _edge_pair_area(a: str, b: str) -> str:
     same = f"({hi} - {lo}) * (least({yel}, {yfl}) + least({yer}, {yfr})) / 2"
     split = (f"{xc} * (least({yel}, {yfl}) + {yc}) / 2"
              f" + ({hi} - {lo} - {xc}) * ({yc} + least({yer}, {yfr})) / 2")
-    term = (f"CASE WHEN ve_.x1 = ve_.x2 OR vf_.x1 = vf_.x2 OR {hi} <= {lo} THEN 0D"
-            f" ELSE signum(ve_.x2 - ve_.x1) * signum(vf_.x2 - vf_.x1)"
+    term = (f"CASE WHEN {hi} <= {lo} THEN 0D ELSE ve_.sg * vf_.sg"
             f" * CASE WHEN {dl} * {dr} >= 0 THEN {same} ELSE {split} END END")
-    return (f"greatest(aggregate({_segs_of(a)}, 0D, (acc_e, ve_) -> acc_e"
-            f" + aggregate({_segs_of(b)}, 0D, (acc_f, vf_) -> acc_f + {term})), 0D)")
+    # bind both normalised edge lists once (a one-element transform acts as a let)
+    return (f"greatest(element_at(transform(array(named_struct('na', {_norm_edges(a, ox, oy)},"
+            f" 'nb', {_norm_edges(b, ox, oy)})), vz_ -> aggregate(vz_.na, 0D, (acc_e, ve_) -> acc_e"
+            f" + aggregate(vz_.nb, 0D, (acc_f, vf_) -> acc_f + {term}))), 1), 0D)")
 
 
 def overlap_area_sql(a: str, b: str, rect_only: bool = False) -> str:
@@ -283,17 +290,27 @@ def _seg_intersects(e: str, f: str) -> str:
     return f"({o1} * {o2} <= 0 AND {o3} * {o4} <= 0 AND {box})"
 
 
-def _point_in(p: str, s: str) -> str:
-    """Crossing-number parity of point p against all rings of shape s."""
+def _point_in(p: str, segs: str) -> str:
+    """Crossing-number parity of point p against all rings (given as segments)."""
     cross = (f"((vg_.y1 > {p}.y) <> (vg_.y2 > {p}.y)) AND "
              f"({p}.x < vg_.x1 + ({p}.y - vg_.y1) * (vg_.x2 - vg_.x1) / (vg_.y2 - vg_.y1))")
-    return f"(size(filter({_segs_of(s)}, vg_ -> {cross})) % 2 = 1)"
+    return f"(size(filter({segs}, vg_ -> {cross})) % 2 = 1)"
+
+
+def _let_segs(a: str, b: str, body: str) -> str:
+    """Evaluate ``body`` with both segment lists bound once as vz_.sa / vz_.sb."""
+    return (f"element_at(transform(array(named_struct('sa', {_segs_of(a)}, 'sb', {_segs_of(b)})),"
+            f" vz_ -> {body}), 1)")
+
+
+def _general_intersects_body(a: str, b: str) -> str:
+    return (f"(exists(vz_.sa, ve_ -> exists(vz_.sb, vf_ -> {_seg_intersects('ve_', 'vf_')}))"
+            f" OR exists({_probes_of(a)}, vpa_ -> {_point_in('vpa_', 'vz_.sb')})"
+            f" OR exists({_probes_of(b)}, vpb_ -> {_point_in('vpb_', 'vz_.sa')}))")
 
 
 def _general_intersects(a: str, b: str) -> str:
-    return (f"(exists({_segs_of(a)}, ve_ -> exists({_segs_of(b)}, vf_ -> {_seg_intersects('ve_', 'vf_')}))"
-            f" OR exists({_probes_of(a)}, vpa_ -> {_point_in('vpa_', b)})"
-            f" OR exists({_probes_of(b)}, vpb_ -> {_point_in('vpb_', a)}))")
+    return _let_segs(a, b, _general_intersects_body(a, b))
 
 
 def intersects_sql(a: str, b: str, rect_only: bool = False) -> str:
@@ -334,8 +351,7 @@ def dwithin_sql(a: str, b: str, d: float, rect_only: bool = False) -> str:
             f" WHEN {a}.rect AND {b}.rect THEN {_rect_gap2(a, b)} <= {d2}"
             f" WHEN {_all_rect(a)} AND {_all_rect(b)} THEN"
             f" exists({_rects_of(a)}, vp_ -> exists({_rects_of(b)}, vq_ -> {_rect_gap2('vp_', 'vq_')} <= {d2}))"
-            f" ELSE ({_general_intersects(a, b)}"
-            f" OR exists({_segs_of(a)}, ve_ -> exists({_segs_of(b)}, vf_ -> {seg_d2} <= {d2}))) END")
+            f" ELSE {_let_segs(a, b, f'({_general_intersects_body(a, b)} OR exists(vz_.sa, ve_ -> exists(vz_.sb, vf_ -> {seg_d2} <= {d2})))')} END")
 
 
 def contains_sql(a: str, b: str, rect_only: bool = False) -> str:
