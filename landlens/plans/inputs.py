@@ -78,7 +78,7 @@ class Layers:
 
     @cached_property
     def adjacent(self) -> DataFrame:
-        return P.adjacency(self.overlaid)
+        return self.pin(P.adjacency(self.overlaid))
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -65,11 +65,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; create a scratch one only when unset.
 
-    On a cluster the setting is expected to be present (shared storage); the
-    fallback exists for local tests and the bench only.
+    On a cluster the setting must be present (shared storage) and a missing one
+    is an error; a scratch folder is created only for ``local`` masters (tests,
+    bench).
     """
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a shared folder is required on a cluster")
         d = tempfile.mkdtemp(prefix="landlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.sparkContext.setCheckpointDir(d)
     else:
