@@ -400,3 +400,30 @@ SELECT page_id, concat_ws('|', CASE WHEN contains(lower(html), 'zone_affectation
             + (contains(lower(html), 'zone'))::INT AS INTEGER) AS n_hits
 FROM pages""")
 proj("stream_restriction_refresh", "egrid, theme_code, theme_text, legal_state", "restrictions2")
+
+# ---------------------------------------------------------------- 2.10 ---
+proj("scalar_null", "egrid, coalesce(oereb_blocking, false) AS blocked, nullif(commune_bfs, 6601) AS bfs_not_6601, "
+     "oereb_blocking IS DISTINCT FROM false AS distinct_from_false, zone_type IS NULL AS no_zone", "enriched")
+proj("scalar_conditional", "zone_id, greatest(height_limit_m, 12) AS h_at_least_12, "
+     "least(utilisation_pct, 50.0::DOUBLE) AS util_capped, developable_m2 BETWEEN 1000 AND 20000 AS mid_size, "
+     "zone_code IN ('D4A', 'D4B', '3') AS listed, signal_large_zone AND utilisation_pct < 40 AS large_and_low, "
+     "CASE WHEN n_buildings = 0 THEN 'empty' WHEN n_buildings < 10 THEN 'few' ELSE 'many' END AS density", "zones_b")
+proj("scalar_math", f"zone_id, CAST(floor(height_limit_m / 3.0::DOUBLE) AS BIGINT) AS storeys, "
+     f"round_even(utilisation_pct, 0) AS util_half_even, CAST({_half_up('utilisation_pct')} AS BIGINT) AS util_half_up, "
+     f"built_floor_area_m2 / developable_m2 AS floor_ratio", "zones_b")
+proj("scalar_string", "zone_id, 'code ' || zone_code || density_indice AS pipe_concat, "
+     "concat_ws('', 'h', CAST(height_limit_m AS VARCHAR)) AS pg_concat, "
+     "trim(', ' || typ_kt || ', ,', ', ') AS trimmed, md5(zone_id) AS md5_id, upper(typ_kt) AS upper_type, "
+     "regexp_matches(lower(hauptnutzung), 'nation_1[0-9]') AS teen_nation", "zoning")
+proj("scalar_cast", "egrid, CAST(CAST(round_even(area_m2, 0) AS BIGINT) AS VARCHAR) AS area_text, "
+     "CAST(is_building_zone AS VARCHAR) AS bz_text, TRY_CAST(parcel_no AS INTEGER) AS parcel_int, "
+     "CAST(NULL AS INTEGER) AS not_an_int", "enriched")
+oracle("scalar_datetime", "SELECT CAST(c_custkey AS VARCHAR) AS pz_id, DATE '2025-01-01' AS valid_from, "
+       "TIMESTAMP '2025-01-03 00:00:00' AS run_ts, true AS in_force_at_run, CAST(2 AS INTEGER) AS days_in_force "
+       "FROM customer WHERE c_custkey % 30 = 0")
+oracle("scalar_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
+       "CAST(json_object('id', event_id, 'low_value', CASE WHEN value < 20 THEN value END) AS VARCHAR) AS doc "
+       "FROM events")
+oracle("scalar_array_map", "SELECT CAST(p AS VARCHAR) AS zone_id, 7 AS n_keys, "
+       "CASE WHEN p % 7 = 0 THEN xmin + 148 END AS second_part_xmin, "
+       "CASE WHEN p % 7 = 0 THEN 0 ELSE 1 END AS n_wide_parts FROM zoning_src", "zoning_src")

@@ -779,3 +779,81 @@ def stream_restriction_refresh(spark, d):
     q = RS.start(spark, landed, st, checkpoint=f"{st.root}/stream-checkpoint")
     q.awaitTermination()
     return st.read("restrictions").select("egrid", "theme_code", "theme_text", "legal_state")
+
+
+# ------------------------------------------------- 2.10 scalar function groups --
+@query("scalar_null")
+def scalar_null(spark, d):
+    e = Layers(spark, d).enriched
+    return e.select("egrid", F.coalesce("oereb_blocking", F.lit(False)).alias("blocked"),
+                    F.nullif(F.col("commune_bfs"), F.lit(6601)).alias("bfs_not_6601"),
+                    (~F.col("oereb_blocking").eqNullSafe(F.lit(False))).alias("distinct_from_false"),
+                    F.col("zone_type").isNull().alias("no_zone"))
+
+
+@query("scalar_conditional")
+def scalar_conditional(spark, d):
+    z = Layers(spark, d).zones_b
+    return z.select("zone_id", F.greatest(F.col("height_limit_m"), F.lit(12)).alias("h_at_least_12"),
+                    F.least(F.col("utilisation_pct"), F.lit(50.0)).alias("util_capped"),
+                    F.col("developable_m2").between(1000, 20000).alias("mid_size"),
+                    F.col("zone_code").isin("D4A", "D4B", "3").alias("listed"),
+                    (F.col("signal_large_zone") & (F.col("utilisation_pct") < 40)).alias("large_and_low"),
+                    F.when(F.col("n_buildings") == 0, "empty").when(F.col("n_buildings") < 10, "few")
+                    .otherwise("many").alias("density"))
+
+
+@query("scalar_math")
+def scalar_math(spark, d):
+    z = Layers(spark, d).zones_b
+    return z.select("zone_id", F.floor(F.col("height_limit_m") / 3.0).alias("storeys"),
+                    RP.half_even(F.col("utilisation_pct")).alias("util_half_even"),
+                    RP.half_up(F.col("utilisation_pct")).cast("bigint").alias("util_half_up"),
+                    (F.col("built_floor_area_m2") / F.col("developable_m2")).alias("floor_ratio"))
+
+
+@query("scalar_string")
+def scalar_string(spark, d):
+    z = Layers(spark, d).zoning
+    return z.select("zone_id",
+                    F.concat(F.lit("code "), F.col("zone_code"), F.col("density_indice")).alias("pipe_concat"),
+                    F.concat_ws("", F.lit("h"), F.col("height_limit_m").cast("string")).alias("pg_concat"),
+                    F.btrim(F.concat(F.lit(", "), F.col("typ_kt"), F.lit(", ,")), F.lit(", ")).alias("trimmed"),
+                    F.md5(F.col("zone_id")).alias("md5_id"), F.upper(F.col("typ_kt")).alias("upper_type"),
+                    F.lower(F.col("hauptnutzung")).rlike("nation_1[0-9]").alias("teen_nation"))
+
+
+@query("scalar_cast")
+def scalar_cast(spark, d):
+    e = Layers(spark, d).enriched
+    return e.select("egrid", F.rint(F.col("area_m2")).cast("bigint").cast("string").alias("area_text"),
+                    F.col("is_building_zone").cast("string").alias("bz_text"),
+                    F.col("parcel_no").try_cast("int").alias("parcel_int"),
+                    R.to_int(F.concat(F.lit(" "), F.col("source_id"), F.lit(".5"))).alias("not_an_int"))
+
+
+@query("scalar_datetime")
+def scalar_datetime(spark, d):
+    from .inputs import RUN3_TS
+    p = Layers(spark, d).planning
+    run = F.lit(RUN3_TS).cast("timestamp")
+    return p.select("pz_id", "valid_from", run.alias("run_ts"),
+                    (F.col("valid_from") <= F.to_date(run)).alias("in_force_at_run"),
+                    F.datediff(F.to_date(run), F.col("valid_from")).alias("days_in_force"))
+
+
+@query("scalar_json")
+def scalar_json(spark, d):
+    ev = D.table(spark, d, "events").select("event_id", "props", "value")
+    return ev.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"),
+                     F.to_json(F.struct(F.col("event_id").alias("id"),
+                                        F.when(F.col("value") < 20, F.col("value")).alias("low_value")),
+                               {"ignoreNullFields": "false"}).alias("doc"))
+
+
+@query("scalar_array_map")
+def scalar_array_map(spark, d):
+    f = Layers(spark, d).zoning_features
+    return f.select(F.col("id").alias("zone_id"), F.size(F.map_keys("properties")).alias("n_keys"),
+                    F.expr("try_element_at(rects, 2).xmin").alias("second_part_xmin"),
+                    F.size(F.filter("rects", lambda r: r["xmax"] - r["xmin"] > 200)).alias("n_wide_parts"))
