@@ -836,7 +836,7 @@ def scalar_cast(spark, d):
 def scalar_datetime(spark, d):
     from .inputs import RUN3_TS
     p = Layers(spark, d).planning
-    run = F.lit(RUN3_TS).cast("timestamp")
+    run = F.lit(RUN3_TS).cast("timestamp_ntz")  # one wall-clock stamp per run, zone-free
     return p.select("pz_id", "valid_from", run.alias("run_ts"),
                     (F.col("valid_from") <= F.to_date(run)).alias("in_force_at_run"),
                     F.datediff(F.to_date(run), F.col("valid_from")).alias("days_in_force"))
