@@ -49,9 +49,22 @@ def _owner_sql(a: str, b: str, c: float, d: float) -> str:
             f" + cast(floor(greatest({a}.ymin - {d}, {b}.ymin) / {c}) AS bigint)")
 
 
+def auto_cell(left: DataFrame, right: DataFrame, left_shape: str = "shape", right_shape: str = "shape",
+              floor: float = 1.0) -> float:
+    """Grid size from the data: the median box extent (larger side) of the two
+    layers, so a typical row covers about four cells. One small aggregate over
+    the shape columns only (approximate percentile, bounded memory)."""
+    def med(df, s):
+        ext = F.greatest(F.col(f"{s}.xmax") - F.col(f"{s}.xmin"), F.col(f"{s}.ymax") - F.col(f"{s}.ymin"))
+        return df.agg(F.percentile_approx(ext, 0.5, 1000).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    a, b = med(left, left_shape), med(right, right_shape)
+    cands = [r["m"] for r in (a, b) if r["m"] is not None]
+    return max(max(cands) if cands else floor, floor)
+
+
 def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape",
                  right_shape: str = "shape", predicate: str = "intersects",
-                 distance: float = 0.0, cell: float = 100.0, on: Sequence[str] = (),
+                 distance: float = 0.0, cell: float | str = 100.0, on: Sequence[str] = (),
                  with_overlap: bool = False, keep_shapes: bool = False) -> DataFrame:
     """Pairs (left row, right row) satisfying the spatial predicate.
 
@@ -65,9 +78,10 @@ def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape"
     ``geometry.mark_rect_only``) only closed-form rectangle expressions are
     planned; otherwise every pair gets the general exact path.
     Column names of the two sides must be disjoint apart from ``on``.
+    ``cell="auto"`` sizes the grid from the data (see :func:`auto_cell`).
     """
     d = float(distance) if predicate == "dwithin" else 0.0
-    c = float(cell)
+    c = auto_cell(left, right, left_shape, right_shape) if cell == "auto" else float(cell)
     ro = G.is_rect_only(left, left_shape) and G.is_rect_only(right, right_shape)
     lq = _explode_cells(left.withColumnRenamed(left_shape, "_ls"), "_ls", c, d)
     rq = _explode_cells(right.withColumnRenamed(right_shape, "_rs"), "_rs", c, 0.0)

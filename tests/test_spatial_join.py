@@ -35,9 +35,9 @@ def brute(a, b, d=0.0):
     return out
 
 
-@pytest.mark.parametrize("cell", [3.0, 10.0, 50.0])
+@pytest.mark.parametrize("cell", [3.0, 10.0, 50.0, "auto"])
 def test_intersects_and_dwithin(spark, cell):
-    rnd = random.Random(int(cell))
+    rnd = random.Random(hash(str(cell)) % 1000)
     a, b = rects(rnd, 150, 60, 12), rects(rnd, 200, 60, 6)
     la, lb = layer(spark, a, "i"), layer(spark, b, "j")
     got = [(r["i"], r["j"]) for r in spatial_join(la, lb, cell=cell).collect()]
