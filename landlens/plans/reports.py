@@ -31,7 +31,7 @@ def top_k(df: DataFrame, n: int, order: list[Column], rank: str | None = "rank")
     """ORDER BY ... LIMIT n (a bounded TakeOrderedAndProject), optionally numbered 1..n."""
     out = df.orderBy(*order).limit(n)
     if rank:
-        out = out.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+        out = out.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     return out
 
 
@@ -98,7 +98,7 @@ def zone_mix(zones: DataFrame) -> DataFrame:
                 half_up(F.sum("developable_m2") / 10000.0).cast("bigint").alias("developable_ha")))
     # (tier, code) groups are bounded by the zone-code vocabulary
     order = [F.col("zone_tier").asc(), F.col("n_zones").desc(), F.col("zone_code").asc()]
-    return mix.withColumn("pos", F.row_number().over(Window.orderBy(*order))).orderBy(*order)
+    return mix.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("bigint")).orderBy(*order)
 
 
 def pdf_kpis(zones: DataFrame) -> DataFrame:
