@@ -369,9 +369,11 @@ SELECT egrid, CASE WHEN seen THEN 'changed' ELSE 'new' END AS change_type,
 cte("zparsed_all", ("zoning",), """
 SELECT z.*, CAST(zone_id AS BIGINT) // 100 AS page_no,
        CASE WHEN CAST(zone_id AS BIGINT) % 19 = 0 THEN 'rejected' WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN 'repaired'
-            ELSE 'ok' END AS status,
-       CASE WHEN CAST(zone_id AS BIGINT) % 19 = 0 THEN 'zero-area ring' END AS reason,
+            WHEN CAST(zone_id AS BIGINT) % 29 = 0 THEN 'rejected' ELSE 'ok' END AS status,
+       CASE WHEN CAST(zone_id AS BIGINT) % 19 = 0 THEN 'zero-area ring' WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN NULL
+            WHEN CAST(zone_id AS BIGINT) % 29 = 0 THEN 'self-intersecting ring' END AS reason,
        CASE WHEN CAST(zone_id AS BIGINT) % 19 = 0 THEN 'Polygon' WHEN CAST(zone_id AS BIGINT) % 17 = 0 THEN 'Polygon'
+            WHEN CAST(zone_id AS BIGINT) % 29 = 0 THEN 'Polygon'
             WHEN CAST(zone_id AS BIGINT) % 23 = 0 THEN 'GeometryCollection'
             WHEN n_parts = 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS gtype
 FROM zoning z""")

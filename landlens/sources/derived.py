@@ -285,7 +285,8 @@ def _coords_json(x1: str, y1: str, x2: str, y2: str, closed: bool = True) -> str
 def zoning_geojson_features(spark: SparkSession, d: str) -> DataFrame:
     """Zoning features as GeoJSON Feature strings, with the awkward cases a
     real service returns: MultiPolygon parts, unclosed rings (p % 17 = 0),
-    zero-area rings (p % 19 = 0), GeometryCollections with a point (p % 23 = 0)."""
+    zero-area rings (p % 19 = 0), bow-tie rings (p % 29 = 0), GeometryCollections
+    with a point (p % 23 = 0)."""
     zf = zoning_features(spark, d)
     r = "rects"
     one = ("concat('[', " + _sql_ring(f"{r}[0]", True) + ", ']')")
@@ -296,12 +297,15 @@ def zoning_geojson_features(spark: SparkSession, d: str) -> DataFrame:
     flat = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
             f" {r}[0].xmax, ',', {r}[0].ymin, '],[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
             f" {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
+    bow = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
+           f" {r}[0].xmax, ',', {r}[0].ymax, '],[', {r}[0].xmax, ',', {r}[0].ymin, '],[',"
+           f" {r}[0].xmin, ',', {r}[0].ymax, '],[', {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
     base = f"CASE WHEN size({r}) = 2 THEN {multi} ELSE {poly} END"
     coll = (f"concat('{{\"type\":\"GeometryCollection\",\"geometries\":[{{\"type\":\"Point\",\"coordinates\":[',"
             f" {r}[0].xmin, ',', {r}[0].ymin, ']}},', {base}, ']}}')")
     k = "cast(id AS bigint)"
     geom = (f"CASE WHEN {k} % 19 = 0 THEN {flat} WHEN {k} % 17 = 0 THEN {open_poly}"
-            f" WHEN {k} % 23 = 0 THEN {coll} ELSE {base} END")
+            f" WHEN {k} % 29 = 0 THEN {bow} WHEN {k} % 23 = 0 THEN {coll} ELSE {base} END")
     del one
     feat = F.concat(F.lit('{"type":"Feature","id":"'), F.col("id"), F.lit('","properties":'),
                     F.to_json("properties"), F.lit(',"geometry":'), F.expr(geom), F.lit("}"))

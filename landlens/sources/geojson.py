@@ -6,7 +6,7 @@
 * ``geometry(col)``: GeoJSON geometry text -> multipolygon array (Polygon,
   MultiPolygon, polygonal members of a GeometryCollection; other types drop).
 * ``screen(features)``: ring validity screen (close open rings, reject rings
-  with < 4 points or zero area) -> features with ``status`` / ``reason``.
+  with < 4 points, self-intersecting or zero-area rings) -> ``status`` / ``reason``.
 * ``flatten_extracts(df)``: legal extract JSON -> one row per restriction.
 
 Everything is JSON parsing by Spark's own readers (``from_json`` /
@@ -44,16 +44,16 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _pts(arr: str) -> str:
-    return f"transform({arr}, q -> named_struct('x', q[0], 'y', q[1]))"
+    return f"transform({arr}, vq_ -> named_struct('x', vq_[0], 'y', vq_[1]))"
 
 
 def _poly_sql(g: str) -> str:
-    return f"transform(from_json({g}, '{_POLY_T}').coordinates, rr -> {_pts('rr')})"
+    return f"transform(from_json({g}, '{_POLY_T}').coordinates, vrr_ -> {_pts('vrr_')})"
 
 
 def _multi_sql(g: str) -> str:
     return (f"transform(from_json({g}, '{_MULTI_T}').coordinates,"
-            f" pp -> transform(pp, rr -> {_pts('rr')}))")
+            f" vpp_ -> transform(vpp_, vrr_ -> {_pts('vrr_')}))")
 
 
 def _polygonal_sql(g: str) -> str:
@@ -65,8 +65,8 @@ def _polygonal_sql(g: str) -> str:
 def geometry(col: str = "geometry") -> Column:
     """GeoJSON text -> multipolygon (ST_CollectionExtract(..., 3) + ST_Multi)."""
     coll = (f"flatten(transform(filter(from_json({col}, '{_COLL_T}').geometries,"
-            f" m -> get_json_object(m, '$.type') IN ('Polygon', 'MultiPolygon')),"
-            f" m -> {_polygonal_sql('m')}))")
+            f" vm_ -> get_json_object(vm_, '$.type') IN ('Polygon', 'MultiPolygon')),"
+            f" vm_ -> {_polygonal_sql('vm_')}))")
     return F.expr(f"CASE WHEN get_json_object({col}, '$.type') = 'GeometryCollection' THEN {coll}"
                   f" ELSE {_polygonal_sql(col)} END")
 
@@ -77,18 +77,26 @@ def geometry_type(col: str = "geometry") -> Column:
 
 def screen(features: DataFrame, geom: str = "geom") -> DataFrame:
     """Validity screen (re-aimed ST_MakeValid): close open rings; reject
-    geometries with no polygon, a ring of < 4 points or a zero-area ring."""
+    geometries with no polygon, a ring of < 4 points, a self-intersecting ring
+    (two non-adjacent edges meet) or a zero-area ring."""
     g = F.col(geom)
-    closed = F.expr(f"transform({geom}, pc -> transform(pc, rc -> CASE WHEN rc[0] = rc[size(rc) - 1]"
-                    f" THEN rc ELSE concat(rc, array(rc[0])) END))")
-    was_open = F.expr(f"exists({geom}, pc -> exists(pc, rc -> rc[0] <> rc[size(rc) - 1]))")
+    closed = F.expr(f"transform({geom}, vpc_ -> transform(vpc_, vrc_ -> CASE WHEN vrc_[0] = vrc_[size(vrc_) - 1]"
+                    f" THEN vrc_ ELSE concat(vrc_, array(vrc_[0])) END))")
+    was_open = F.expr(f"exists({geom}, vpc_ -> exists(vpc_, vrc_ -> vrc_[0] <> vrc_[size(vrc_) - 1]))")
     out = features.withColumn("_g", closed).withColumn("_open", was_open)
-    short = F.expr("exists(_g, pc -> exists(pc, rc -> size(rc) < 4))")
-    ring_area = ("(aggregate(sequence(0, size(rc) - 2), 0D, (a, j) -> a + (rc[j].x - rc[0].x) * (rc[j + 1].y - rc[0].y)"
-                 " - (rc[j + 1].x - rc[0].x) * (rc[j].y - rc[0].y)))")
-    flat = F.expr(f"exists(_g, pc -> exists(pc, rc -> size(rc) >= 4 AND {ring_area} = 0))")
+    short = F.expr("exists(_g, vpc_ -> exists(vpc_, vrc_ -> size(vrc_) < 4))")
+    ring_area = ("(aggregate(sequence(0, size(vrc_) - 2), 0D, (va_, vj_) -> va_ + (vrc_[vj_].x - vrc_[0].x) * (vrc_[vj_ + 1].y - vrc_[0].y)"
+                 " - (vrc_[vj_ + 1].x - vrc_[0].x) * (vrc_[vj_].y - vrc_[0].y)))")
+    flat = F.expr(f"exists(_g, vpc_ -> exists(vpc_, vrc_ -> size(vrc_) >= 4 AND {ring_area} = 0))")
+
+    def seg(i):
+        return (f"(named_struct('x1', vrc_[{i}].x, 'y1', vrc_[{i}].y, 'x2', vrc_[{i} + 1].x, 'y2', vrc_[{i} + 1].y))")
+    crossing = G._seg_intersects(seg("si_"), seg("sj_"))
+    selfx = F.expr(f"exists(_g, vpc_ -> exists(vpc_, vrc_ -> size(vrc_) >= 4 AND exists(sequence(0, size(vrc_) - 2),"
+                   f" si_ -> exists(sequence(0, size(vrc_) - 2), sj_ -> sj_ > si_ + 1"
+                   f" AND NOT (si_ = 0 AND sj_ = size(vrc_) - 2) AND {crossing}))))")
     reason = (F.when(g.isNull() | (F.size(g) <= 0), "no polygon").when(short, "ring with < 4 points")
-              .when(flat, "zero-area ring"))
+              .when(selfx, "self-intersecting ring").when(flat, "zero-area ring"))
     return (out.withColumn("reason", reason)
             .withColumn("status", F.when(F.col("reason").isNotNull(), "rejected")
                         .when(F.col("_open"), "repaired").otherwise("ok"))
