@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import exact_dedup, license_scan, mixing, url_filter
+from . import exact_dedup, license_scan, mixing, packing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op3_license_scan(spark, folder):
                         base_labels.alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score", F.size("detections").cast("bigint").alias("n_detections"))
 
 
+@query("op4_sequence_packing")
+def op4_sequence_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op5_exact_dedup", r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
