@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import chat_format, exact_dedup, license_scan, mixing, packing, url_filter
+from . import chat_format, exact_dedup, license_scan, mixing, packing, quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,6 +63,17 @@ def op5_exact_dedup(spark, folder):
     return exact_dedup.exact_groups(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+KEEP_FROM = 0.3
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"), ~HELD_OUT)
+    return quality.score(docs, model).select("doc_id", HELD_OUT.alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
+
+
 #: The rules of the contract, and the names of hosts whose pages make up the block list.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 SPAM_HOSTS = ["casino-win", "cheap-pills", "free-bets", "spam-farm"]
