@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import chat_format, exact_dedup, license_scan, mixing, ngram_join, packing, quality, url_filter
+from . import chat_format, embedding_dedup, exact_dedup, license_scan, mixing, ngram_join, packing, quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,6 +68,11 @@ def op6_ngram_join(spark, folder):
     return ngram_join.similar_groups(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op7_embedding_dedup")
+def op7_embedding_dedup(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
 KEEP_FROM = 0.3
 
