@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import chat_format, embedding_dedup, exact_dedup, license_scan, mixing, ngram_join, packing, quality, url_filter
+from . import chat_format, embedding_dedup, exact_dedup, license_scan, mixing, ngram_join, packing, quality, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,12 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, folder):
+    cut = suffix_dedup.drop_repeats(table(spark, folder, "documents").select("doc_id", "text"), with_text=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 @query("op2_chat_format", """
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
