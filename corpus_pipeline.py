@@ -10,25 +10,45 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from landlens.llm import exact_dedup, mixing
+from landlens.llm import exact_dedup, mixing, ngram_join, packing, quality
+from landlens.llm.queries import HELD_OUT, KEEP_FROM
 from landlens.session import ensure_checkpoint_dir
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = [5, 2, 1]
 
 
+def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below ``KEEP_FROM`` go. Learned from labelled documents outside the held-out fifth."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~HELD_OUT)
+    return quality.score(docs, model, as_col="__score").where(F.col("__score") >= KEEP_FROM).drop("__score")
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (white space aside) the row with the smallest doc_id stays."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents (five-word shingles, Jaccard of 0.8 or more, linked) the smallest doc_id stays; a null doc_id always does."""
+    groups = ngram_join.similar_groups(docs.select("doc_id", "text"), size=5, num=80, den=100)
+    gone = groups.where("component_id < doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed_documents(docs, WEIGHTS)
 
 
-STAGES = [("exact dedup", drop_copies), ("source mix", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a packed sequence."""
+    return packing.pack(docs.select("doc_id", "text"))
+
+
+STAGES = [("quality classifier", drop_bad), ("exact dedup", drop_copies), ("near dedup", drop_near_copies), ("source mix", mix_sources), ("packing", pack_sequences)]
 
 #: The classifier, the knapsack and the packing have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
