@@ -3,10 +3,10 @@
 A conversation is rendered whole by a template, encoded once with character offsets, and the sorted spans of its turns are
 intersected with the sorted spans of its tokens by binary search: a token is under the loss if it lies in an assistant's text.
 
-Template, per turn: ``<|turn|>`` role, line feed, text, ``<|end|>``. Both markers are tokens of their own (ids after the
+Template, per turn: ``<|turn|>`` role ``<|text|>`` text ``<|end|>``. The markers are tokens of their own (ids after the
 vocabulary's last), so no token ever reaches over the edge of a text. Control strings inside roles and texts are
-escaped: ``\\`` is doubled, and ``\\`` is put after the first character of any of ``CONTROL``; a line
-feed in a role becomes ``\\n``. ``unescaped`` undoes exactly that, so texts come back as they were.
+escaped: ``\\`` is doubled, and ``\\`` is put after the first character of any of ``CONTROL``. ``unescaped`` undoes exactly
+that, so texts come back as they were.
 
 Rows are brought together by conversation and streamed in turn order. A conversation is rendered in blocks of at most
 ``block_chars`` that end with a turn; as markers are never merged with text, the blocks' tokens are those of the whole, and memory stays
@@ -31,27 +31,26 @@ from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, text_or_empty
 
-TURN, END = "<|turn|>", "<|end|>"
+TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Strings that some chat template or tokenizer treats as control; none is left whole inside a text.
 CONTROL = ["<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<pad>", "<unk>", "<bos>", "<eos>", "<start_of_turn>", "<end_of_turn>"]
 _CONTROL = re.compile("|".join(map(re.escape, CONTROL)))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
-def escaped(text: str, role: bool = False) -> str:
-    text = _CONTROL.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
-    return text.replace("\n", "\\n") if role else text
+def escaped(text: str) -> str:
+    return _CONTROL.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
 
 
-def unescaped(text: str, role: bool = False) -> str:
-    return _ESCAPED.sub(lambda m: "\n" if role and m[1] == "n" else m[1], text)
+def unescaped(text: str) -> str:
+    return _ESCAPED.sub(r"\1", text)
 
 
 def rendered(turns: list[tuple[str, str]]) -> tuple[str, np.ndarray, np.ndarray]:
     """Formatted text; starts and ends (characters) of the turns' texts."""
     parts, starts, ends, at = [], [], [], 0
     for role, text in turns:
-        head, body = f"{TURN}{escaped(role, True)}\n", escaped(text)
+        head, body = f"{TURN}{escaped(role)}{TEXT}", escaped(text)
         starts.append(at + len(head))
         ends.append(at + len(head) + len(body))
         parts += (head, body, END)
@@ -63,8 +62,8 @@ def parsed(formatted: str) -> list[tuple[str, str]]:
     """The turns of a formatted text, unescaped."""
     out = []
     for piece in formatted.split(TURN)[1:]:
-        role, _, text = piece.partition("\n")
-        out.append((unescaped(role, True), unescaped(text[:-len(END)])))
+        role, _, text = piece.partition(TEXT)
+        out.append((unescaped(role), unescaped(text[:-len(END)])))
     return out
 
 
@@ -75,7 +74,7 @@ def chat_tokenizer(path: str | None):
 
     whole = Tokenizer.from_file(str(path or public_tokenizers.path("byte_bpe_50k.json")))
     whole.post_processor = processors.ByteLevel(trim_offsets=False)
-    whole.add_special_tokens([AddedToken(t, normalized=False, special=True) for t in (TURN, END)])
+    whole.add_special_tokens([AddedToken(t, normalized=False, special=True) for t in (TURN, TEXT, END)])
     return whole
 
 

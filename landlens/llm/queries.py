@@ -32,13 +32,13 @@ def op1_suffix_dedup(spark, folder):
 @query("op2_chat_format", """
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-m AS (SELECT *, replace(text, chr(92), repeat(chr(92), 2)) AS t1, replace(replace(role, chr(92), repeat(chr(92), 2)), chr(10), chr(92) || 'n') AS r1 FROM c),
+m AS (SELECT *, replace(text, chr(92), repeat(chr(92), 2)) AS t1, replace(role, chr(92), repeat(chr(92), 2)) AS r1 FROM c),
 e AS (SELECT *, length(regexp_replace(t1, '<[|]|</?s>|<</?SYS>>|\\[/?INST\\]|<pad>|<unk>|<[be]os>|<(start|end)_of_turn>', '\\0_', 'g')) AS tl,
       length(regexp_replace(r1, '<[|]|</?s>|<</?SYS>>|\\[/?INST\\]|<pad>|<unk>|<[be]os>|<(start|end)_of_turn>', '\\0_', 'g')) AS rl FROM m)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(rl + tl + 16) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id""")
+  CAST(sum(rl + tl + 23) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id""")
 def op2_chat_format(spark, folder):
     said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
