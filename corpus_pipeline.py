@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landlens.llm import exact_dedup, mixing, ngram_join, packing, quality
+from landlens.llm.common import on_workers
 from landlens.llm.queries import HELD_OUT, KEEP_FROM
 from landlens.session import ensure_checkpoint_dir
 
@@ -22,7 +23,8 @@ WEIGHTS = [5, 2, 1]
 
 def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below ``KEEP_FROM`` go. Learned from labelled documents outside the held-out fifth."""
-    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~HELD_OUT)
+    on_workers(spark)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~F.expr(HELD_OUT))
     return quality.score(docs, model, as_col="__score").where(F.col("__score") >= KEEP_FROM).drop("__score")
 
 
@@ -45,6 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a packed sequence."""
+    on_workers(spark)
     return packing.pack(docs.select("doc_id", "text"))
 
 

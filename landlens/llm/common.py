@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +20,22 @@ ASCII_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it (installed, or a folder all can see)."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return on_workers(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def pin(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the cluster's shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(on_workers(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -79,15 +79,15 @@ def op7_embedding_dedup(spark, folder):
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
-HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+HELD_OUT = "pmod(crc32(cast(doc_id as string)), 5) = 0"
 KEEP_FROM = 0.3
 
 
 @query("op8_quality_classifier")
 def op8_quality_classifier(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    model = quality.fit(docs, table(spark, folder, "labels"), ~HELD_OUT)
-    return quality.score(docs, model).select("doc_id", HELD_OUT.alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
+    model = quality.fit(docs, table(spark, folder, "labels"), ~F.expr(HELD_OUT))
+    return quality.score(docs, model).select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
 
 
 #: The rules of the contract, and the names of hosts whose pages make up the block list.
