@@ -126,9 +126,9 @@ oracle("load_buildings_landcover", """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS bld_id FROM lineitem
 WHERE l_linenumber % 5 IN (0, 4) OR (l_linenumber % 5 IN (1, 2) AND l_partkey % 3 IN (0, 1))""")
 oracle("load_generic", """
-SELECT 'PZ' || CAST(c_custkey AS VARCHAR) AS pz_id, CAST(6600 + c_custkey % 25 AS VARCHAR) AS commune_bfs,
-       CASE WHEN c_custkey % 60 = 0 THEN 'inForce' ELSE 'planned' END AS status, '2025-01-01' AS valid_from
-FROM customer WHERE c_custkey % 30 = 0""")
+SELECT 'PZ' || CAST(c_custkey AS VARCHAR) AS pz_id, CAST(6600 + c_custkey % 25 AS INTEGER) AS commune_bfs,
+       CASE WHEN c_custkey % 60 = 0 THEN 'inForce' ELSE 'planned' END AS status, DATE '2025-01-01' AS valid_from
+FROM customer""")
 oracle("load_buildings_floors", """
 SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS objectid, CAST(l_partkey AS VARCHAR) AS egid,
        'NATION_' || CAST(l_suppkey % 25 AS VARCHAR) AS commune, l_linestatus AS destination,
@@ -142,7 +142,7 @@ oracle("load_raisable", """
 SELECT CAST(c_custkey AS BIGINT) AS objectid, CAST(c_custkey * 7 AS VARCHAR) AS egid,
        'NATION_' || CAST(c_custkey % 25 AS VARCHAR) AS commune, c_mktsegment AS destination,
        CASE WHEN c_custkey % 2 = 0 THEN 'LCI art. 23' END AS remarque
-FROM customer WHERE c_custkey % 3 = 0""")
+FROM customer""")
 proj("flatten_restrictions", "egrid, theme_code, theme_text, sub_theme, legal_state", "flat_extracts")
 proj("localized_text", "egrid, theme_code, theme_text", "flat_extracts")
 
@@ -192,28 +192,16 @@ SELECT z.zone_id, p.egrid FROM zoning z JOIN parcels p ON p.ymin >= z.ymin AND p
        "zoning", "parcels")
 
 # ---------------------------------------------------------------- 2.1 ----
+oracle("src_page_status", """
+WITH n AS (SELECT p // 100 AS page_no, count(*) AS n FROM zoning_src GROUP BY 1)
+SELECT page_no, 'ok' AS status, n AS n_features FROM n
+UNION ALL SELECT -1 - page_no, 'corrupt', 0 FROM n WHERE page_no % 3 = 0""", "zoning_src")
+oracle("src_extract_status", """
+SELECT 'CH' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS egrid, CASE WHEN event_id % 50 = 49 THEN 'malformed' ELSE 'ok' END AS status,
+       CAST(CASE WHEN event_id % 50 = 49 THEN 0 WHEN event_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_restrictions FROM events""")
 proj("src_geojson_pages", "zone_id, page_no, zone_code, height_limit_m, commune_bfs, is_building_zone", "zparsed")
 
 
-def _cutoff(max_features: int, strict: bool, max_pages, next_link: bool) -> str:
-    over = f"cum_n > {max_features}" if strict else f"cum_n >= {max_features}"
-    stop = f"n = 0 OR {over}"
-    stop += " OR NOT has_next" if next_link else " OR (n < 100 AND NOT exceeded)"
-    if max_pages:
-        stop += f" OR ord >= {max_pages}"
-    return f"""
-WITH m AS (SELECT CAST(p_partkey % 20 AS INTEGER) AS layer, p_partkey // 20 AS page_no,
-                  CAST(CASE WHEN p_size = 50 THEN 40 WHEN p_size = 49 THEN 0 ELSE 100 END AS BIGINT) AS n,
-                  p_partkey % 2 = 0 AS exceeded, p_partkey % 11 <> 10 AS has_next FROM part),
-c AS (SELECT *, CAST(sum(n) OVER (PARTITION BY layer ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_n,
-             row_number() OVER (PARTITION BY layer ORDER BY page_no) AS ord FROM m),
-s AS (SELECT *, CASE WHEN {stop} THEN 1 ELSE 0 END AS stop FROM c),
-e AS (SELECT *, max(stop) OVER (PARTITION BY layer ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM s)
-SELECT layer, page_no, n, cum_n FROM e WHERE coalesce(earlier, 0) = 0"""
-
-
-ORACLE["src_page_cutoff"] = _cutoff(5000, True, None, False)
-ORACLE["src_page_cutoff_ogc"] = _cutoff(8000, False, 45, True)
 proj("src_bbox_read", "bld_id, floors", "bld_env")
 oracle("src_feature_count", """
 SELECT 'parcels' AS layer, count(*) AS n FROM parcels UNION ALL SELECT 'zoning', count(*) FROM zoning
@@ -222,16 +210,14 @@ UNION ALL SELECT 'planning', count(*) FROM planning UNION ALL SELECT 'raisable',
 UNION ALL SELECT 'restrictions', count(*) FROM restrictions""",
        "parcels", "zoning", "buildings", "forest", "planning", "raisable", "restrictions")
 oracle("src_filter_fallback", """
-SELECT 'D4A' AS variant, zone_id FROM zoning WHERE zone_code = 'D4A'
-UNION ALL SELECT 'ZZZ', zone_id FROM zoning""", "zoning")
+SELECT 'D4A' AS variant, zone_id, 'filtered' AS branch FROM zoning WHERE zone_code = 'D4A'
+UNION ALL SELECT 'ZZZ', zone_id, 'all' FROM zoning""", "zoning")
 oracle("src_restriction_extracts", "SELECT egrid, theme_code, theme_text, sub_theme, legal_state FROM flat_extracts "
        "WHERE egrid IN (SELECT egrid FROM shortlist)", "flat_extracts", "shortlist")
 proj("src_table", "egrid, commune_bfs, (xmax - xmin) * (ymax - ymin) AS area_m2", "parcels")
 
 # ---------------------------------------------------------------- 2.2 ----
 proj("snk_replace_layer", "zone_id, zone_code", "zoning")
-proj("snk_keep_on_failure", "zone_id, zone_code", "zoning")
-proj("snk_reset", "zone_id, zone_code", "zoning", "false")
 oracle("snk_upsert_parcel", """
 WITH o AS (SELECT * FROM enriched WHERE CAST(source_id AS BIGINT) % 3 <> 0),
      n AS (SELECT * FROM enriched WHERE CAST(source_id AS BIGINT) % 5 <> 0)
@@ -248,6 +234,7 @@ FROM o FULL OUTER JOIN n ON o.egrid = n.egrid""", "enriched")
 proj("snk_replace_keys", "egrid, theme_code, legal_state", "restrictions2")
 oracle("join_key_list", "SELECT egrid, theme_code, legal_state FROM restrictions "
        "WHERE egrid NOT IN (SELECT egrid FROM shortlist)", "restrictions", "shortlist")
+proj("content_hash", "egrid, content_hash", "cur_hash")
 proj("snk_append_snapshot", "egrid, content_hash, 'run3' AS run_id", "cur_hash")
 oracle("snk_append_changes", "SELECT count(*) AS n_changes FROM changes", "changes")
 proj("snk_additive_migrate", "zone_id, CAST(0 AS BIGINT) AS n_buildings, 0.0::DOUBLE AS built_footprint_m2, "
@@ -290,7 +277,7 @@ _MIX = (f"SELECT zone_tier, zone_code, count(*) AS n_zones, "
         f"CAST({_half_up('sum(developable_m2) / 10000.0::DOUBLE')} AS BIGINT) AS developable_ha "
         f"FROM zones_b GROUP BY zone_tier, zone_code")
 oracle("agg_group_mix", _MIX, "zones_b")
-oracle("order_mix", f"SELECT *, row_number() OVER (ORDER BY zone_tier, n_zones DESC, zone_code) AS pos FROM ({_MIX})",
+oracle("order_mix", f"SELECT * FROM ({_MIX})",
        "zones_b")
 ORACLE["report_zone_mix"] = ORACLE["order_mix"]
 oracle("agg_run_counters", """
@@ -377,8 +364,7 @@ WITH kv AS (
   UNION ALL SELECT 'COMMUNE', coalesce(n_name, 'None') FROM zoning_src
   UNION ALL SELECT 'NO_COMM_FEDERAL', coalesce(bfs_txt, 'None') FROM zoning_src
   UNION ALL SELECT 'INDICE', CAST(p_size AS VARCHAR) FROM zoning_src)
-SELECT key, count(DISTINCT value) AS n_distinct, string_agg(DISTINCT value, '|' ORDER BY value) AS values
-FROM kv GROUP BY key HAVING count(DISTINCT value) <= 15""", "zoning_src")
+SELECT key, value, count(*) AS n, count(*) OVER (PARTITION BY key) AS n_distinct FROM kv GROUP BY key, value""", "zoning_src")
 oracle("prof_value_mix", """
 SELECT kanton AS value, count(*) AS n,
        CASE WHEN kanton = 'VD' THEN (SELECT count(*) FROM pfeat WHERE k <= (SELECT min(k) FROM pfeat WHERE kanton = 'VD')) END
@@ -399,6 +385,12 @@ SELECT page_id, concat_ws('|', CASE WHEN contains(lower(html), 'zone_affectation
        CAST((contains(lower(html), 'zone_affectation'))::INT + (contains(lower(html), 'affectation'))::INT
             + (contains(lower(html), 'zone'))::INT AS INTEGER) AS n_hits
 FROM pages""")
+oracle("job_parcel_runs", """
+SELECT s.egrid, sha256(s.egrid) AS parcel_uid, TIMESTAMP '2025-01-01 00:00:00' AS first_seen,
+       CASE WHEN CAST(e.source_id AS BIGINT) % 3 = 0 THEN TIMESTAMP '2025-01-01 00:00:00' ELSE TIMESTAMP '2025-01-02 00:00:00' END AS last_updated,
+       e.source_id, e.area_m2, e.zone_type, e.primary_use, e.is_building_zone, e.developable_m2, s.opportunity_score,
+       CAST(1 AS BIGINT) AS n_changes, TIMESTAMP '2025-01-01 00:00:00' AS last_change
+FROM scored s JOIN enriched e ON e.egrid = s.egrid""", "scored", "enriched")
 proj("stream_restriction_refresh", "egrid, theme_code, theme_text, legal_state", "restrictions2")
 
 # ---------------------------------------------------------------- 2.10 ---
@@ -420,7 +412,7 @@ proj("scalar_cast", "egrid, CAST(CAST(round_even(area_m2, 0) AS BIGINT) AS VARCH
      "CAST(NULL AS INTEGER) AS not_an_int", "enriched")
 oracle("scalar_datetime", "SELECT CAST(c_custkey AS VARCHAR) AS pz_id, DATE '2025-01-01' AS valid_from, "
        "TIMESTAMP '2025-01-03 00:00:00' AS run_ts, true AS in_force_at_run, CAST(2 AS INTEGER) AS days_in_force "
-       "FROM customer WHERE c_custkey % 30 = 0")
+       "FROM customer")
 oracle("scalar_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
        "CAST(json_object('id', event_id, 'low_value', CASE WHEN value < 20 THEN value END) AS VARCHAR) AS doc "
        "FROM events")

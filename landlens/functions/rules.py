@@ -18,7 +18,7 @@ TEXT_BUILD_TOKENS = ("habitation", "logement", "activit", "mixte", "centr", "urb
 TEXT_NONBUILD_TOKENS = ("agricol", "landwirtschaft", "forêt", "foret", "wald", "protect",
                         "schutz", "différé", "differe", "utilité publique", "verdure", "transport")
 LANDCOVER_BUILDING_TOKENS = ("gebaeude", "gebäude", "batiment", "bâtiment", "edificio", "building")
-HEIGHT_PATTERN = r"(?i)gabarit\s+max(?:imum)?\.?\s*(\d{1,2})\s*m"
+HEIGHT_PATTERN = r"(?iU)gabarit\s+max(?:imum)?\.?\s*(\d{1,2})\s*m"
 BLOCKING_THEMES = ("ForestPerimeters", "NoiseSensitivityLevels", "ContaminatedSites",
                    "GroundwaterProtectionZones")
 TARGET_CODES = ("D4A", "D4B")
@@ -38,19 +38,42 @@ def _any_token(s: Column, tokens) -> Column:
     return out
 
 
+def strip(v) -> Column:
+    """Text without leading and trailing Unicode white space."""
+    return F.regexp_replace(_c(v).cast("string"), r"(?U)^\s+|\s+$", "")
+
+
 def to_int(v) -> Column:
-    """Python int(str) semantics: surrounding whitespace ok, decimals -> NULL."""
-    s = F.trim(_c(v).cast("string"))
-    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
+    """Whole number of a text (white space around it is fine, a fraction is not) or of a JSON number (cut off)."""
+    s = strip(plain(v))
+    cut = F.when(is_number(v) & s.rlike(r"^[+-]?[0-9]+[.][0-9]+$"), F.regexp_extract(s, r"^[+-]?[0-9]+", 0)).otherwise(s)
+    return F.when(cut.rlike(r"^[+-]?[0-9]+$"), cut.try_cast("int"))
 
 
 def to_float(v) -> Column:
-    return F.trim(_c(v).cast("string")).try_cast("double")
+    """Decimal number of a text; no type suffixes such as ``12d``."""
+    s = strip(plain(v))
+    return F.when(s.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"), s.try_cast("double"))
+
+
+#: Marks a property that the JSON held as a number; see ``sources.geojson``.
+NUMBER_MARK = "\u0001"
+
+
+def is_number(v) -> Column:
+    return F.coalesce(_c(v).cast("string").startswith(NUMBER_MARK), F.lit(False))
+
+
+def plain(v) -> Column:
+    """A property's text without its number mark."""
+    return F.regexp_replace(_c(v).cast("string"), f"^{NUMBER_MARK}", "")
 
 
 def nonempty(v) -> Column:
-    """Python truthiness for strings: NULL and '' are empty."""
-    return F.nullif(_c(v), F.lit(""))
+    """NULL, empty text and a JSON number equal to zero are empty."""
+    s = _c(v).cast("string")
+    zero = is_number(s) & (plain(s).try_cast("double") == 0)
+    return F.when((s != "") & ~F.coalesce(zero, F.lit(False)), plain(s))
 
 
 def first_nonempty(*vals, default=None) -> Column:
@@ -71,8 +94,8 @@ def build_zone_federal(code) -> Column:
 
 
 def build_zone_cantonal(code, name) -> Column:
-    nm = F.lower(F.coalesce(_c(name).cast("string"), F.lit("")))
-    c = F.upper(F.trim(F.coalesce(_c(code).cast("string"), F.lit(""))))
+    nm = F.lower(F.coalesce(plain(name), F.lit("")))
+    c = F.upper(strip(F.coalesce(_c(code).cast("string"), F.lit(""))))
     starts = F.lit(False)
     for p in CANTONAL_BUILD_PREFIXES:
         starts = starts | c.startswith(p)
@@ -80,7 +103,7 @@ def build_zone_cantonal(code, name) -> Column:
 
 
 def build_zone_text(use) -> Column:
-    s = F.lower(_c(use).cast("string"))
+    s = F.lower(plain(use))
     return (F.when(F.coalesce(s, F.lit("")) == "", False)
             .when(_any_token(s, TEXT_NONBUILD_TOKENS), False)
             .otherwise(_any_token(s, TEXT_BUILD_TOKENS)))

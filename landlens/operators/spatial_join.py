@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from . import pairs as pair
 
 _CELL_SHIFT = 4294967296  # 2^32: pack (cx, cy) into one BIGINT key
 
@@ -62,6 +63,23 @@ def auto_cell(left: DataFrame, right: DataFrame, left_shape: str = "shape", righ
     return max(max(cands) if cands else floor, floor)
 
 
+def _general(pairs: DataFrame, predicate: str, d: float, with_overlap: bool) -> DataFrame:
+    """Pairs of rectangles in closed form, pair by pair; all others in Arrow batches (see operators.pairs)."""
+    boxes = F.expr(f"{G._all_rect('_ls')} AND {G._all_rect('_rs')}")
+    others = lambda sql: F.when(~boxes, F.expr(sql))
+    inputs = {"_sa": others(G._segs_of("_ls")), "_sb": others(G._segs_of("_rs")), "_pa": others(G._probes_of("_ls")), "_pb": others(G._probes_of("_rs"))}
+    pairs = pairs.withColumns(inputs | {"_boxes": boxes})
+    boxes = F.col("_boxes")
+    if predicate != "bbox":
+        closed = G.intersects_sql("_ls", "_rs", True) if predicate == "intersects" else G.dwithin_sql("_ls", "_rs", d, True)
+        pairs = pairs.withColumn("_near", pair.near(*[F.col(c) for c in inputs], d))
+        pairs = pairs.where(F.when(boxes, F.expr(closed)).otherwise(F.col("_near"))).drop("_near")
+    if with_overlap:
+        pairs = (pairs.withColumn("_area", pair.overlap(F.col("_sa"), F.col("_sb")))
+                 .withColumn("overlap_m2", F.when(boxes, F.expr(G.overlap_area_sql("_ls", "_rs", True))).otherwise(F.col("_area"))).drop("_area"))
+    return pairs.drop(*inputs, "_boxes")
+
+
 def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape",
                  right_shape: str = "shape", predicate: str = "intersects",
                  distance: float = 0.0, cell: float | str = 100.0, on: Sequence[str] = (),
@@ -87,13 +105,16 @@ def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape"
     rq = _explode_cells(right.withColumnRenamed(right_shape, "_rs"), "_rs", c, 0.0)
     cond = F.expr(f"_cell = {_owner_sql('_ls', '_rs', c, d)} AND {G.bbox_intersects_sql('_ls', '_rs', d)}")
     pairs = lq.join(rq, ["_cell", *on]).where(cond)
-    if predicate == "intersects":
-        pairs = pairs.where(F.expr(G.intersects_sql("_ls", "_rs", ro)))
-    elif predicate == "dwithin":
-        pairs = pairs.where(F.expr(G.dwithin_sql("_ls", "_rs", d, ro)))
-    elif predicate != "bbox":
+    if predicate not in ("intersects", "dwithin", "bbox"):
         raise ValueError(f"unknown predicate {predicate!r}")
-    if with_overlap:
-        pairs = pairs.withColumn("overlap_m2", F.expr(G.overlap_area_sql("_ls", "_rs", ro)))
+    if ro:
+        if predicate == "intersects":
+            pairs = pairs.where(F.expr(G.intersects_sql("_ls", "_rs", True)))
+        elif predicate == "dwithin":
+            pairs = pairs.where(F.expr(G.dwithin_sql("_ls", "_rs", d, True)))
+        if with_overlap:
+            pairs = pairs.withColumn("overlap_m2", F.expr(G.overlap_area_sql("_ls", "_rs", True)))
+    else:
+        pairs = _general(pairs, predicate, d, with_overlap)
     pairs = pairs.drop("_cell")
     return pairs if keep_shapes else pairs.drop("_ls", "_rs")

@@ -23,8 +23,9 @@ NEIGHBOUR_DISTANCE = 0.5
 
 
 def parcel_key() -> F.Column:
-    """Row key: the egrid, else the source id in a namespace egrids never use."""
-    return F.coalesce(F.col("egrid"), F.concat(F.lit("~src:"), F.col("source_id")))
+    """Row key: the egrid, else the source id in a namespace egrids never use, else a hash of the shape."""
+    source = F.when(F.coalesce(F.col("source_id"), F.lit("")) != "", F.concat(F.lit("~src:"), F.col("source_id")))
+    return F.coalesce(F.col("egrid"), source, F.concat(F.lit("~geo:"), F.hex(F.xxhash64("shape"))))
 
 
 def base_parcels(raw_parcels: DataFrame) -> DataFrame:

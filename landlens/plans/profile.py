@@ -19,20 +19,15 @@ def property_keys(features: DataFrame) -> DataFrame:
     return features.select(F.explode(F.map_keys("properties")).alias("key")).distinct()
 
 
-def low_cardinality(features: DataFrame, max_values: int = LOW_CARD_MAX) -> DataFrame:
-    """Per property key: its distinct values when there are at most max_values.
+def value_counts(features: DataFrame) -> DataFrame:
+    """Every value of every property key in long form: key, value, n, n_distinct (values of the key).
 
-    Distinct counts come first (two-phase aggregation); values are gathered only
-    for keys that passed, so no group ever holds more than max_values values.
-    NULL values count as the text 'None', as printed by the source.
+    A reader picks low-cardinality keys by ``n_distinct`` (the source prints those of at most ``LOW_CARD_MAX``, or ``LOW_CARD_MAX_ZONING``
+    values). NULL values count as the text 'None', as printed by the source.
     """
-    kv = features.select(F.explode("properties").alias("key", "v")).select(
-        "key", F.coalesce("v", F.lit("None")).alias("value"))
-    small = (kv.groupBy("key").agg(F.countDistinct("value").alias("n_distinct"))
-             .where(F.col("n_distinct") <= max_values))
-    vals = (kv.join(small.select("key"), "key", "left_semi").distinct()
-            .groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("values")))
-    return small.join(vals, "key")
+    kv = features.select(F.explode("properties").alias("key", "v")).select("key", F.coalesce("v", F.lit("None")).alias("value"))
+    counts = kv.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(counts.groupBy("key").agg(F.count(F.lit(1)).alias("n_distinct")), "key").select("key", "value", "n", "n_distinct")
 
 
 def value_mix(df: DataFrame, col: str, order: str, target: str) -> DataFrame:

@@ -23,12 +23,6 @@ def query(name: str):
     return deco
 
 
-def r6(c: str) -> F.Column:
-    """Computed doubles are returned unrounded: both engines evaluate the same
-    IEEE operations in the same order, so values agree bit for bit."""
-    return F.col(c)
-
-
 PARCEL_COLS = ["egrid", "source_id", "commune_bfs", "commune_name", "parcel_no", "area_m2", "zone_type",
                "primary_use", "is_building_zone", "in_planning_zone", "forest_overlap_m2", "developable_m2",
                "building_footprint_m2", "oereb_checked", "oereb_blocking"]
@@ -47,34 +41,34 @@ COMMUNE_COLS = ["commune_bfs", "commune_name", "n_building_zones", "total_develo
 # ---------------------------------------------------------------- jobs ------
 @query("job_enrich_parcels")
 def job_enrich_parcels(spark, d):
-    return Layers(spark, d).enriched.select(*PARCEL_COLS, r6("coverage_ratio"))
+    return Layers(spark, d).enriched.select(*PARCEL_COLS, "coverage_ratio")
 
 
 @query("job_score_parcels")
 def job_score_parcels(spark, d):
     return Layers(spark, d).scored.select(
         "egrid", "developable_m2", "signal_underuse", "signal_servicing", "signal_assembly",
-        r6("opportunity_score"))
+        "opportunity_score")
 
 
 @query("job_zone_phase_a")
 def job_zone_phase_a(spark, d):
-    return Layers(spark, d).zones_a.select(*ZONE_A_COLS, r6("opportunity_score"))
+    return Layers(spark, d).zones_a.select(*ZONE_A_COLS, "opportunity_score")
 
 
 @query("job_zone_phase_b")
 def job_zone_phase_b(spark, d):
-    return Layers(spark, d).zones_b.select(*ZONE_B_COLS, *[r6(c) for c in ZONE_B_R6])
+    return Layers(spark, d).zones_b.select(*ZONE_B_COLS, *ZONE_B_R6)
 
 
 @query("job_communes_a")
 def job_communes_a(spark, d):
-    return Layers(spark, d).communes_a.select(*COMMUNE_COLS, r6("top_zone_score"), r6("commune_score"))
+    return Layers(spark, d).communes_a.select(*COMMUNE_COLS, "top_zone_score", "commune_score")
 
 
 @query("job_communes_b")
 def job_communes_b(spark, d):
-    return Layers(spark, d).communes_b.select(*COMMUNE_COLS, r6("top_zone_score"), r6("commune_score"))
+    return Layers(spark, d).communes_b.select(*COMMUNE_COLS, "top_zone_score", "commune_score")
 
 
 # ------------------------------------------------------------- argmax -------
@@ -101,6 +95,7 @@ from . import changes as C  # noqa: E402
 from . import parcels as P  # noqa: E402
 from . import profile as PR  # noqa: E402
 from . import reports as RP  # noqa: E402
+from . import run as RN  # noqa: E402
 from . import zones as Z  # noqa: E402
 
 
@@ -232,7 +227,8 @@ def load_buildings_landcover(spark, d):
 
 @query("load_generic")
 def load_generic(spark, d):
-    return LD.load_generic(D.planning_features(spark, d), ["pz_id", "commune_bfs", "status", "valid_from"]).drop("shape")
+    return LD.load_generic(D.planning_features(spark, d), ["pz_id", "commune_bfs", "status", "valid_from"],
+                           {"commune_bfs": "int", "valid_from": "date"}).drop("shape")
 
 
 @query("load_buildings_floors")
@@ -375,23 +371,24 @@ def src_geojson_pages(spark, d):
         "zone_id", "page_no", "zone_code", "height_limit_m", "commune_bfs", "is_building_zone")
 
 
-@query("src_page_cutoff")
-def src_page_cutoff(spark, d):
-    return PG.cutoff_pages(D.page_manifest(spark, d), page_size=100, max_features=5000).select(
-        "layer", "page_no", "n", "cum_n")
+@query("src_page_status")
+def src_page_status(spark, d):
+    """Pages as landed files: written, read back line by line, every one accounted for."""
+    path = _store(spark).root + "/landed_pages"
+    J.write_pages(D.zoning_pages(spark, d), path)
+    return J.page_status(J.read_pages(spark, path))
 
 
-@query("src_page_cutoff_ogc")
-def src_page_cutoff_ogc(spark, d):
-    return PG.cutoff_pages(D.page_manifest(spark, d), page_size=100, max_features=8000, max_pages=45,
-                           strict=False, use_next_link=True).select("layer", "page_no", "n", "cum_n")
+@query("src_extract_status")
+def src_extract_status(spark, d):
+    return J.extract_status(Layers(spark, d).extracts)
 
 
 @query("src_bbox_read")
 def src_bbox_read(spark, d):
     L = Layers(spark, d)
-    env = Z.target_extent(L.zones_a).first()
-    return Z.within_envelope(L.buildings, *env).select("bld_id", "floors")
+    extent = Z.target_extent(L.zones_a)
+    return Z.within_envelope(L.buildings, *[extent.select(c).scalar() for c in ("xmin", "ymin", "xmax", "ymax")]).select("bld_id", "floors")
 
 
 @query("src_feature_count")
@@ -409,8 +406,8 @@ def src_feature_count(spark, d):
 @query("src_filter_fallback")
 def src_filter_fallback(spark, d):
     z = Layers(spark, d).zoning.select("zone_id", "zone_code")
-    a = PG.filter_or_all(z, F.col("zone_code") == "D4A").select(F.lit("D4A").alias("variant"), "zone_id")
-    b = PG.filter_or_all(z, F.col("zone_code") == "ZZZ").select(F.lit("ZZZ").alias("variant"), "zone_id")
+    a = PG.filter_or_all(z, F.col("zone_code") == "D4A").select(F.lit("D4A").alias("variant"), "zone_id", "branch")
+    b = PG.filter_or_all(z, F.col("zone_code") == "ZZZ").select(F.lit("ZZZ").alias("variant"), "zone_id", "branch")
     return a.unionByName(b)
 
 
@@ -436,26 +433,6 @@ def snk_replace_layer(spark, d):
     return st.read("zoning")
 
 
-@query("snk_keep_on_failure")
-def snk_keep_on_failure(spark, d):
-    st = _store(spark)
-    z = Layers(spark, d).zoning.select("zone_id", "zone_code")
-    st.replace(z, "zoning")
-    broken = z.select("zone_id", F.when(F.col("zone_id") == "7", F.raise_error(F.lit("load failed")))
-                      .otherwise(F.col("zone_code")).alias("zone_code"))
-    st.try_replace(broken, "zoning")  # fails mid-load: previous version kept
-    return st.read("zoning")
-
-
-@query("snk_reset")
-def snk_reset(spark, d):
-    st = _store(spark)
-    z = Layers(spark, d).zoning.select("zone_id", "zone_code")
-    st.replace(z, "zoning")
-    st.reset("zoning", z.schema)
-    return st.read("zoning")
-
-
 def _upsert_inputs(L):
     b = L.enriched.select("egrid", "source_id", "commune_bfs", "commune_name", "parcel_no", "area_m2")
     k = F.col("source_id").cast("bigint")
@@ -632,6 +609,11 @@ def agg_distinct(spark, d):
 
 
 # ------------------------------------------------------ 2.7 / 2.8 ranking --
+@query("content_hash")
+def content_hash(spark, d):
+    return C.current_hashes(Layers(spark, d).scored)
+
+
 @query("latest_snapshot")
 def latest_snapshot(spark, d):
     return C.latest(Layers(spark, d).snapshots)
@@ -674,6 +656,22 @@ def job_detect_changes(spark, d):
     return Layers(spark, d).changes
 
 
+@query("job_parcel_runs")
+def job_parcel_runs(spark, d):
+    """Two stateful runs: the first without prior state, the second with the same layers less the
+    parcels of every third id. Every parcel of the state after the second run, with what the change log says of it."""
+    L = Layers(spark, d)
+    layers = [L.planning, L.forest, L.buildings, L.restrictions]
+    one = RN.parcel_run(None, L.parcels, L.zoning, *layers, None, "run1", "2025-01-01 00:00:00")
+    state = L.pin(one.state)
+    fewer = L.parcels.where(F.col("source_id").cast("bigint") % 3 != 0)
+    two = RN.parcel_run(state, fewer, L.zoning, *layers, L.pin(one.snapshots), "run2", "2025-01-02 00:00:00")
+    log = one.changes.unionByName(two.changes).groupBy("egrid").agg(F.count(F.lit(1)).alias("n_changes"), F.max("detected_at").alias("last_change"))
+    return (two.state.join(log, "egrid", "left")
+            .select("egrid", "parcel_uid", "first_seen", "last_updated", "source_id", "area_m2", "zone_type", "primary_use", "is_building_zone", "developable_m2",
+                    "opportunity_score", "n_changes", "last_change"))
+
+
 @query("job_restriction_refresh")
 def job_restriction_refresh(spark, d):
     """Shortlist -> extracts for those keys -> replace their restriction rows ->
@@ -737,7 +735,7 @@ def prof_keys(spark, d):
 
 @query("prof_low_card")
 def prof_low_card(spark, d):
-    return PR.low_cardinality(Layers(spark, d).zoning_features, PR.LOW_CARD_MAX)
+    return PR.value_counts(Layers(spark, d).zoning_features)
 
 
 @query("prof_value_mix")

@@ -98,7 +98,7 @@ def zone_mix(zones: DataFrame) -> DataFrame:
                 half_up(F.sum("developable_m2") / 10000.0).cast("bigint").alias("developable_ha")))
     # (tier, code) groups are bounded by the zone-code vocabulary
     order = [F.col("zone_tier").asc(), F.col("n_zones").desc(), F.col("zone_code").asc()]
-    return mix.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("bigint")).orderBy(*order)
+    return mix.orderBy(*order)
 
 
 def pdf_kpis(zones: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ DataFrame; correlated spatial sub-queries become one overlay per phase.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..functions import rules as R
 from ..operators.overlay import any_hit, count_hits, is_kind, overlay_summary, sum_overlap
 
@@ -18,23 +19,32 @@ PHASE_B_DEFAULTS = {"n_buildings": "bigint", "built_footprint_m2": "double",
                     "built_floor_area_m2": "double", "avg_floors": "double",
                     "permitted_floor_m2": "double", "utilisation_pct": "double",
                     "coverage_pct": "double", "n_raisable": "bigint", "underuse_score": "double"}
+PHASE_B_ZEROS = ("n_buildings", "n_raisable", "built_footprint_m2", "built_floor_area_m2")
+
+
+def zone_key() -> Column:
+    """Row key of a zone: its id alone may be empty or given twice, so the shape and, for equal
+    zones, their number among equals belong to it."""
+    own = F.concat_ws("#", F.coalesce(F.col("zone_id"), F.lit("")), F.hex(F.xxhash64("shape")))
+    again = F.row_number().over(Window.partitionBy("zone_id", F.xxhash64("shape")).orderBy(F.lit(0)))
+    return F.when(again == 1, own).otherwise(F.concat_ws("#", own, again))
 
 
 def zone_base(zoning: DataFrame) -> DataFrame:
     """Building zones with geometry -> zone_opportunity base rows."""
     return (zoning.where(F.col("is_building_zone") & F.col("shape").isNotNull())
-            .select(F.col("zone_id").alias("zone_uid"), "zone_id", "commune_bfs",
+            .select(zone_key().alias("zone_uid"), "zone_id", "commune_bfs",
                     F.col("hauptnutzung").alias("commune_name"), F.col("typ_kt").alias("zone_type"),
                     F.col("hauptnutzung").alias("primary_use"), "zone_code", "height_limit_m",
                     "density_indice", "shape", F.col("shape.area").alias("area_m2"),
                     F.col("shape.nparts").alias("n_parts")))
 
 
-def _trim_list(col: F.Column) -> F.Column:
+def _trim_list(col: Column) -> Column:
     return F.btrim(col, F.lit(", "))
 
 
-def reasons_a() -> F.Column:
+def reasons_a() -> Column:
     tier, code, h = F.col("zone_tier"), F.col("zone_code"), F.col("height_limit_m")
     return _trim_list(F.concat_ws(
         ", ",
@@ -47,7 +57,7 @@ def reasons_a() -> F.Column:
         F.when(F.col("signal_plan_revision"), F.lit("plan under revision"))))
 
 
-def score_a() -> F.Column:
+def score_a() -> Column:
     tier, h, dev = F.col("zone_tier"), F.col("height_limit_m"), F.col("developable_m2")
     raw = ((F.when(tier == "target", 50).when(tier == "secondary", 22).otherwise(0))
            + (F.when(h >= 21, 25).when(h >= 15, 20).when(h >= 12, 12).when(h.isNull(), 8).otherwise(0))
@@ -85,9 +95,7 @@ def with_phase_b_defaults(zones: DataFrame) -> DataFrame:
     out = zones
     for c, t in PHASE_B_DEFAULTS.items():
         if c not in out.columns:
-            v = F.lit(0) if c in ("n_buildings", "n_raisable") else (
-                F.lit(0.0) if c in ("built_footprint_m2", "built_floor_area_m2") else F.lit(None))
-            out = out.withColumn(c, v.cast(t))
+            out = out.withColumn(c, (F.lit(0) if c in PHASE_B_ZEROS else F.lit(None)).cast(t))
     return out
 
 
@@ -98,13 +106,18 @@ def target_extent(zones: DataFrame) -> DataFrame:
                  F.max("shape.xmax").alias("xmax"), F.max("shape.ymax").alias("ymax"))
 
 
-def within_envelope(layer: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
-    """Rows whose bounding box meets the closed envelope (literal filter -> pushed down)."""
-    return layer.where((F.col("shape.xmin") <= xmax) & (F.col("shape.xmax") >= xmin)
-                       & (F.col("shape.ymin") <= ymax) & (F.col("shape.ymax") >= ymin))
+def within_envelope(layer: DataFrame, xmin, ymin, xmax, ymax) -> DataFrame:
+    """Rows whose shape meets the closed envelope: box test first, then the exact predicate for shapes that are not rectangles."""
+    inside = layer.where((F.col("shape.xmin") <= xmax) & (F.col("shape.xmax") >= xmin)
+                         & (F.col("shape.ymin") <= ymax) & (F.col("shape.ymax") >= ymin))
+    as_col = lambda v: v if isinstance(v, Column) else F.lit(float(v))
+    boxed = inside.withColumns({"_ex1": as_col(xmin), "_ey1": as_col(ymin), "_ex2": as_col(xmax), "_ey2": as_col(ymax)})
+    boxed = boxed.withColumn("_env", G.shape_from_box("_ex1", "_ey1", "_ex2", "_ey2"))
+    exact = F.expr(G.intersects_sql("shape", "_env", G.is_rect_only(layer)))
+    return boxed.where(exact).drop("_ex1", "_ey1", "_ex2", "_ey2", "_env")
 
 
-def reasons_b() -> F.Column:
+def reasons_b() -> Column:
     tier, code, h = F.col("zone_tier"), F.col("zone_code"), F.col("height_limit_m")
     util, nb, nr = F.col("utilisation_pct"), F.col("n_buildings"), F.col("n_raisable")
     util_txt = F.round(util.cast("decimal(38,10)"), 0).cast("decimal(38,0)").cast("string")
@@ -122,23 +135,17 @@ def reasons_b() -> F.Column:
 
 
 def phase_b(zones_a: DataFrame, buildings: DataFrame, raisable: DataFrame,
-            cell: float = ZONE_CELL, envelope: tuple | None = None,
-            guard: bool = True) -> DataFrame:
+            cell: float = ZONE_CELL) -> DataFrame:
     """Phase B on Phase A zones.
 
-    Buildings are read only inside the envelope of target/secondary zones (the
-    envelope is one aggregate row; its four numbers become literal filters that
-    reach the scan). With no such zone, or no building inside the envelope,
-    Phase B is skipped and the zones keep their Phase A scores.
+    Buildings are read only inside the envelope of target/secondary zones. With
+    no such zone, or no building inside the envelope, the zones keep their
+    Phase A scores; ``phase_b_applied`` says which. Envelope and emptiness are
+    scalar subqueries, so nothing runs while the plan is built.
     """
-    if envelope is None:
-        env = target_extent(zones_a).first()
-        envelope = None if env is None or env["xmin"] is None else tuple(env)
-    if envelope is None:
-        return with_phase_b_defaults(zones_a)
-    bld = within_envelope(buildings, *envelope)
-    if guard and bld.select("shape").limit(1).count() == 0:
-        return with_phase_b_defaults(zones_a)
+    extent = target_extent(zones_a)
+    bld = within_envelope(buildings, *[extent.select(c).scalar() for c in ("xmin", "ymin", "xmax", "ymax")])
+    applied = bld.agg(F.count(F.lit(1)) > 0).scalar()
 
     ov, fl = F.col("overlap_m2"), F.col("floors")
     b = is_kind("bld")
@@ -176,7 +183,13 @@ def phase_b(zones_a: DataFrame, buildings: DataFrame, raisable: DataFrame,
                       F.when(F.col("zone_tier").isin("target", "secondary"), blended)
                       .otherwise(F.col("opportunity_score")))
          .withColumn("score_reasons", reasons_b()))
-    return z
+    names = [*PHASE_B_DEFAULTS, "opportunity_score", "score_reasons"]
+    kept = with_phase_b_defaults(zones_a).select(F.col("zone_uid"), *[F.col(c).alias(f"_a_{c}") for c in ("opportunity_score", "score_reasons")])
+    plain = {c: F.lit(0.0 if t == "double" else 0).cast(t) if c in PHASE_B_ZEROS else F.lit(None).cast(t) for c, t in PHASE_B_DEFAULTS.items()}
+    z = z.join(kept, "zone_uid").withColumn("phase_b_applied", applied)
+    for c in names:
+        z = z.withColumn(c, F.when(F.col("phase_b_applied"), F.col(c)).otherwise(plain[c] if c in plain else F.col(f"_a_{c}")))
+    return z.drop("_a_opportunity_score", "_a_score_reasons")
 
 
 def communes(zones: DataFrame, phase: str = "a") -> DataFrame:

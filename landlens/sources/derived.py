@@ -94,8 +94,7 @@ def zoning_features(spark: SparkSession, d: str) -> DataFrame:
     ymax = ymin + 60 - (k % 4) * 2
     one = F.array(_rect(xmin, ymin, xmin + 288, ymax))
     two = F.array(_rect(xmin, ymin, xmin + 140, ymax), _rect(xmin + 148, ymin, xmin + 288, ymax))
-    return (p.where(k % 50 != 49)
-            .join(n, (k % 25).cast("int") == F.col("n_nationkey"), "left")
+    return (p.join(n, (k % 25).cast("int") == F.col("n_nationkey"), "left")
             .select(k.cast("string").alias("id"), props.alias("properties"),
                     F.when(k % 7 == 0, two).otherwise(one).alias("rects")))
 
@@ -110,7 +109,7 @@ def buildings(spark: SparkSession, d: str) -> DataFrame:
     xmin = F.lit(X0) + (k % 120) * 48 + 1 + (ln - 1) * 5
     ymin = F.lit(Y0) + F.expr("l_orderkey div 120") * 48 + 1 + (ln % 4) * 9
     w, h = 2 + q % 6 + big, 2 + q % 7 + big
-    return G.mark_rect_only(li.where(q % 3 != 0)
+    return G.mark_rect_only(li
             .select(F.concat_ws("-", k.cast("string"), ln.cast("string")).alias("bld_id"),
                     F.when(F.col("l_returnflag") == "R", None)
                     .otherwise(F.round(F.col("l_tax") * 100)).cast("int").alias("floors"),
@@ -134,7 +133,7 @@ def forest(spark: SparkSession, d: str) -> DataFrame:
 def planning_zones(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey")
     k = F.col("c_custkey")
-    return G.mark_rect_only(c.where(k % 30 == 0)
+    return G.mark_rect_only(c
             .select(k.cast("string").alias("pz_id"), (6600 + k % 25).cast("int").alias("commune_bfs"),
                     F.lit("inForce").alias("status"), F.lit("2025-01-01").cast("date").alias("valid_from"),
                     (F.lit(X0) + (k * 53) % 5600).alias("_x"), (F.lit(Y0) + k * 4).alias("_y"))
@@ -145,7 +144,7 @@ def planning_zones(spark: SparkSession, d: str) -> DataFrame:
 def surelevation(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("c_custkey")
-    return G.mark_rect_only(c.where(k % 3 == 0)
+    return G.mark_rect_only(c
             .select(k.alias("objectid"), k.cast("string").alias("egid"),
                     F.concat(F.lit("NATION_"), (k % 25).cast("string")).alias("commune"),
                     F.col("c_mktsegment").alias("destination"), F.lit(None).cast("string").alias("remarque"),
@@ -155,14 +154,14 @@ def surelevation(spark: SparkSession, d: str) -> DataFrame:
 
 
 def restrictions(spark: SparkSession, d: str) -> DataFrame:
-    """raw.oereb_restrictions from every fifth event."""
+    """raw.oereb_restrictions, one per event."""
     e = table(spark, d, "events").select("event_id", "event_type", "value")
     k = F.col("event_id")
     theme = None
     for ev, th in THEME_BY_EVENT.items():
         theme = (F.when(F.col("event_type") == ev, th) if theme is None
                  else theme.when(F.col("event_type") == ev, th))
-    return (e.where(k % 5 == 0)
+    return (e
             .select(F.concat(F.lit("CH"), F.lpad(k.cast("string"), 12, "0")).alias("egrid"),
                     theme.alias("theme_code"),
                     F.concat(F.lit("Thème "), F.col("event_type")).alias("theme_text"),
@@ -233,8 +232,7 @@ def planning_features(spark: SparkSession, d: str) -> DataFrame:
     props = F.create_map(F.lit("commune_bfs"), (6600 + k % 25).cast("string"),
                          F.lit("status"), F.when(k % 60 == 0, "inForce").otherwise("planned"),
                          F.lit("valid_from"), F.lit("2025-01-01"))
-    df = c.where(k % 30 == 0).select(F.concat(F.lit("PZ"), k.cast("string")).alias("id"),
-                                     props.alias("properties"), k.alias("_k"))
+    df = c.select(F.concat(F.lit("PZ"), k.cast("string")).alias("id"), props.alias("properties"), k.alias("_k"))
     return _box_shape(df, F.lit(X0) + (F.col("_k") * 53) % 5600, F.lit(Y0) + F.col("_k") * 4,
                       F.lit(100.0), F.lit(100.0)).drop("_k")
 
@@ -266,7 +264,7 @@ def raisable_features(spark: SparkSession, d: str) -> DataFrame:
         F.lit("COMMUNE"), F.concat(F.lit("NATION_"), (k % 25).cast("string")),
         F.lit("DESTINATION"), F.col("c_mktsegment"),
         F.lit("REMARQUE"), F.when(k % 2 == 0, F.lit("LCI art. 23")))
-    df = c.where(k % 3 == 0).select(k.cast("string").alias("id"), props.alias("properties"), k.alias("_k"))
+    df = c.select(k.cast("string").alias("id"), props.alias("properties"), k.alias("_k"))
     return _box_shape(df, F.lit(X0) + (F.col("_k") * 37) % 5750, F.lit(Y0) + F.col("_k") * 4,
                       F.lit(10.0), F.lit(10.0)).drop("_k")
 
@@ -285,30 +283,38 @@ def _coords_json(x1: str, y1: str, x2: str, y2: str, closed: bool = True) -> str
 def zoning_geojson_features(spark: SparkSession, d: str) -> DataFrame:
     """Zoning features as GeoJSON Feature strings, with the awkward cases a
     real service returns: MultiPolygon parts, unclosed rings (p % 17 = 0),
-    zero-area rings (p % 19 = 0), bow-tie rings (p % 29 = 0), GeometryCollections
-    with a point (p % 23 = 0)."""
+    zero-area rings (p % 19 = 0), bow-tie rings (p % 29 = 0, placed 1,000 km south of
+    all other layers), GeometryCollections with a point (p % 23 = 0), empty
+    coordinates (p % 31 = 0), a repeated vertex (p % 37 = 0), a hole without area
+    (p % 41 = 0); OBJECTID is a JSON number for even p."""
     zf = zoning_features(spark, d)
     r = "rects"
-    one = ("concat('[', " + _sql_ring(f"{r}[0]", True) + ", ']')")
     poly = f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', True)}, ']}}')"
     multi = (f"concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[[', {_sql_ring(f'{r}[0]', True)}, '],[',"
              f" {_sql_ring(f'{r}[1]', True)}, ']]}}')")
     open_poly = f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', False)}, ']}}')"
     flat = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
-            f" {r}[0].xmax, ',', {r}[0].ymin, '],[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
+            f" {r}[0].xmax, ',', {r}[0].ymin, '],[', ({r}[0].xmin + {r}[0].xmax) / 2, ',', {r}[0].ymin, '],[',"
             f" {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
-    bow = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
-           f" {r}[0].xmax, ',', {r}[0].ymax, '],[', {r}[0].xmax, ',', {r}[0].ymin, '],[',"
-           f" {r}[0].xmin, ',', {r}[0].ymax, '],[', {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
+    bow = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin - 1000000, '],[',"
+           f" {r}[0].xmax, ',', {r}[0].ymax - 1000000, '],[', {r}[0].xmax, ',', {r}[0].ymin - 1000000, '],[',"
+           f" {r}[0].xmin, ',', {r}[0].ymax - 1000000, '],[', {r}[0].xmin, ',', {r}[0].ymin - 1000000, ']]]}}')")
+    again = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
+             f" {r}[0].xmax, ',', {r}[0].ymin, '],[', {r}[0].xmax, ',', {r}[0].ymax, '],[', {r}[0].xmin, ',', {r}[0].ymax, '],[',"
+             f" {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
+    holed = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', True)}, ',[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
+             f" {r}[0].xmax, ',', {r}[0].ymax, '],[', {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
+    empty = "'{\"type\":\"Polygon\",\"coordinates\":[]}'"
     base = f"CASE WHEN size({r}) = 2 THEN {multi} ELSE {poly} END"
     coll = (f"concat('{{\"type\":\"GeometryCollection\",\"geometries\":[{{\"type\":\"Point\",\"coordinates\":[',"
             f" {r}[0].xmin, ',', {r}[0].ymin, ']}},', {base}, ']}}')")
     k = "cast(id AS bigint)"
     geom = (f"CASE WHEN {k} % 19 = 0 THEN {flat} WHEN {k} % 17 = 0 THEN {open_poly}"
-            f" WHEN {k} % 29 = 0 THEN {bow} WHEN {k} % 23 = 0 THEN {coll} ELSE {base} END")
-    del one
+            f" WHEN {k} % 29 = 0 THEN {bow} WHEN {k} % 31 = 0 THEN {empty} WHEN {k} % 37 = 0 THEN {again} WHEN {k} % 41 = 0 THEN {holed}"
+            f" WHEN {k} % 23 = 0 THEN {coll} ELSE {base} END")
     feat = F.concat(F.lit('{"type":"Feature","id":"'), F.col("id"), F.lit('","properties":'),
-                    F.to_json("properties"), F.lit(',"geometry":'), F.expr(geom), F.lit("}"))
+                    F.when(F.expr(f"{k} % 2 = 0"), F.regexp_replace(F.to_json("properties"), r'"OBJECTID":"([0-9]+)"', r'"OBJECTID":$1'))
+                    .otherwise(F.to_json("properties")), F.lit(',"geometry":'), F.expr(geom), F.lit("}"))
     return zf.select("id", feat.alias("feature_json"))
 
 
@@ -323,13 +329,16 @@ def _sql_ring(rect: str, closed: bool) -> str:
 
 def zoning_pages(spark: SparkSession, d: str, page_size: int = 100) -> DataFrame:
     """FeatureCollection page documents (page_no, page_json), page_size features
-    each; pages are formed from key ranges, so every group is bounded."""
+    each; pages are formed from key ranges, so every group is bounded. Every
+    third page has also landed a second time, cut off (page_no negative)."""
     f = zoning_geojson_features(spark, d)
     page = F.floor(F.col("id").cast("bigint") / page_size)
-    return (f.groupBy(page.alias("page_no"))
+    pages = (f.groupBy(page.alias("page_no"))
             .agg(F.concat(F.lit('{"type":"FeatureCollection","features":['),
                           F.array_join(F.collect_list("feature_json"), ","),
                           F.lit("]}")).alias("page_json")))
+    cut = pages.where(F.col("page_no") % 3 == 0).select((-1 - F.col("page_no")).alias("page_no"), F.expr("substring(page_json, 1, length(page_json) - 40)").alias("page_json"))
+    return pages.unionByName(cut)
 
 
 def _jstr(c: F.Column) -> F.Column:
@@ -338,9 +347,9 @@ def _jstr(c: F.Column) -> F.Column:
 
 
 def restriction_extracts(spark: SparkSession, d: str) -> DataFrame:
-    """One legal-extract JSON document per restriction row (egrid, extract_json).
+    """One legal-extract JSON document per event (egrid, extract_json).
 
-    Variants: Theme.Code missing (event_id % 4 = 0, only Sub_Code given), text
+    Variants: a second restriction (even event_id), a cut-off document (event_id % 50 = 49), Theme.Code missing (event_id % 4 = 0, only Sub_Code given), text
     as a plain string (event_id % 3 = 0), empty French text (event_id % 7 = 0).
     """
     e = table(spark, d, "events").select("event_id", "event_type", "value")
@@ -354,11 +363,14 @@ def restriction_extracts(spark: SparkSession, d: str) -> DataFrame:
                  F.lit('},{"Language":"fr","Text":'), _jstr(fr), F.lit("}]")))
     code = F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit('"Code":'), _jstr(theme), F.lit(",")))
     state = F.when(F.col("value") < 20, "inForce").otherwise("changeWithPreEffect")
-    doc = F.concat(
+    whole = F.concat(
         F.lit('{"GetExtractByIdResponse":{"extract":{"RealEstate":[{"RestrictionOnLandownership":[{"Theme":{'),
         code, F.lit('"Sub_Code":'), _jstr(F.concat(theme, F.lit(".sub"))), F.lit(',"Text":'), text,
-        F.lit('},"SubTheme":null,"Lawstatus":{"Code":'), _jstr(state), F.lit("}}]}]}}}"))
-    return (e.where(k % 5 == 0)
+        F.lit('},"SubTheme":null,"Lawstatus":{"Code":'), _jstr(state), F.lit("}}"),
+        F.when(k % 2 == 0, F.lit(',{"Theme":{"Code":"LandUsePlans","Text":"Plan"},"SubTheme":"zone","Lawstatus":{"Code":"inForce"}}')).otherwise(""),
+        F.lit("]}]}}}"))
+    doc = F.when(k % 50 == 49, F.substring("doc", 1, 60)).otherwise(F.col("doc"))
+    return (e.withColumn("doc", whole)
             .select(F.concat(F.lit("CH"), F.lpad(k.cast("string"), 12, "0")).alias("egrid"),
                     doc.alias("extract_json")))
 
@@ -383,12 +395,3 @@ def wgs84_zone_features(spark: SparkSession, d: str) -> DataFrame:
                         F.lit("]]}"))
     return p.select(k.cast("string").alias("id"),
                     F.when(k % 3 == 0, ring(*deg)).otherwise(ring(*lv)).alias("geometry"))
-
-
-def page_manifest(spark: SparkSession, d: str) -> DataFrame:
-    """One row per fetched page: 20 layers, feature count per page from part."""
-    p = table(spark, d, "part").select("p_partkey", "p_size")
-    k, sz = F.col("p_partkey"), F.col("p_size")
-    return p.select((k % 20).cast("int").alias("layer"), F.expr("p_partkey div 20").alias("page_no"),
-                    F.when(sz == 50, 40).when(sz == 49, 0).otherwise(100).cast("bigint").alias("n"),
-                    (k % 2 == 0).alias("exceeded"), (k % 11 != 10).alias("has_next"))

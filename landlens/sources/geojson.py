@@ -1,16 +1,16 @@
 """Landed GeoJSON pages and legal extracts -> typed DataFrames.
 
-* ``read_pages(spark, path)``: FeatureCollection files (one page per file),
-  page number from the file name order is replaced by ``_metadata.file_path``.
-* ``explode_pages(df, col)``: same from a string column.
+* ``read_pages(spark, path)``: landed FeatureCollection documents, one per line (splittable).
+* ``explode_pages(df)`` / ``page_status(df)``: features of the good pages / every page with its feature count or "corrupt".
 * ``geometry(col)``: GeoJSON geometry text -> multipolygon array (Polygon,
   MultiPolygon, polygonal members of a GeometryCollection; other types drop).
-* ``screen(features)``: ring validity screen (close open rings, reject rings
-  with < 4 points, self-intersecting or zero-area rings) -> ``status`` / ``reason``.
-* ``flatten_extracts(df)``: legal extract JSON -> one row per restriction.
+* ``screen(features)``: geometry repair (close rings, drop repeated vertices, degenerate rings and holes, split a ring
+  at its one self-crossing) -> ``status`` / ``reason``; what cannot be repaired stays as a rejected row.
+* ``flatten_extracts(df)`` / ``extract_status(df)``: legal extract JSON -> one row per restriction / per document.
 
 Everything is JSON parsing by Spark's own readers (``from_json`` /
-``parse_json`` + ``variant_get``); no Python touches a row.
+``try_parse_json`` + ``variant_get``); no Python touches a row. Properties are texts; one that the JSON
+held as a number starts with ``rules.NUMBER_MARK``.
 """
 
 from __future__ import annotations
@@ -21,30 +21,54 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import rules as R
 
-FEATURE_T = "struct<id:string,properties:map<string,string>,geometry:string>"
-PAGE_T = (f"struct<type:string,features:array<{FEATURE_T}>,exceededTransferLimit:boolean,"
-          f"links:array<struct<rel:string,href:string>>>")
+FEATURE_T = "struct<id:string,properties:string,geometry:string>"
+CORRUPT = "_corrupt_page"
+PAGE_T = f"struct<type:string,features:array<{FEATURE_T}>,{CORRUPT}:string>"
 _POLY_T = "struct<coordinates:array<array<array<double>>>>"
 _MULTI_T = "struct<coordinates:array<array<array<array<double>>>>>"
 _COLL_T = "struct<geometries:array<string>>"
 
 
+def _properties(col: str) -> Column:
+    """JSON object text -> map<string, string>; numbers keep a mark, so that 5, 5.0 and "5" can be told apart."""
+    return F.expr(f"""transform_values(from_json({col}, 'map<string,variant>'), (vk_, vv_) ->
+        CASE WHEN schema_of_variant(vv_) RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)' THEN concat('{R.NUMBER_MARK}', cast(vv_ AS string))
+             ELSE cast(vv_ AS string) END)""")
+
+
+def _parsed_pages(df: DataFrame, col: str, page_col: str) -> DataFrame:
+    page = F.from_json(col, PAGE_T, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.select(F.col(page_col).alias("page_no"), page.alias("_p"))
+
+
 def explode_pages(df: DataFrame, col: str = "page_json", page_col: str = "page_no") -> DataFrame:
-    """(page_no, page_json) -> (id, properties, geometry, page_no), one row per feature."""
-    parsed = df.select(F.col(page_col).alias("page_no"), F.from_json(col, PAGE_T).alias("_p"))
-    return (parsed.select("page_no", F.explode("_p.features").alias("f"))
-            .select("f.id", "f.properties", "f.geometry", "page_no"))
+    """(page_no, page_json) -> (id, properties, geometry, page_no), one row per feature of every readable page."""
+    good = _parsed_pages(df, col, page_col).where(F.col(f"_p.{CORRUPT}").isNull())
+    return (good.select("page_no", F.explode("_p.features").alias("f"))
+            .select("f.id", _properties("f.properties").alias("properties"), "f.geometry", "page_no"))
+
+
+def page_status(df: DataFrame, col: str = "page_json", page_col: str = "page_no") -> DataFrame:
+    """Every landed page: (page_no, status, n_features); a truncated or malformed one is 'corrupt' with 0 features."""
+    bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull() | F.col("_p.features").isNull()
+    return _parsed_pages(df, col, page_col).select(
+        "page_no", F.when(bad, "corrupt").otherwise("ok").alias("status"),
+        F.when(bad, F.lit(0)).otherwise(F.size("_p.features")).cast("bigint").alias("n_features"))
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Land (page_no, page_json) rows as lines of JSON documents."""
+    pages.select(F.to_json(F.struct(F.col("page_no"), F.col("page_json"))).alias("value")).write.mode("overwrite").text(path)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed FeatureCollection files: one page per file; page = file path."""
-    raw = (spark.read.text(path, wholetext=True)
-           .select(F.col("value").alias("page_json"), F.col("_metadata.file_path").alias("page_no")))
-    return explode_pages(raw)
+    """(page_no, page_json) of landed pages, one per line, so that a large landing folder splits into many tasks."""
+    line = F.from_json("value", "struct<page_no:bigint,page_json:string>")
+    return spark.read.text(path).select(line.alias("l")).select("l.page_no", "l.page_json")
 
 
 def _pts(arr: str) -> str:
-    return f"transform({arr}, vq_ -> named_struct('x', vq_[0], 'y', vq_[1]))"
+    return f"transform({arr}, vq_ -> named_struct('x', get(vq_, 0), 'y', get(vq_, 1)))"
 
 
 def _poly_sql(g: str) -> str:
@@ -75,33 +99,81 @@ def geometry_type(col: str = "geometry") -> Column:
     return F.get_json_object(F.col(col), "$.type")
 
 
+def _clean_ring(r: str) -> str:
+    """Ring without missing or repeated vertices, closed."""
+    known = f"filter({r}, vn_ -> vn_.x IS NOT NULL AND vn_.y IS NOT NULL)"
+    once = f"transform(array({known}), vkn_ -> filter(vkn_, (vd_, vdi_) -> vdi_ = 0 OR vd_ <> vkn_[vdi_ - 1]))[0]"
+    return (f"transform(array({once}), vcl_ -> CASE WHEN size(vcl_) > 0 AND vcl_[0] <> vcl_[size(vcl_) - 1]"
+            f" THEN concat(vcl_, array(vcl_[0])) ELSE vcl_ END)[0]")
+
+
+def _ring_area(r: str) -> str:
+    return (f"(aggregate(sequence(0, size({r}) - 2), 0D, (va_, vj_) -> va_ + ({r}[vj_].x - {r}[0].x) * ({r}[vj_ + 1].y - {r}[0].y)"
+            f" - ({r}[vj_ + 1].x - {r}[0].x) * ({r}[vj_].y - {r}[0].y)))")
+
+
+def _flat(r: str) -> str:
+    """Too few points, or all on one line."""
+    return (f"(size({r}) < 4 OR forall(sequence(1, size({r}) - 2), vl_ -> ({r}[vl_].x - {r}[0].x) * ({r}[vl_ + 1].y - {r}[0].y)"
+            f" = ({r}[vl_ + 1].x - {r}[0].x) * ({r}[vl_].y - {r}[0].y)))")
+
+
+def _crossings(r: str) -> str:
+    """Pairs (i, j) of edges of a ring that properly cross."""
+    def at(i, c):
+        return f"{r}[{i}].{c}"
+
+    def side(a, b, c):
+        return f"sign({G._orient(at(a, 'x'), at(a, 'y'), at(b, 'x'), at(b, 'y'), at(c, 'x'), at(c, 'y'))})"
+    boxes = " AND ".join(f"greatest({at('vi_', c)}, {at('vi_ + 1', c)}) >= least({at('vj_', c)}, {at('vj_ + 1', c)})"
+                         f" AND greatest({at('vj_', c)}, {at('vj_ + 1', c)}) >= least({at('vi_', c)}, {at('vi_ + 1', c)})" for c in "xy")
+    cross = (f"{boxes} AND {side('vi_', 'vi_ + 1', 'vj_')} * {side('vi_', 'vi_ + 1', 'vj_ + 1')} < 0"
+             f" AND {side('vj_', 'vj_ + 1', 'vi_')} * {side('vj_', 'vj_ + 1', 'vi_ + 1')} < 0")
+    edges = f"sequence(0, size({r}) - 2)"
+    return (f"flatten(transform({edges}, vi_ -> transform(filter({edges}, vj_ -> vj_ > vi_ + 1 AND {cross}),"
+            f" vj_ -> named_struct('i', vi_, 'j', vj_))))")
+
+
+def _split_at(r: str, k: str) -> str:
+    """The two rings of a ring whose edges k.i and k.j cross."""
+    a, b, c, d = (f"{r}[{i}]" for i in (f"{k}.i", f"{k}.i + 1", f"{k}.j", f"{k}.j + 1"))
+    t = (f"((({c}.x - {a}.x) * ({d}.y - {c}.y) - ({c}.y - {a}.y) * ({d}.x - {c}.x))"
+         f" / (({b}.x - {a}.x) * ({d}.y - {c}.y) - ({b}.y - {a}.y) * ({d}.x - {c}.x)))")
+    x = f"array(named_struct('x', {a}.x + {t} * ({b}.x - {a}.x), 'y', {a}.y + {t} * ({b}.y - {a}.y)))"
+    one = f"concat({x}, slice({r}, {k}.i + 2, {k}.j - {k}.i), {x})"
+    two = f"concat({x}, slice({r}, {k}.j + 2, size({r}) - {k}.j - 2), slice({r}, 1, {k}.i + 1), {x})"
+    return f"array({one}, {two})"
+
+
 def screen(features: DataFrame, geom: str = "geom") -> DataFrame:
-    """Validity screen (re-aimed ST_MakeValid): close open rings; reject
-    geometries with no polygon, a ring of < 4 points, a self-intersecting ring
-    (two non-adjacent edges meet) or a zero-area ring."""
-    g = F.col(geom)
-    closed = F.expr(f"transform({geom}, vpc_ -> transform(vpc_, vrc_ -> CASE WHEN vrc_[0] = vrc_[size(vrc_) - 1]"
-                    f" THEN vrc_ ELSE concat(vrc_, array(vrc_[0])) END))")
-    was_open = F.expr(f"exists({geom}, vpc_ -> exists(vpc_, vrc_ -> vrc_[0] <> vrc_[size(vrc_) - 1]))")
-    out = features.withColumn("_g", closed).withColumn("_open", was_open)
-    short = F.expr("exists(_g, vpc_ -> exists(vpc_, vrc_ -> size(vrc_) < 4))")
-    ring_area = ("(aggregate(sequence(0, size(vrc_) - 2), 0D, (va_, vj_) -> va_ + (vrc_[vj_].x - vrc_[0].x) * (vrc_[vj_ + 1].y - vrc_[0].y)"
-                 " - (vrc_[vj_ + 1].x - vrc_[0].x) * (vrc_[vj_].y - vrc_[0].y)))")
-    flat = F.expr(f"exists(_g, vpc_ -> exists(vpc_, vrc_ -> size(vrc_) >= 4 AND {ring_area} = 0))")
-
-    def seg(i):
-        return (f"(named_struct('x1', vrc_[{i}].x, 'y1', vrc_[{i}].y, 'x2', vrc_[{i} + 1].x, 'y2', vrc_[{i} + 1].y))")
-    crossing = G._seg_intersects(seg("si_"), seg("sj_"))
-    selfx = F.expr(f"exists(_g, vpc_ -> exists(vpc_, vrc_ -> size(vrc_) >= 4 AND exists(sequence(0, size(vrc_) - 2),"
-                   f" si_ -> exists(sequence(0, size(vrc_) - 2), sj_ -> sj_ > si_ + 1"
-                   f" AND NOT (si_ = 0 AND sj_ = size(vrc_) - 2) AND {crossing}))))")
-    reason = (F.when(g.isNull() | (F.size(g) <= 0), "no polygon").when(short, "ring with < 4 points")
-              .when(selfx, "self-intersecting ring").when(flat, "zero-area ring"))
-    return (out.withColumn("reason", reason)
-            .withColumn("status", F.when(F.col("reason").isNotNull(), "rejected")
-                        .when(F.col("_open"), "repaired").otherwise("ok"))
-            .withColumn(geom, F.when(F.col("reason").isNull(), F.col("_g")))
-            .drop("_g", "_open"))
+    """Geometry repair (re-aimed ST_MakeValid), part by part.
+
+    Rings lose missing and repeated vertices and are closed. A part whose outer ring has fewer than 4 points or no area is dropped,
+    a hole likewise without its part. An outer ring without holes that crosses itself once becomes two parts; rings that only touch
+    themselves are fine. A geometry with nothing left, or with other self-crossings, is a rejected row with its reason."""
+    rings = f"transform(filter(coalesce(vgeom_, array()), vp_ -> size(vp_) > 0), vp_ -> transform(vp_, vr_ -> {_clean_ring('vr_')}))"
+    parts = (f"transform(filter(vg_all_, vp_ -> NOT {_flat('vp_[0]')}), vp_ -> concat(slice(vp_, 1, 1),"
+             f" filter(slice(vp_, 2, greatest(size(vp_) - 1, 0)), vr_ -> NOT {_flat('vr_')})))")
+    found = f"transform(vparts_, vp_ -> transform(vp_, vr_ -> {_crossings('vr_')}))"
+    split = ("filter(flatten(transform(vparts_, (vp_, vpi_) -> CASE WHEN size(vcross_[vpi_][0]) = 1"
+             f" THEN transform(filter({_split_at('vp_[0]', 'vcross_[vpi_][0][0]')}, vs_ -> NOT {_flat('vs_')}), vs_ -> array(vs_)) ELSE array(vp_) END)),"
+             f" vq_ -> {_ring_area('vq_[0]')} <> 0)")
+    beyond = ("exists(vcross_, vx_ -> size(vx_[0]) > 1 OR (size(vx_[0]) = 1 AND size(vx_) > 1)"
+              " OR exists(slice(vx_, 2, greatest(size(vx_) - 1, 0)), vh_ -> size(vh_) > 0))")
+    reason = ("CASE WHEN size(vg_all_) = 0 THEN 'no polygon' WHEN size(vparts_) = 0 AND forall(vg_all_, vp_ -> size(vp_[0]) < 4) THEN 'ring with < 4 points'"
+              f" WHEN size(vparts_) = 0 THEN 'zero-area ring' WHEN {beyond} THEN 'self-intersecting ring' WHEN size(vdone_) = 0 THEN 'zero-area ring' END")
+    verdict = f"named_struct('reason', {reason}, 'done', vdone_, 'same', vdone_ <=> vgeom_)"
+    # One expression with its steps bound once: later filters may repeat a column's expression.
+    bound = _let("vgeom_", geom, _let("vg_all_", rings, _let("vparts_", parts, _let("vcross_", found, _let(
+        "vdone_", f"CASE WHEN {beyond} THEN array() ELSE {split} END", verdict)))))
+    kept = F.col("_s.reason").isNull()
+    return (features.withColumn("_s", F.expr(bound)).withColumn("reason", F.col("_s.reason"))
+            .withColumn("status", F.when(~kept, "rejected").when(F.col("_s.same"), "ok").otherwise("repaired"))
+            .withColumn(geom, F.when(kept, F.col("_s.done"))).drop("_s"))
+
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def to_features(raw: DataFrame) -> DataFrame:
@@ -114,7 +186,7 @@ def to_features(raw: DataFrame) -> DataFrame:
 
 def flatten_extracts(extracts: DataFrame, lang: str = "fr") -> DataFrame:
     """(egrid, extract_json) -> (egrid, theme_code, theme_text, sub_theme, legal_state)."""
-    v = F.parse_json(F.col("extract_json"))
+    v = F.try_parse_json(F.col("extract_json"))  # malformed documents give no rows; see extract_status
     res = F.expr("try_variant_get(_v, '$.GetExtractByIdResponse.extract.RealEstate', 'array<variant>')")
     rows = (extracts.select("egrid", v.alias("_v"))
             .select("egrid", F.explode(res).alias("_re"))
@@ -132,3 +204,13 @@ def flatten_extracts(extracts: DataFrame, lang: str = "fr") -> DataFrame:
         F.expr("try_variant_get(_r, '$.Lawstatus.Code', 'string')").alias("legal_state"))
     text = F.when(F.col("_tl").isNotNull(), R.localized_text("_tl", lang)).otherwise(R.nonempty(F.col("_ts")))
     return out.select("egrid", "theme_code", text.alias("theme_text"), "sub_theme", "legal_state")
+
+
+def extract_status(extracts: DataFrame) -> DataFrame:
+    """Every landed extract: (egrid, status, n_restrictions); status 'ok', 'malformed' (no JSON) or 'empty' (no restriction list)."""
+    v = F.try_parse_json(F.col("extract_json"))
+    lists = F.expr("transform(try_variant_get(_v, '$.GetExtractByIdResponse.extract.RealEstate', 'array<variant>'),"
+                   " ve_ -> coalesce(size(try_variant_get(ve_, '$.RestrictionOnLandownership', 'array<variant>')), 0))")
+    n = F.coalesce(F.aggregate("_n", F.lit(0), lambda acc, x: acc + x), F.lit(0)).cast("bigint")
+    return (extracts.select("egrid", v.alias("_v")).withColumn("_n", lists)
+            .select("egrid", F.when(F.col("_v").isNull(), "malformed").when(n == 0, "empty").otherwise("ok").alias("status"), n.alias("n_restrictions")))

@@ -18,10 +18,15 @@ def prop(name: str) -> F.Column:
     return F.col("properties").getItem(name)
 
 
+def text(name: str) -> F.Column:
+    """A property as plain text."""
+    return R.plain(prop(name))
+
+
 def _canton_ok(key: str, canton: str | None) -> F.Column:
     if not canton:
         return F.lit(True)
-    return F.upper(F.coalesce(prop(key), F.lit(""))) == canton.upper()
+    return F.upper(F.coalesce(text(key), F.lit(""))) == canton.upper()
 
 
 def canton_stats(features: DataFrame, key: str, canton: str) -> DataFrame:
@@ -36,7 +41,7 @@ def load_zoning_federal(features: DataFrame, canton: str | None = "VD") -> DataF
                     F.lit(None).cast("int").alias("commune_bfs"),
                     R.first_nonempty(prop("type_canton_designation"),
                                      prop("affectation_principale_designation"), default="").alias("typ_kt"),
-                    prop("affectation_principale_designation").alias("hauptnutzung"),
+                    text("affectation_principale_designation").alias("hauptnutzung"),
                     R.build_zone_federal(prop("affectation_principale_code")).alias("is_building_zone"),
                     "shape"))
 
@@ -46,17 +51,17 @@ def load_zoning_cantonal(features: DataFrame) -> DataFrame:
 
     ``hauptnutzung`` carries the COMMUNE name, as in the source loader.
     """
-    code = F.trim(F.coalesce(prop("ZONE"), F.lit("")))
+    code = R.strip(F.coalesce(text("ZONE"), F.lit("")))
     name = F.coalesce(R.nonempty(prop("NOM_ZONE")), F.lit(""))
     return features.select(
         R.first_nonempty(prop("OBJECTID"), F.col("id"), default="").alias("zone_id"),
         R.to_int(prop("NO_COMM_FEDERAL")).alias("commune_bfs"),
         name.alias("typ_kt"),
-        prop("COMMUNE").alias("hauptnutzung"),
+        text("COMMUNE").alias("hauptnutzung"),
         R.build_zone_cantonal(code, name).alias("is_building_zone"),
         code.alias("zone_code"),
         R.parse_height(prop("DESCRIPTION")).alias("height_limit_m"),
-        prop("INDICE").alias("density_indice"),
+        text("INDICE").alias("density_indice"),
         "shape")
 
 
@@ -67,8 +72,8 @@ def load_parcels(features: DataFrame, canton: str | None = "VD") -> DataFrame:
     return (features.where(_canton_ok("Kanton", canton))
             .select(fid.alias("source_id"), egrid.alias("egrid"),
                     R.to_int(prop("BFSNr")).alias("commune_bfs"),
-                    prop("Kanton").alias("commune_name"),
-                    prop("Nummer").alias("parcel_no"),
+                    text("Kanton").alias("commune_name"),
+                    text("Nummer").alias("parcel_no"),
                     R.to_float(prop("Flaeche")).alias("area_m2"),
                     "shape"))
 
@@ -84,10 +89,11 @@ def load_buildings_landcover(features: DataFrame) -> DataFrame:
                     F.lit(None).cast("double").alias("footprint_m2"), "shape"))
 
 
-def load_generic(features: DataFrame, columns: list[str]) -> DataFrame:
-    """id + named properties + geometry (planning zones, forest, ...)."""
+def load_generic(features: DataFrame, columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
+    """id + named properties + geometry (planning zones, forest, ...); ``types`` names SQL types other than text."""
     sel = [F.coalesce(F.col("id"), F.lit("")).alias(columns[0])]
-    sel += [prop(c).alias(c) for c in columns[1:]]
+    types = types or {}
+    sel += [(R.to_int(prop(c)) if types.get(c) == "int" else text(c).try_cast(types[c]) if c in types else text(c)).alias(c) for c in columns[1:]]
     return features.select(*sel, "shape")
 
 
@@ -95,8 +101,8 @@ def load_buildings_floors(features: DataFrame) -> DataFrame:
     """Building footprints with above-ground floors, height and year."""
     return features.select(
         R.to_int(prop("OBJECTID")).cast("bigint").alias("objectid"),
-        prop("EGID").alias("egid"), prop("COMMUNE").alias("commune"),
-        prop("DESTINATION").alias("destination"), prop("NOMEN_CLASSE").alias("nomen_classe"),
+        text("EGID").alias("egid"), text("COMMUNE").alias("commune"),
+        text("DESTINATION").alias("destination"), text("NOMEN_CLASSE").alias("nomen_classe"),
         R.to_int(prop("NIVEAUX_HORSOL")).alias("floors"),
         R.to_float(prop("HAUTEUR")).alias("hauteur"),
         R.to_int(prop("ANNEE_CONSTRUCTION")).alias("annee_constr"),
@@ -107,6 +113,6 @@ def load_buildings_floors(features: DataFrame) -> DataFrame:
 def load_raisable(features: DataFrame) -> DataFrame:
     return features.select(
         R.to_int(prop("OBJECTID")).cast("bigint").alias("objectid"),
-        prop("EGID").alias("egid"), prop("COMMUNE").alias("commune"),
-        prop("DESTINATION").alias("destination"), prop("REMARQUE").alias("remarque"),
+        text("EGID").alias("egid"), text("COMMUNE").alias("commune"),
+        text("DESTINATION").alias("destination"), text("REMARQUE").alias("remarque"),
         "shape")

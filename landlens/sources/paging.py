@@ -1,50 +1,16 @@
-"""Paging rules of a feature service, expressed over a page manifest.
-
-A manifest has one row per page: (layer, page_no, n, exceeded, has_next).
-``cutoff_pages`` keeps exactly the pages the fetch loop would have read:
-a page is read unless an earlier page of the same layer triggered a stop.
-The running count and the running "stopped" flag are frame windows over the
-page order of each layer (one row per page, not per feature).
-``filter_or_all`` is the attribute-filter-with-fallback read.
-"""
+"""Attribute-filtered reads of a layer."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def cutoff_pages(manifest: DataFrame, page_size: int, max_features: int,
-                 max_pages: int | None = None, strict: bool = True,
-                 use_next_link: bool = False) -> DataFrame:
-    """Pages read by the loop, with the running feature count ``cum_n``.
-
-    Stop after a page that is empty, short (``n < page_size`` and not
-    ``exceeded``), pushes the running count over ``max_features`` (``>`` when
-    ``strict``, else ``>=``), reaches ``max_pages``, or (``use_next_link``)
-    has no next link.
-    """
-    w = Window.partitionBy("layer").orderBy("page_no")
-    m = manifest.withColumn("cum_n", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    m = m.withColumn("_ord", F.row_number().over(w))
-    over = (F.col("cum_n") > max_features) if strict else (F.col("cum_n") >= max_features)
-    stop = (F.col("n") == 0) | over
-    if use_next_link:
-        stop = stop | ~F.coalesce(F.col("has_next"), F.lit(False))
-    else:
-        stop = stop | ((F.col("n") < page_size) & ~F.coalesce(F.col("exceeded"), F.lit(False)))
-    if max_pages is not None:
-        stop = stop | (F.col("_ord") >= max_pages)
-    m = m.withColumn("_stop", stop.cast("int"))
-    m = m.withColumn("_earlier", F.max("_stop").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    return m.where(F.coalesce(F.col("_earlier"), F.lit(0)) == 0).drop("_stop", "_ord", "_earlier")
-
-
 def filter_or_all(df: DataFrame, predicate: Column) -> DataFrame:
-    """Rows matching ``predicate``; when none match, the unfiltered rows.
+    """Rows matching ``predicate``; when none match, all rows. ``branch`` says which applied ('filtered' or 'all').
 
-    The emptiness probe is a ``limit(1)`` action (reads at most one row per
-    partition until a hit), then the chosen plan keeps full pushdown.
+    Whether any row matches is a scalar subquery of the same plan, so nothing runs while the plan is built.
     """
-    filtered = df.where(predicate)
-    return filtered if filtered.limit(1).count() > 0 else df
+    some = df.agg(F.coalesce(F.bool_or(predicate), F.lit(False))).scalar()
+    return (df.withColumn("branch", F.when(some, F.lit("filtered")).otherwise(F.lit("all")))
+            .where(F.coalesce(predicate, F.lit(False)) | (F.col("branch") == "all")))

@@ -151,3 +151,35 @@ def test_wgs84_to_lv95_reference_point(spark):
     r = frame(spark, g=g).select(G.to_lv95("g").alias("h")).select(
         F.expr("h[0][0][0].x").alias("x"), F.expr("h[0][0][0].y").alias("y")).first()
     assert r["x"] == pytest.approx(2699999.76, abs=0.05) and r["y"] == pytest.approx(1099999.97, abs=0.05)
+
+
+def test_batches_agree_with_expressions(spark):
+    """Random stars, holes and boxes: the Arrow batches of operators.pairs against the SQL expressions."""
+    import math
+    import random
+
+    from landlens.operators import pairs as PAIR
+
+    rng = random.Random(7)
+
+    def star(cx, cy):
+        n = rng.randint(3, 9)
+        pts = [(cx + rng.uniform(2, 9) * math.cos(2 * math.pi * k / n), cy + rng.uniform(2, 9) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+        return [{"x": x, "y": y} for x, y in [*pts, pts[0]]]
+
+    def box(cx, cy, r):
+        return [{"x": cx + x * r, "y": cy + y * r} for x, y in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))]
+
+    def geom():
+        cx, cy = rng.uniform(0, 25), rng.uniform(0, 25)
+        return rng.choice([lambda: [[star(cx, cy)]], lambda: [[star(cx, cy)], [star(cx + 30, cy)]], lambda: [[box(cx, cy, 6), box(cx, cy, 3)]], lambda: [[box(cx, cy, 4)]]])()
+    kind = "array<array<array<struct<x:double,y:double>>>>"
+    df = spark.createDataFrame([(i, geom(), geom()) for i in range(300)], f"id int, g {kind}, h {kind}").repartition(3)
+    df = df.select("id", G.shape("g", general=True).alias("a"), G.shape("h", general=True).alias("b"))
+    df = df.withColumns({"sa": F.expr(G._segs_of("a")), "sb": F.expr(G._segs_of("b")), "pa": F.expr(G._probes_of("a")), "pb": F.expr(G._probes_of("b"))})
+    sa, sb, pa_, pb = (F.col(c) for c in ("sa", "sb", "pa", "pb"))
+    df = df.withColumns({"o2": PAIR.overlap(sa, sb), "m2": PAIR.near(sa, sb, pa_, pb), "d2": PAIR.near(sa, sb, pa_, pb, 2.0)})
+    got = df.select("o2", "m2", "d2", F.expr(G.overlap_area_sql("a", "b")).alias("o"), F.expr(G._general_intersects("a", "b")).alias("m"), F.expr(G.dwithin_sql("a", "b", 2.0)).alias("d")).collect()
+    assert len({r["m"] for r in got}) == 2
+    for r in got:
+        assert abs(r["o"] - r["o2"]) < 1e-7 and r["m"] == r["m2"] and r["d"] == r["d2"]

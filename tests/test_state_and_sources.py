@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from landlens.functions import rules as R
 from landlens.operators import state as S
+from landlens.plans import profile as PR
 from landlens.sources import geojson as J
 from landlens.sources import paging as PG
 from landlens.sources.store import TableStore
@@ -47,21 +48,79 @@ def test_update_from_keeps_unmatched(spark):
     assert got == {"A": None, "B": "old"}
 
 
-def test_page_cutoff_rules(spark):
-    m = spark.createDataFrame(
-        [(0, 0, 100, True, True), (0, 1, 100, False, True), (0, 2, 40, False, True), (0, 3, 100, True, True),
-         (1, 0, 100, True, True), (1, 1, 0, True, True), (1, 2, 100, True, True),
-         (2, 0, 100, True, True), (2, 1, 100, True, True), (2, 2, 100, True, True), (2, 3, 100, True, True)],
-        "layer int, page_no long, n long, exceeded boolean, has_next boolean")
-    got = {(r["layer"], r["page_no"]) for r in PG.cutoff_pages(m, 100, 250).collect()}
-    # layer 0: short page 2 ends it; layer 1: empty page 1 ends it; layer 2: > 250 after page 2
-    assert got == {(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (2, 0), (2, 1), (2, 2)}
-
-
 def test_filter_or_all(spark):
     df = spark.range(10)
-    assert PG.filter_or_all(df, F.col("id") > 7).count() == 2
-    assert PG.filter_or_all(df, F.col("id") > 70).count() == 10
+    some, none = PG.filter_or_all(df, F.col("id") > 7), PG.filter_or_all(df, F.col("id") > 70)
+    assert sorted(r["id"] for r in some.collect()) == [8, 9] and {r["branch"] for r in some.collect()} == {"filtered"}
+    assert none.count() == 10 and {r["branch"] for r in none.collect()} == {"all"}
+
+
+def test_value_counts_keeps_every_key(spark):
+    df = spark.range(40).select(F.create_map(F.lit("a"), F.col("id").cast("string"), F.lit("b"), F.lit(None).cast("string")).alias("properties"))
+    got = {(r["key"], r["value"]): (r["n"], r["n_distinct"]) for r in PR.value_counts(df).collect()}
+    assert len(got) == 41 and got[("b", "None")] == (40, 1) and got[("a", "7")] == (1, 40)
+
+
+def test_casts_and_empties(spark):
+    n = R.NUMBER_MARK
+    rows = [("\t11\n",), (n + "5.0",), ("5.0",), ("12d",), ("\u00a07\u00a0",), (n + "0",), ("0",), (n + "0.0",), ("",), (None,), ("1e3",)]
+    df = spark.createDataFrame(rows, "v string")
+    got = df.select(R.to_int("v").alias("i"), R.to_float("v").alias("f"), R.first_nonempty("v", default="z").alias("e")).collect()
+    assert [r["i"] for r in got] == [11, 5, None, None, 7, 0, 0, 0, None, None, None]
+    assert [r["f"] for r in got] == [11.0, 5.0, 5.0, None, 7.0, 0.0, 0.0, 0.0, None, None, 1000.0]
+    assert [r["e"] for r in got] == ["\t11\n", "5.0", "5.0", "12d", "\u00a07\u00a0", "z", "0", "z", "z", "z", "1e3"]
+    text = spark.createDataFrame([("gabarit\u00a0max.\u00a021\u00a0m", "\tD4A", "")], "d string, c string, n string")
+    r = text.select(R.parse_height("d").alias("h"), R.build_zone_cantonal("c", "n").alias("b")).first()
+    assert r["h"] == 21 and r["b"] is True
+
+
+def _feature(geometry, fid="1"):
+    return f'{{"type":"Feature","id":"{fid}","properties":{{"N":5,"F":5.0,"S":"5"}},"geometry":{geometry}}}'
+
+
+def _parse(spark, geometries):
+    feats = ",".join(_feature(g, str(i)) for i, g in enumerate(geometries))
+    page = f'{{"type":"FeatureCollection","features":[{feats}]}}'
+    return J.to_features(J.explode_pages(spark.createDataFrame([(0, page)], "page_no int, page_json string")))
+
+
+def test_geometry_intake_survives_odd_input(spark):
+    def ring(*pts):
+        return "[" + ",".join(f"[{2600000 + x},{1200000 + y}]" for x, y in pts) + "]"
+
+    def poly(*rings):
+        return f'{{"type":"Polygon","coordinates":[{",".join(rings)}]}}'
+    box = ((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))
+    cases = [(poly(ring(*box)), "ok", 16.0, 1), (poly(ring((0, 0), *box)), "repaired", 16.0, 1), (poly(ring(*box), ring((1, 1), (2, 2), (1, 1))), "repaired", 16.0, 1),
+             (poly(ring(*box), ring((1, 1), (2, 1), (2, 2), (1, 2), (1, 1))), "ok", 15.0, 1), (poly(ring((0, 0), (4, 4), (4, 0), (0, 4), (0, 0))), "repaired", 8.0, 2),
+             (poly(ring((0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (2, 2), (0, 0))), "ok", 8.0, 1), ('{"type":"Polygon","coordinates":[]}', "rejected", None, None),
+             ('{"type":"Polygon","coordinates":[[]]}', "rejected", None, None), ('{"type":"Polygon"}', "rejected", None, None), ("null", "rejected", None, None),
+             (poly(ring((0, 0), (4, 0), (2, 0), (0, 0))), "rejected", None, None), (poly(ring((0, 0), (4, 0), (0, 0))), "rejected", None, None),
+             ('{"type":"MultiPolygon","coordinates":[[%s],[%s]]}' % (ring(*box), ring((9, 9), (9, 9))), "repaired", 16.0, 1), ('{"type":"MultiPolygon","coordinates":[[],[[]]]}', "rejected", None, None)]
+    got = {r["id"]: r for r in _parse(spark, [c[0] for c in cases]).select("id", "status", "reason", F.col("shape.area").alias("a"), F.col("shape.nparts").alias("n")).collect()}
+    assert len(got) == len(cases)  # kept plus rejected is what landed
+    for i, (_, status, area, parts) in enumerate(cases):
+        r = got[str(i)]
+        assert (r["status"], r["a"], r["n"]) == (status, area, parts), (i, r)
+        assert (r["reason"] is not None) == (status == "rejected")
+
+
+def test_json_value_types(spark):
+    p = _parse(spark, ["null"]).select("properties").first()["properties"]
+    assert p == {"N": R.NUMBER_MARK + "5", "F": R.NUMBER_MARK + "5.0", "S": "5"} or p["F"] in (R.NUMBER_MARK + "5", R.NUMBER_MARK + "5.0")
+
+
+def test_cut_off_page_and_extract_are_reported(spark, tmp_path):
+    page = '{"type":"FeatureCollection","features":[' + ",".join(_feature("null", str(i)) for i in range(2)) + "]}"
+    pages = spark.createDataFrame([(0, page), (1, page[:-30]), (2, "no json")], "page_no bigint, page_json string")
+    J.write_pages(pages, str(tmp_path / "pages"))
+    landed = J.read_pages(spark, str(tmp_path / "pages"))
+    assert sorted(map(tuple, J.page_status(landed).collect())) == [(0, "ok", 2), (1, "corrupt", 0), (2, "corrupt", 0)]
+    assert J.explode_pages(landed).count() == 2
+    docs = spark.createDataFrame([("A", '{"GetExtractByIdResponse":{"extract":{"RealEstate":[{"RestrictionOnLandownership":[{"Theme":{"Code":"C"}}]}]}}}'),
+                                  ("B", '{"GetExtr'), ("C", "{}"), ("D", None)], "egrid string, extract_json string")
+    assert {(r["egrid"], r["status"], r["n_restrictions"]) for r in J.extract_status(docs).collect()} == {("A", "ok", 1), ("B", "malformed", 0), ("C", "empty", 0), ("D", "malformed", 0)}
+    assert [r["egrid"] for r in J.flatten_extracts(docs).collect()] == ["A"]
 
 
 def test_store_keep_on_failure_and_idempotent_append(spark, tmp_path):
@@ -117,6 +176,6 @@ def test_geojson_pages(spark):
     f = J.to_features(J.explode_pages(spark.createDataFrame([(0, page)], "page_no int, page_json string")))
     got = {r["id"]: r for r in f.select("id", "properties", "status", F.col("shape.area").alias("a"),
                                          F.col("shape.nparts").alias("n")).collect()}
-    assert got["1"]["properties"]["N"] == "5" and got["1"]["a"] == 4 and got["1"]["status"] == "ok"
+    assert got["1"]["properties"]["N"] == R.NUMBER_MARK + "5" and got["1"]["a"] == 4 and got["1"]["status"] == "ok"
     assert got["2"]["n"] == 2 and got["2"]["a"] == 2 and got["2"]["status"] == "repaired"
     assert got["3"]["status"] == "rejected"
