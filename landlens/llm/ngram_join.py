@@ -9,10 +9,12 @@ fingerprint); only classes are compared.
    Prefix n-grams of a single class are dropped; the others are joined on the n-gram.
 3. Length filter: t n_a <= n_b. Positional filter: with c common n-grams in the prefixes, the set whose prefix ends first cannot share more than
    c and what follows its prefix. Suffix filter: the sets' counts by hash range bound the overlap before it is computed.
-4. Each remaining pair is verified once, exactly.
+4. Each remaining pair is verified once, exactly. The components of the candidate pairs are dealt into cells of bounded size, and a cell
+verifies its pairs by one product of its sets' incidence matrix, so a set is sent once and not once a pair; pairs
+between two cells of a large component are verified singly, if their documents are not yet connected.
 
 N-grams that stand in more than ``hot`` prefixes (large groups of near copies) would give pairs by the square. Their
-documents are first compared in cells of bounded size: every document with its own cell and with a set of pivots, in up to three of its hot n-grams.
+documents are first compared in cells of their own: every document with its cell and with a set of pivots, in up to three of its hot n-grams.
 Cells give links, never pairs; documents that are then connected need no comparison, and the pairs of hot n-grams
 whose documents are still in different components go through steps 3 and 4 like all others. So no link between components is lost.
 
@@ -36,7 +38,8 @@ from .kernels import in_slices, mix, shingle_sets
 
 #: Counters of the n-gram count table, and bits of the filter that spares sending unneeded sets.
 COUNTERS, FILTER_BITS = 1 << 17, 1 << 23
-CELL, PIVOTS = 256, 64
+#: Documents and bytes of sets in a cell, documents of a cell of candidate components, and pivots of a hot n-gram.
+CELL, CELL_BYTES, SMALL_CELL, PIVOTS = 2048, 1 << 26, 256, 64
 _SIGN = np.uint64(1 << 63)
 
 
@@ -113,10 +116,9 @@ def _entries(rows: DataFrame, size: int, counts: np.ndarray, num: int, den: int)
 def _wanted_filter(cids: DataFrame) -> np.ndarray:
     """A bit table of fixed size that holds all of ``cids`` (and others)."""
     words = (cids.select(F.expr(f"pmod(cid, {FILTER_BITS})").alias("bit")).select(F.expr("bit div 32").alias("w"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())  # at most FILTER_BITS / 32 rows
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())  # at most FILTER_BITS / 32 rows
     out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for r in words:
-        out[r["w"]] = r["b"]
+    out[words.column("w").to_numpy()] = words.column("b").to_numpy()
     return out
 
 
@@ -185,15 +187,19 @@ def _cell_links(num: int, den: int):
         sizes = np.array([len(s) for s in sets])
         order = np.argsort(sizes, kind="stable")
         cids, sets, sizes = [cids[i] for i in order], [sets[i] for i in order], sizes[order]
-        values, column = np.unique(np.concatenate(sets), return_inverse=True)
-        starts = np.cumsum(sizes) - sizes
-        shared = np.zeros((len(sets), len(sets)), np.int64)
-        row = np.repeat(np.arange(len(sets)), sizes)
-        for at in range(0, len(values), 4096):  # columns in slices of bounded size
-            own = (column >= at) & (column < at + 4096)
-            dense = np.zeros((len(sets), min(4096, len(values) - at)), np.float32)
-            dense[row[own], column[own] - at] = 1
-            shared += (dense @ dense.T).astype(np.int64)
+        shared = np.zeros((len(sets), len(sets)), np.float32 if sizes[-1] < 1 << 24 else np.float64)
+        parts = int(sizes.sum() >> 18) + 1
+        edges = [0, *((1 << 64) * k // parts for k in range(1, parts))]
+        cuts = [np.append(np.searchsorted(s, np.array(edges, np.uint64)), len(s)) for s in sets]
+        for k in range(parts):  # ranges of hashes, so that a dense slice stays small
+            own = [s[c[k]:c[k + 1]] for s, c in zip(sets, cuts)]
+            values, column = np.unique(np.concatenate(own), return_inverse=True)
+            row = np.repeat(np.arange(len(sets)), [len(o) for o in own])
+            for at in range(0, len(values), 4096):
+                here = (column >= at) & (column < at + 4096)
+                dense = np.zeros((len(sets), min(4096, len(values) - at)), shared.dtype)
+                dense[row[here], column[here] - at] = 1
+                shared += dense @ dense.T
         linked = shared >= needed(sizes[:, None], sizes[None, :], num, den)
         forest = Forest()
         left = set(range(len(sets)))
@@ -211,13 +217,13 @@ def _cell_links(num: int, den: int):
     return run
 
 
-def _pairs(entries: DataFrame, num: int, den: int, other: str, extra: Column | None = None) -> DataFrame:
+def _pairs(entries: DataFrame, num: int, den: int, other: str) -> DataFrame:
     """Pairs of classes that share tokens and pass the length and positional filters. ``other``: the column that bounds how many
     common prefix n-grams these entries do not show."""
-    a = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in ("cid", "n", "last", "comp", other)])
-    b = entries.select("token", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "last", "comp", other)])
-    close = (F.col("cid_a") < F.col("cid_b")) & (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & ~F.col("comp_a").eqNullSafe(F.col("comp_b"))
-    joined = a.join(b, "token").where(close if extra is None else close & extra)
+    a = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in ("cid", "n", "last", "comp", "whole", other)])
+    b = entries.select("token", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "last", "comp", "whole", other)])
+    close = (F.col("cid_a") < F.col("cid_b")) & (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & (F.col("comp_a") != F.col("comp_b")) & ~F.arrays_overlap("whole_a", "whole_b")
+    joined = a.join(b, "token").where(close)
     found = joined.groupBy("cid_a", "cid_b").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("n_a", "n_b", "last_a", "last_b", f"{other}_a", f"{other}_b")])
     prefix = lambda n: F.expr(f"{n} - (({num} * {n} + {den - 1}) div {den}) + 1")
     most = F.col("c") + F.least(f"{other}_a", f"{other}_b")
@@ -227,48 +233,59 @@ def _pairs(entries: DataFrame, num: int, den: int, other: str, extra: Column | N
     return found.where(bound >= least).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
 
 
+def _dealt(cid: str, cells: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(1), F.col(cid)), F.col(cells))
+
+
 def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, hot: int = 256,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (the smallest id it reaches by links of Jaccard >= num / den)."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text"))
     signed = pin(_sign(rows, size))
     counts = np.zeros(COUNTERS, np.int64)
-    for r in (signed.where("counts is not null").select(F.posexplode("counts").alias("at", "k")).groupBy("at").agg(F.sum("k").alias("k")).collect()):
-        counts[r["at"]] = r["k"]  # COUNTERS rows
+    sums = signed.where("counts is not null").select(F.posexplode("counts").alias("at", "k")).groupBy("at").agg(F.sum("k").alias("k")).toArrow()  # COUNTERS rows
+    counts[sums.column("at").to_numpy()] = sums.column("k").to_numpy()
     signed = signed.where("counts is null").drop("counts")
     classes = pin(signed.where("n > 0").groupBy("c1", "c2", "n").agg(F.min("id").alias("first")))
 
     entries = _entries(rows, size, counts, num, den)
     several = pin(entries.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi").select("token"))
     shared = pin(entries.join(several, "token", "left_semi").dropDuplicates(["token", "cid"]))
-    crowded = pin(shared.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > hot))
+    cells = F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") * 8 / CELL_BYTES)).cast("bigint")
+    crowded = pin(shared.groupBy("token").agg(F.count("*").alias("m"), cells.alias("cells")).where(F.col("m") > hot))
     shared = shared.join(crowded, "token", "left")
     seen = pin(shared.groupBy("cid").agg(F.count("m").alias("hots"), F.count(F.when(F.col("m").isNull(), 1)).alias("colds"),
-                                        F.slice(F.array_sort(F.collect_list(F.when(F.col("m").isNotNull(), F.struct("token", "m")))), 1, 3).alias("homes")))
-    shared = pin(shared.join(seen.select("cid", "hots", "colds"), "cid"))
+                                        F.slice(F.array_sort(F.collect_list(F.when(F.col("m").isNotNull(), F.struct("token", "m", "cells")))), 1, 3).alias("homes")))
+    # Two documents with a home of one cell in common are compared there.
+    whole = F.transform(F.filter("homes", lambda h: h["cells"] == 1), lambda h: h["token"])
+    shared = pin(shared.join(seen.select("cid", "hots", "colds", whole.alias("whole")), "cid"))
     cold = shared.where("m is null").withColumn("comp", F.col("cid"))
     pairs = pin(_pairs(cold, num, den, "hots"))
 
-    busy = seen.where("hots > 0")
-    wanted = pin(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).unionByName(busy.select("cid")).distinct())
-    sets = pin(_fetch_sets(rows, size, wanted))
-
-    cells = F.greatest(F.ceil(F.col("h.m") / CELL), F.lit(1)).cast("bigint")
-    homes = busy.select("cid", F.explode("homes").alias("h")).select("cid", F.col("h.token").alias("token"), cells.alias("cells"),
-                                                                     (F.pmod(F.xxhash64("cid"), F.greatest(F.ceil(F.col("h.m") / PIVOTS), F.lit(1))) == 0).alias("pivot"))
-    own = F.pmod(F.xxhash64(F.lit(1), "cid"), F.col("cells"))
-    placed = homes.select("cid", "token", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)).otherwise(F.array(own))).alias("cell"))
-    near = pin(placed.join(sets, "cid").groupBy("token", "cell").applyInArrow(_cell_links(num, den), "a bigint, b bigint"))
+    # Cells: the candidate components of the pairs, and the hot n-grams. Every set is sent to a few cells, not to every pair.
+    drawn = pin(connected(pairs))
+    sizes = pin(drawn.groupBy("component").agg(F.ceil(F.count("*") / SMALL_CELL).cast("bigint").alias("cells")))
+    drawn = pin(drawn.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("g"), _dealt("id", "cells").alias("cell")))
+    busy = seen.where("hots > 0").select("cid", F.explode("homes").alias("h"))
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("h.cells") - 1)
+    pivot = F.pmod(F.xxhash64("cid"), F.greatest(F.ceil(F.col("h.m") / PIVOTS), F.lit(1))) == 0
+    homes = busy.select("cid", F.col("h.token").alias("g"), F.explode(F.when(pivot, every).otherwise(F.array(_dealt("cid", "h.cells")))).alias("cell"))
+    placed = pin(drawn.withColumn("kind", F.lit(0)).unionByName(homes.withColumn("kind", F.lit(1))))
+    sets = pin(_fetch_sets(rows, size, placed.select("cid").distinct()))
+    near = pin(placed.join(sets, "cid").groupBy("kind", "g", "cell").applyInArrow(_cell_links(num, den), "a bigint, b bigint"))
+
+    # What cells could not decide: pairs of two chunks, and hot n-grams whose documents are still in different components.
     groups = pin(connected(near))
-    grouped = shared.where("m is not null").join(groups.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("component", "cid")).drop("component")
-    grouped = pin(grouped)
+    dealt = lambda side: drawn.select(F.col("cid").alias(side), F.col("cell").alias(f"cell_{side}"))
+    across = pairs.join(dealt("a"), "a").join(dealt("b"), "b").where("cell_a <> cell_b").select("a", "b")
+    grouped = pin(shared.where("m is not null").join(groups.withColumnRenamed("id", "cid"), "cid", "left")
+                  .withColumn("comp", F.coalesce("component", "cid")).drop("component"))
     mixed = pin(grouped.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token"))
     apart = _pairs(grouped.join(mixed, "token", "left_semi"), num, den, "colds")
-
     tagged = lambda side: groups.select(F.col("id").alias(side), F.col("component").alias(f"g{side}"))
-    todo = (pairs.unionByName(apart).distinct().join(tagged("a"), "a", "left").join(tagged("b"), "b", "left")
+    todo = (across.unionByName(apart).distinct().join(tagged("a"), "a", "left").join(tagged("b"), "b", "left")
             .where(~F.coalesce(F.col("ga") == F.col("gb"), F.lit(False))).select("a", "b"))
-    edges = near.unionByName(_verified(todo, sets, num, den))
+    edges = near.unionByName(_verified(pin(todo), sets, num, den))
 
     # From classes to the smallest ids: an edge of two classes links their smallest ids.
     found = pin(connected(edges))

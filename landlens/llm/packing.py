@@ -7,7 +7,7 @@ placed again, so an emitted window never needs padding. The open windows that ta
 ``fan_in`` neighbouring tasks' leftovers are packed again by the same rule, and what then is left
 over is laid end to end and cut into whole windows and powers of two, which need no padding either.
 
-Memory is bounded by the windows and one Arrow batch. A lost task repeats alone; packed rows are checkpointed before the merge.
+Memory is bounded by the windows and one Arrow batch. A lost task repeats alone; packed rows are written to the shared folder before the merge.
 
 Defined results: a null or empty text is one closing id; repeated rows and null ids are packed like any other, once a row; a
 document longer than a window is cut; an empty table gives an empty result. Columns other than the id and the text are not looked at.
@@ -156,7 +156,8 @@ def pack(docs: DataFrame, window: int = 2048, open_windows: int = 32, fan_in: in
             yield _batch(packer.done, out)
 
     packed = pin(slim.mapInArrow(first, schema + tail))
-    groups = max(1, -(-packed.rdd.getNumPartitions() // fan_in))
+    last = packed.agg(F.max("task")).first()[0]
+    groups = max(1, -(-((last or 0) + 1) // fan_in))
     loose = (packed.where("ids is not null").withColumn("part", F.expr(f"task div {fan_in}"))
              .repartitionByRange(groups, "part").sortWithinPartitions("task", "sequence_id", "doc_id", "start"))
     merged = loose.drop("part").mapInArrow(merge, schema)
