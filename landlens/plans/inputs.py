@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..session import ensure_checkpoint_dir, tune
+from ..session import stage_table, tune
 from ..sources import derived as D
 from ..sources import loaders as L
 from ..sources import geojson as J
@@ -27,11 +27,10 @@ class Layers:
         self.d = d
 
     def pin(self, df: DataFrame) -> DataFrame:
-        """Materialise an intermediate that several branches reuse: a reliable
-        checkpoint in the shared ``spark.checkpoint.dir`` (cuts lineage, so a
-        lost executor never forces the spatial joins to rerun)."""
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        """Materialise an intermediate that several branches reuse: a table in the
+        shared ``spark.checkpoint.dir`` (cuts lineage, so a lost executor never
+        forces the spatial joins to rerun; branches read only their columns)."""
+        return stage_table(df)
 
     @cached_property
     def zoning_features(self) -> DataFrame:

@@ -7,10 +7,13 @@ directory of our own is set only when the session has none (tests, local bench).
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the library relies on. AQE re-plans joins from real
 # shuffle sizes (broadcast only when the measured side is small, skew split for
@@ -80,3 +83,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not jd.isDefined():
             spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_FOLDERS: dict[str, str] = {}
+
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """Cut the lineage: a written table in the shared checkpoint folder, read back.
+
+    Unlike a checkpoint it is columnar (later steps read only their columns), has true statistics, and does not carry
+    the constraints of its plan on, which grow without bound in loops. The application's tables go when its driver ends.
+    """
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landlens-stages-{app}"
+        atexit.register(_remove, spark, _FOLDERS[app])
+    path = f"{_FOLDERS[app]}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
