@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import os
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import stage_table
 
 #: White space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -37,32 +34,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Cut the lineage: a written table in the cluster's shared folder, read back.
-
-    Unlike a checkpoint it is columnar (later steps read only their columns), has true statistics, and does not carry the
-    constraints of its plan on, which grow without bound in loops. The application's tables go when its driver ends.
-    """
-    spark = on_workers(df.sparkSession)
-    path = f"{_stage_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_FOLDERS: dict[str, str] = {}
-
-
-def _stage_folder(spark: SparkSession) -> str:
-    app = spark.sparkContext.applicationId
-    if app not in _FOLDERS:
-        _FOLDERS[app] = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landlens-stages-{app}"
-        atexit.register(_remove, spark, _FOLDERS[app])
-    return _FOLDERS[app]
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    with contextlib.suppress(Exception):  # the session may have ended before
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Cut the lineage with a table in the cluster's shared folder."""
+    on_workers(df.sparkSession)
+    return stage_table(df)
 
 
 def text_or_empty(c: Column) -> Column:
