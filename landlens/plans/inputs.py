@@ -123,9 +123,8 @@ class Layers:
 
     @cached_property
     def zoning_parsed(self) -> DataFrame:
-        """Zoning read back from landed FeatureCollection pages. Features are dealt out anew after parsing: a page is one
-        input row, and later steps then read finished shapes instead of evaluating the parser once a reference."""
-        return J.to_features(J.explode_pages(D.zoning_pages(self.spark, self.d))).repartition("id")
+        """Zoning read back from landed FeatureCollection pages: a stage table, so that pages are parsed and repaired once."""
+        return self.pin(J.to_features(J.explode_pages(D.zoning_pages(self.spark, self.d))))
 
     @cached_property
     def extracts(self) -> DataFrame:
