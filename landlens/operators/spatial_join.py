@@ -37,7 +37,7 @@ def _cell_range(s: str, axis: str, c: float, d: float) -> str:
             f" cast(floor(({hi} + {d}) / {c}) AS bigint))")
 
 
-def _explode_cells(df: DataFrame, s: str, c: float, d: float) -> DataFrame:
+def explode_cells(df: DataFrame, s: str, c: float, d: float) -> DataFrame:
     """One row per covered grid cell (two codegen'd explodes, no lambdas)."""
     return (df.withColumn("_cx", F.explode(F.expr(_cell_range(s, "x", c, d))))
             .withColumn("_cy", F.explode(F.expr(_cell_range(s, "y", c, d))))
@@ -101,8 +101,8 @@ def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape"
     d = float(distance) if predicate == "dwithin" else 0.0
     c = auto_cell(left, right, left_shape, right_shape) if cell == "auto" else float(cell)
     ro = G.is_rect_only(left, left_shape) and G.is_rect_only(right, right_shape)
-    lq = _explode_cells(left.withColumnRenamed(left_shape, "_ls"), "_ls", c, d)
-    rq = _explode_cells(right.withColumnRenamed(right_shape, "_rs"), "_rs", c, 0.0)
+    lq = explode_cells(left.withColumnRenamed(left_shape, "_ls"), "_ls", c, d)
+    rq = explode_cells(right.withColumnRenamed(right_shape, "_rs"), "_rs", c, 0.0)
     cond = F.expr(f"_cell = {_owner_sql('_ls', '_rs', c, d)} AND {G.bbox_intersects_sql('_ls', '_rs', d)}")
     pairs = lq.join(rq, ["_cell", *on]).where(cond)
     if predicate not in ("intersects", "dwithin", "bbox"):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..operators.overlay import any_hit, is_kind, overlay_summary, sum_overlap
-from ..operators.spatial_join import spatial_join
+from ..operators.spatial_join import explode_cells
 from ..functions import geometry as G
 
 PARCEL_CELL = 64.0
@@ -94,12 +94,16 @@ def adjacency(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,
     cand = (enriched.where(F.col("is_building_zone") & F.col("egrid").isNotNull()
                            & F.col("primary_use").isNotNull())
             .select("pkey", "primary_use", "shape"))
-    other = cand.select(F.col("pkey").alias("b_pkey"), "primary_use", "shape")
-    pairs = spatial_join(cand, other, predicate="dwithin", distance=distance, cell=cell,
-                         on=["primary_use"], keep_shapes=True)
+    # A neighbour only has to exist, and equal shapes contain each other: compare distinct shapes, stop at the first hit.
+    form = F.xxhash64("primary_use", "shape")
+    forms = cand.select("primary_use", "shape").distinct()
     ro = G.is_rect_only(enriched, "shape")
-    return (pairs.where((F.col("pkey") != F.col("b_pkey")) & ~F.expr(G.contains_sql("_ls", "_rs", ro)))
-            .select("pkey").distinct())
+    a = explode_cells(forms.select(form.alias("_a"), F.col("primary_use").alias("_ua"), F.col("shape").alias("_ls")), "_ls", cell, distance)
+    b = explode_cells(forms.select(form.alias("_b"), F.col("primary_use").alias("_ub"), F.col("shape").alias("_rs")), "_rs", cell, 0.0)
+    beside = F.expr(f"_ua = _ub AND _cell = _cell_b AND _a <> _b AND {G.bbox_intersects_sql('_ls', '_rs', distance)}"
+                    f" AND {G.dwithin_sql('_ls', '_rs', distance, ro)} AND NOT {G.contains_sql('_ls', '_rs', ro)}")
+    hit = a.join(b.withColumnRenamed("_cell", "_cell_b"), beside, "left_semi").select("_a").distinct()
+    return cand.withColumn("_a", form).join(hit, "_a", "left_semi").select("pkey")
 
 
 def score(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,

@@ -135,16 +135,16 @@ def reasons_b() -> Column:
 
 
 def phase_b(zones_a: DataFrame, buildings: DataFrame, raisable: DataFrame,
-            cell: float = ZONE_CELL) -> DataFrame:
+            cell: float = ZONE_CELL, envelope: tuple | None = None) -> DataFrame:
     """Phase B on Phase A zones.
 
-    Buildings are read only inside the envelope of target/secondary zones. With
+    Buildings are read only inside the envelope (given, or that of target/secondary zones). With
     no such zone, or no building inside the envelope, the zones keep their
     Phase A scores; ``phase_b_applied`` says which. Envelope and emptiness are
     scalar subqueries, so nothing runs while the plan is built.
     """
     extent = target_extent(zones_a)
-    bld = within_envelope(buildings, *[extent.select(c).scalar() for c in ("xmin", "ymin", "xmax", "ymax")])
+    bld = within_envelope(buildings, *(envelope or [extent.select(c).scalar() for c in ("xmin", "ymin", "xmax", "ymax")]))
     applied = bld.agg(F.count(F.lit(1)) > 0).scalar()
 
     ov, fl = F.col("overlap_m2"), F.col("floors")

@@ -83,3 +83,15 @@ def test_hot_cell_of_stacked_copies(spark):
     b = [(0, 1.0, 1.0, 3.0, 3.0), (1, 7.0, 10.0, 8.0, 10.5)]
     got = spatial_join(layer(spark, a, "i"), layer(spark, b, "j"), cell=4.0).count()
     assert got == len(brute(a, b)) == 100
+
+
+def test_adjacency_of_stacked_boxes(spark):
+    """20,000 parcels stacked in one cell: copies of two boxes, one beside the other, and one far away."""
+    from landlens.plans import parcels as P
+    rows = spark.range(20000).select(
+        F.concat(F.lit("P"), F.col("id")).alias("pkey"), F.concat(F.lit("P"), F.col("id")).alias("egrid"), F.lit("u").alias("primary_use"), F.lit(True).alias("is_building_zone"),
+        F.when(F.col("id") < 10000, 0.0).when(F.col("id") < 19999, 10.25).otherwise(40.0).alias("x"))
+    rows = rows.withColumn("_x2", F.col("x") + 10).withColumn("_y", F.lit(0.0)).withColumn("_y2", F.lit(10.0))
+    df = G.mark_rect_only(rows.withColumn("shape", G.shape_from_box("x", "_y", "_x2", "_y2")).select("pkey", "egrid", "primary_use", "is_building_zone", "shape"))
+    got = {r["pkey"] for r in P.adjacency(df).collect()}
+    assert got == {f"P{i}" for i in range(19999)}
