@@ -37,7 +37,7 @@ from .kernels import _LETTER, _ODD, in_slices, mix, powers
 BASE = 0x9E3779B97F4A7C55
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Window starts of one piece of a long text, bits of the table of wanted anchors, segments of an anchor in one suffix array, and its bytes.
-PIECE, FILTER_BITS, CHUNK, BLOCK = 1 << 19, 1 << 25, 512, 1 << 20
+PIECE, FILTER_BITS, CHUNK, BLOCK = 1 << 19, 1 << 25, 4096, 1 << 20
 _POWERS: dict[str, np.ndarray] = {}
 
 
