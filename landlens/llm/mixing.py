@@ -5,10 +5,9 @@ source's size, the excess going to the others by weight until none is above. A s
 is met in whole documents:
 
 1. documents are counted by exact size, per source;
-2. all documents are taken ``floor(target / source size)`` times;
-3. the rest of the budget is spread over the sizes in proportion to their counts, and what then remains is fitted by a
-   bounded-knapsack (subset-sum) dynamic programme over the documents still free of each size;
-4. the plan says how many documents of each size get one copy more; which ones is
+2. the target is spread over the sizes in proportion to their counts, in whole copies of documents, at most ``max_repeats`` of each;
+3. what then remains of the budget is fitted by a bounded-knapsack (subset-sum) dynamic programme over the copies still free of each size;
+4. all documents of a size get the same number of copies, and some one more; which ones is
    decided by a seeded hash. Hash ranges are counted first, so that only the range in which the
    cut falls is ordered: a size that holds a third of all rows is never sorted in one task.
 
@@ -26,10 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NON_SPACES, pin, text_or_empty
+from .common import NON_SPACES, pin, shuffle_partitions, text_or_empty
 
-#: Rows of one (source, size) group that one hash range should hold, and the most ranges of a group.
-RANGE_ROWS, MOST_RANGES = 64, 1024
+#: Hash ranges of a (source, size) group.
+RANGES = 1024
 
 
 def words_in(text: Column) -> Column:
@@ -81,10 +80,10 @@ def _subset_sum(items: list[tuple[int, int]], budget: int) -> dict[int, int]:
     return taken
 
 
-def plan_counts(sizes: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many documents of each size to take (at most ``counts``) so that the sum of sizes comes nearest to ``budget``."""
+def plan_counts(sizes: list[int], counts: list[int], budget: int, most: int = 1) -> list[int]:
+    """How many copies of documents of each size to take, at most ``most`` of each document, so that their sizes come nearest to ``budget``."""
     total = sum(s * c for s, c in zip(sizes, counts))
-    budget = min(budget, total)
+    budget = min(budget, most * total)
     if total == 0 or budget <= 0:
         return [0] * len(sizes)
     take = [c * budget // total for c in counts]
@@ -92,25 +91,26 @@ def plan_counts(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     # One more of the sizes whose fair share was cut off most, while the rest of the budget is well above one document.
     small = max(4 * max(sizes), 65536)
     for i in sorted(range(len(sizes)), key=lambda i: (-((counts[i] * budget) % total), sizes[i])):
-        if 0 < sizes[i] <= left - small and take[i] < counts[i]:
+        if 0 < sizes[i] <= left - small and take[i] < most * counts[i]:
             take[i] += 1
             left -= sizes[i]
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):  # in case shares were even
-        more = min(counts[i] - take[i], max(0, left - small) // sizes[i]) if sizes[i] else 0
+        more = min(most * counts[i] - take[i], max(0, left - small) // sizes[i]) if sizes[i] else 0
         take[i] += more
         left -= more * sizes[i]
-    free = [(s, c - t) for s, c, t in zip(sizes, counts, take) if s and c > t]
+    free = [(s, most * c - t) for s, c, t in zip(sizes, counts, take) if s and most * c > t]
     extra = _subset_sum(sorted(free), left)
     return [t + extra.get(s, 0) for s, t in zip(sizes, take)]
 
 
-def _plan_source(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("size")
-    sizes, counts = [int(x) for x in group["size"]], [int(x) for x in group["n"]]
-    target, total = float(group["target"].iloc[0]), int(group["source_size"].iloc[0])
-    whole = int(math.floor(target / total)) if total else 0
-    extra = plan_counts(sizes, counts, int(round(target - whole * total)))
-    return group.assign(whole=whole, extra=extra)[["source", "size", "n", "target", "source_size", "whole", "extra"]]
+def _plan_source(most: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("size")
+        sizes, counts = [int(x) for x in group["size"]], [int(x) for x in group["n"]]
+        take = plan_counts(sizes, counts, int(round(float(group["target"].iloc[0]))), most)
+        # All documents of a size get the same number of copies, some one more.
+        return group.assign(whole=[t // c for t, c in zip(take, counts)], extra=[t % c for t, c in zip(take, counts)])
+    return run
 
 
 def mix(docs: DataFrame, weights: list[float], budget_share: float = 1.0, max_repeats: int = 3, seed: int = 17,
@@ -128,26 +128,23 @@ def mix(docs: DataFrame, weights: list[float], budget_share: float = 1.0, max_re
     goals = docs.sparkSession.createDataFrame([(s, goal[s], sources[s]) for s in sources], "source string, target double, source_size bigint")
     plan = (histogram.join(F.broadcast(goals), histogram["source"].eqNullSafe(goals["source"]))
             .select(histogram["source"], "size", "n", "target", "source_size")
-            .groupBy("source").applyInPandas(_plan_source, "source string, size bigint, n bigint, target double, source_size bigint, whole bigint, extra bigint"))
-    ranges = F.least(F.greatest(F.ceil(F.col("n") / RANGE_ROWS), F.lit(1)), F.lit(MOST_RANGES)).cast("bigint")
-    plan = pin(plan.withColumn("ranges", ranges).withColumn("__s", F.coalesce("source", F.lit(""))).withColumn("__null", F.col("source").isNull()).drop("source"))
+            .groupBy("source").applyInPandas(_plan_source(max_repeats), "source string, size bigint, n bigint, target double, source_size bigint, whole bigint, extra bigint"))
+    named = lambda df: df.withColumn("__s", F.coalesce("source", F.lit(""))).withColumn("__null", F.col("source").isNull()).drop("source").withColumn("__range", F.pmod("__h", F.lit(RANGES)))
+    plan = pin(named(plan.withColumn("__h", F.lit(0))).drop("__h", "__range"))
     keys = ["__s", "__null", "size"]
 
-    def ranged(df: DataFrame, plan: DataFrame) -> DataFrame:
-        df = df.withColumn("__s", F.coalesce("source", F.lit(""))).withColumn("__null", F.col("source").isNull()).drop("source")
-        return df.join(plan, keys).withColumn("__range", F.pmod("__h", F.col("ranges")))
-
     # Ranges of a group in order: those before the cut are taken whole, the one at the cut in part, the others not.
-    counted = ranged(lean, plan).where("extra > 0 and extra < n").groupBy(*keys, "__range", "extra").agg(F.count("*").alias("__n"))
+    counted = pin(named(lean).groupBy(*keys, "__range").agg(F.count("*").alias("__n")))
     upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cuts = (counted.withColumn("__upto", upto).where("__upto >= extra and __upto - __n < extra")
+    cuts = (counted.join(plan.where("extra > 0 and extra < n").select(*keys, "extra"), keys).withColumn("__upto", upto).where("__upto >= extra and __upto - __n < extra")
             .select(*keys, F.col("__range").alias("cut"), (F.col("extra") - F.col("__upto") + F.col("__n")).alias("room")))
-    plan = plan.join(cuts, keys, "left")
-    placed = ranged(rows, plan).withColumn("__extra", F.when(F.col("extra") <= 0, F.lit(0)).when(F.col("extra") >= F.col("n"), F.lit(1))
-                                           .when(F.col("__range") < F.col("cut"), F.lit(1)).when(F.col("__range") > F.col("cut"), F.lit(0)).cast("bigint"))
+    plan = pin(plan.join(cuts, keys, "left"))
+    placed = named(rows).join(plan, keys).withColumn("__extra", F.when(F.col("extra") <= 0, F.lit(0)).when(F.col("extra") >= F.col("n"), F.lit(1))
+                                                     .when(F.col("__range") < F.col("cut"), F.lit(1)).when(F.col("__range") > F.col("cut"), F.lit(0)).cast("bigint"))
     order = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy("__h", "__id"))
     clear = placed.where(F.col("__extra").isNotNull())
-    partly = placed.where(F.col("__extra").isNull()).withColumn("__extra", (order <= F.col("room")).cast("bigint"))
+    partly = (placed.where(F.col("__extra").isNull()).repartition(shuffle_partitions(docs.sparkSession), *keys, "__range")
+              .withColumn("__extra", (order <= F.col("room")).cast("bigint")))
     repeats = F.col("whole") + F.col("__extra")
     out = [F.col("__id").alias(id_col), "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"), *(["__row"] if carry_row else [])]
     return clear.select(*out).unionByName(partly.select(*out))
