@@ -29,8 +29,8 @@ def normalised(text: Column) -> Column:
 def _survivors(signatures: DataFrame) -> DataFrame:
     """(length, prefix hash) pairs of more than one row."""
     lengths = signatures.groupBy(LENGTH).agg(F.count("*").alias("n")).where("n > 1").select(LENGTH)
-    return (signatures.join(lengths, LENGTH, "left_semi").groupBy(LENGTH, PREFIX).agg(F.count("*").alias("n"))
-            .where("n > 1").select(LENGTH, PREFIX, F.lit(True).alias(MANY)))
+    pairs = signatures.groupBy(LENGTH, PREFIX).agg(F.count("*").alias("n"))  # before the join: a hot length is a few rows a task
+    return pairs.join(lengths, LENGTH, "left_semi").where("n > 1").select(LENGTH, PREFIX, F.lit(True).alias(MANY))
 
 
 def _refined(docs: DataFrame, id_col: str, text_col: str, prefix: int, carried: list[Column],
@@ -41,7 +41,7 @@ def _refined(docs: DataFrame, id_col: str, text_col: str, prefix: int, carried:
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), *carried)
     rows = rows.select("*", F.octet_length("__text").alias(LENGTH),
                        F.xxhash64(F.substring("__text", 1, prefix)).alias(PREFIX))
-    many = _survivors(pin(rows.select(LENGTH, PREFIX)))
+    many = pin(_survivors(pin(rows.select(LENGTH, PREFIX))))  # a join can only split a hot key if neither side is aggregated in its stage
     digest = F.sha2(F.col("__text"), 256)
     if digest_all:  # the caller reads every text anyway: hash before the shuffle, which then moves no text
         rows = rows.withColumn(FULL, digest).drop("__text")
@@ -53,8 +53,8 @@ def _refined(docs: DataFrame, id_col: str, text_col: str, prefix: int, carried:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 256) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
     rows = pin(_refined(docs, id_col, text_col, prefix, [], True))
-    groups = (rows.where(F.col(MANY)).groupBy(LENGTH, PREFIX, FULL)
-              .agg(F.min("__id").alias("__keep"), F.count("*").alias("__n")).where("__n > 1"))
+    groups = pin(rows.where(F.col(MANY)).groupBy(LENGTH, PREFIX, FULL)
+                 .agg(F.min("__id").alias("__keep"), F.count("*").alias("__n")).where("__n > 1"))
     alone = F.col("__n").isNull()
     keep = F.when(alone, F.col("__id")).otherwise(F.col("__keep"))
     return (rows.join(groups, [LENGTH, PREFIX, FULL], "left")
@@ -70,7 +70,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     apart = rows.where(F.col(MANY).isNull())
     shared = rows.where(F.col(MANY))
     keys = [LENGTH, PREFIX, FULL]
-    groups = (shared.groupBy(*keys, "__id").agg(F.count("*").alias("__c"))
+    groups = pin(shared.groupBy(*keys, "__id").agg(F.count("*").alias("__c"))
               .groupBy(*keys).agg(F.min(F.struct(F.col("__id").isNull().alias("u"), F.col("__id").alias("i"),
                                                  F.col("__c").alias("c"))).alias("__first")))
     kept = (shared.join(groups, keys).where(F.col("__id").eqNullSafe(F.col("__first.i"))))
