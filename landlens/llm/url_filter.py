@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, text_or_empty
+from .common import ascii_lower, pin, text_or_empty
 
 WORDS = 8
 KEYS_PER_BLOCK = 32  # 16 bits a key
@@ -67,13 +67,13 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
           carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """``listed`` has one string column ``key`` of canonical URLs. Returns the carried columns, host, path, rule,
     verdict, listed (boolean)."""
-    listed = listed.select("key").where(F.col("key").isNotNull()).distinct()
+    listed = pin(listed.select("key").where(F.col("key").isNotNull()).distinct())
     blocks = max(1, -(-listed.count() // KEYS_PER_BLOCK))
     host, path = host_and_path(F.col(url_col))
     rows = (pages.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)], host.alias("__host"), path.alias("__path"))
             .withColumn("__key", canonical(F.col("__host"), F.col("__path"))))
     probed = (rows.withColumn("block", _block(F.col("__key"), blocks))
-              .join(bloom_blocks(listed, blocks), "block", "left"))
+              .join(pin(bloom_blocks(listed, blocks)), "block", "left"))
     possible = F.lit(True)
     for i, m in enumerate(_masks(F.col("__key"))):
         possible = possible & (F.coalesce(F.col(f"w{i}"), F.lit(0)).bitwiseAND(m) != 0)
