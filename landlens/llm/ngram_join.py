@@ -39,7 +39,7 @@ from .kernels import in_slices, mix, shingle_sets
 #: Counters of the n-gram count table, and bits of the filter that spares sending unneeded sets.
 COUNTERS, FILTER_BITS = 1 << 17, 1 << 23
 #: Documents and bytes of sets in a cell, documents of a cell of candidate components, and pivots of a hot n-gram.
-CELL, CELL_BYTES, SMALL_CELL, PIVOTS = 2048, 1 << 26, 256, 64
+CELL, CELL_BYTES, SMALL_CELL, PIVOTS = 2048, 1 << 24, 256, 64
 _SIGN = np.uint64(1 << 63)
 
 
@@ -80,6 +80,10 @@ def _sign(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n bigint, c1 bigint, c2 bigint, counts array<bigint>")
 
 
+def _joined(*columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "cid", "n", "last"])
+
+
 def prefix_length(n, num: int, den: int):
     return n - (-(-num * n // den)) + 1
 
@@ -91,7 +95,7 @@ def _entries(rows: DataFrame, size: int, counts: np.ndarray, num: int, den: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = shared.value, set()
         for batch in batches:
-            tokens, cids, ns, lasts = [], [], [], []
+            tokens, cids, ns, lasts, held = [], [], [], [], 0
             for _, s in _sets(batch, size):
                 n, cid = len(s), _fingerprint(s, 0x5851F42D4C957F2D)
                 if not n or cid in seen:
@@ -104,11 +108,12 @@ def _entries(rows: DataFrame, size: int, counts: np.ndarray, num: int, den: int)
                 cids.append(np.full(p, cid, np.int64))
                 ns.append(np.full(p, n, np.int64))
                 lasts.append(np.full(p, (min(int(rarity[order[-1]]), (1 << 31) - 1) << 32) | int(s[order[-1]] >> np.uint64(32)), np.int64))
+                held += p
+                if held >= 1 << 16:
+                    yield _joined(tokens, cids, ns, lasts)
+                    tokens, cids, ns, lasts, held = [], [], [], [], 0
             if tokens:
-                cat = [pa.array(np.concatenate(c)) for c in (tokens, cids, ns, lasts)]
-                whole = pa.RecordBatch.from_arrays(cat, names=["token", "cid", "n", "last"])
-                for at in range(0, whole.num_rows, 1 << 16):
-                    yield whole.slice(at, 1 << 16)
+                yield _joined(tokens, cids, ns, lasts)
 
     return rows.mapInArrow(run, "token bigint, cid bigint, n bigint, last bigint")
 
@@ -195,9 +200,9 @@ def _cell_links(num: int, den: int):
             own = [s[c[k]:c[k + 1]] for s, c in zip(sets, cuts)]
             values, column = np.unique(np.concatenate(own), return_inverse=True)
             row = np.repeat(np.arange(len(sets)), [len(o) for o in own])
-            for at in range(0, len(values), 4096):
-                here = (column >= at) & (column < at + 4096)
-                dense = np.zeros((len(sets), min(4096, len(values) - at)), shared.dtype)
+            for at in range(0, len(values), 2048):
+                here = (column >= at) & (column < at + 2048)
+                dense = np.zeros((len(sets), min(2048, len(values) - at)), shared.dtype)
                 dense[row[here], column[here] - at] = 1
                 shared += dense @ dense.T
         linked = shared >= needed(sizes[:, None], sizes[None, :], num, den)
@@ -290,8 +295,8 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     # From classes to the smallest ids: an edge of two classes links their smallest ids.
     found = pin(connected(edges))
     reached = found.join(classes.select(F.col("c1").alias("id"), "first"), "id")
-    lowest = reached.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = pin(classes.join(found.withColumnRenamed("id", "c1"), "c1", "left").join(lowest, "component", "left")
-              .select("c1", "c2", "n", F.coalesce("component_id", "first").alias("component_id")))
+    lowest = pin(reached.groupBy("component").agg(F.min("first").alias("component_id")))
+    named = pin(found.join(lowest, "component").select(F.col("id").alias("c1"), "component_id"))
+    ids = pin(classes.join(named, "c1", "left").select("c1", "c2", "n", F.coalesce("component_id", "first").alias("component_id")))
     return (signed.join(ids, ["c1", "c2", "n"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
