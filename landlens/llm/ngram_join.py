@@ -37,7 +37,7 @@ from .components import Forest, connected
 from .kernels import in_slices, mix, shingle_sets
 
 #: Counters of the n-gram count table, and bits of the filter that spares sending unneeded sets.
-COUNTERS, FILTER_BITS = 1 << 17, 1 << 23
+COUNTERS, FILTER_BITS, TOKEN_BITS = 1 << 17, 1 << 23, 1 << 25
 #: Documents and bytes of sets in a cell, documents of a cell of candidate components, and pivots of a hot n-gram.
 CELL, CELL_BYTES, SMALL_CELL, PIVOTS = 2048, 1 << 24, 256, 64
 _SIGN = np.uint64(1 << 63)
@@ -88,12 +88,12 @@ def prefix_length(n, num: int, den: int):
     return n - (-(-num * n // den)) + 1
 
 
-def _entries(rows: DataFrame, size: int, counts: np.ndarray, num: int, den: int) -> DataFrame:
-    """Prefix n-grams: token, cid (class), n, last (order key of the last prefix n-gram)."""
-    shared = rows.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
+def _entries(rows: DataFrame, size: int, counts: np.ndarray, num: int, den: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """Prefix n-grams: token, cid (class), n, last (order key of the last prefix n-gram); with a bit table, only those it holds."""
+    shared = rows.sparkSession.sparkContext.broadcast((counts, wanted))  # tables of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = shared.value, set()
+        (table, bits), seen = shared.value, set()
         for batch in batches:
             tokens, cids, ns, lasts, held = [], [], [], [], 0
             for _, s in _sets(batch, size):
@@ -104,10 +104,16 @@ def _entries(rows: DataFrame, size: int, counts: np.ndarray, num: int, den: int)
                 p = prefix_length(n, num, den)
                 rarity = table[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 order = np.lexsort((s, rarity))[:p]
-                tokens.append((s[order] ^ _SIGN).view(np.int64))
+                last = (min(int(rarity[order[-1]]), (1 << 31) - 1) << 32) | int(s[order[-1]] >> np.uint64(32))
+                own = (s[order] ^ _SIGN).view(np.int64)
+                if bits is not None:
+                    at = own % TOKEN_BITS
+                    own = own[(bits[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)]
+                p = len(own)
+                tokens.append(own)
                 cids.append(np.full(p, cid, np.int64))
                 ns.append(np.full(p, n, np.int64))
-                lasts.append(np.full(p, (min(int(rarity[order[-1]]), (1 << 31) - 1) << 32) | int(s[order[-1]] >> np.uint64(32)), np.int64))
+                lasts.append(np.full(p, last, np.int64))
                 held += p
                 if held >= 1 << 16:
                     yield _joined(tokens, cids, ns, lasts)
@@ -118,18 +124,18 @@ def _entries(rows: DataFrame, size: int, counts: np.ndarray, num: int, den: int)
     return rows.mapInArrow(run, "token bigint, cid bigint, n bigint, last bigint")
 
 
-def _wanted_filter(cids: DataFrame) -> np.ndarray:
-    """A bit table of fixed size that holds all of ``cids`` (and others)."""
-    words = (cids.select(F.expr(f"pmod(cid, {FILTER_BITS})").alias("bit")).select(F.expr("bit div 32").alias("w"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())  # at most FILTER_BITS / 32 rows
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
+def _wanted_filter(keys: DataFrame, key: str, size: int) -> np.ndarray:
+    """A bit table of fixed size that holds all keys (and others)."""
+    words = (keys.select(F.expr(f"pmod({key}, {size})").alias("bit")).select(F.expr("bit div 32").alias("w"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())  # at most size / 32 rows
+    out = np.zeros(size // 32, np.uint32)
     out[words.column("w").to_numpy()] = words.column("b").to_numpy()
     return out
 
 
 def _fetch_sets(rows: DataFrame, size: int, cids: DataFrame) -> DataFrame:
     """cid, set (sorted little-endian 64-bit hashes) of the classes in ``cids``."""
-    shared = rows.sparkSession.sparkContext.broadcast(_wanted_filter(cids))
+    shared = rows.sparkSession.sparkContext.broadcast(_wanted_filter(cids, "cid", FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
@@ -255,7 +261,8 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
 
     entries = _entries(rows, size, counts, num, den)
     several = pin(entries.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi").select("token"))
-    shared = pin(entries.join(several, "token", "left_semi").dropDuplicates(["token", "cid"]))
+    shared = _entries(rows, size, counts, num, den, _wanted_filter(several, "token", TOKEN_BITS))  # the table spares sending most n-grams of one class
+    shared = pin(shared.join(several, "token", "left_semi").dropDuplicates(["token", "cid"]))
     cells = F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") * 8 / CELL_BYTES)).cast("bigint")
     crowded = pin(shared.groupBy("token").agg(F.count("*").alias("m"), cells.alias("cells")).where(F.col("m") > hot))
     shared = shared.join(crowded, "token", "left")
