@@ -20,8 +20,15 @@ ASCII_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows of an Arrow batch where the session leaves Spark's default: whole texts are wide, and a batch is held on both sides.
+BATCH, ROWS, DEFAULT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000", "10000"
+
+
 def on_workers(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it (installed, or a folder all can see)."""
+    """Let Python workers import this package from where the driver has it (installed, or a folder all can see), and keep
+    Arrow batches of texts small."""
+    if spark.conf.get(BATCH) == DEFAULT_ROWS:
+        spark.conf.set(BATCH, ROWS)
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
     if root not in paths:
