@@ -29,26 +29,30 @@ from pyspark.sql import functions as F
 
 from .common import pin, text_or_empty
 
+#: The added tokens of ``byte_bpe_50k.json``, which the rank file lacks.
+ADDED = {"<|endoftext|>": 50256}
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str | None):
     """str -> array of ids. ``path``: a vocabulary of byte-level BPE ranks or a ``.json`` tokenizer; by default the
-    ranks of the public ``byte_bpe_50k``. Control strings inside a text are ordinary text."""
+    ranks of the public ``byte_bpe_50k`` with its added tokens. The ids are those of the tokenizer with its defaults and
+    add_special_tokens=False: an added token's string inside a text is that token."""
     import public_tokenizers
 
-    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    default = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    path = path or default
     if str(path).endswith(".json"):
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(str(path))
-        whole.encode_special_tokens = True
         return lambda text: np.asarray(whole.encode(text, add_special_tokens=False).ids, np.uint32)
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    ranked = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: np.asarray(ranked.encode_ordinary(text), np.uint32)
+    ranked = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED if str(path) == default else {})
+    return lambda text: np.asarray(ranked.encode(text, allowed_special="all"), np.uint32)
 
 
 class Packer:
