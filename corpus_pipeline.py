@@ -34,10 +34,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents (five-word shingles, Jaccard of 0.8 or more, linked) the smallest doc_id stays; a null doc_id always does."""
-    groups = ngram_join.similar_groups(docs.select("doc_id", "text"), size=5, num=80, den=100)
-    gone = groups.where("component_id < doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    """Of each group of similar documents (five-word shingles, Jaccard of 0.8 or more, linked) the row with the smallest doc_id stays, nulls last."""
+    return ngram_join.drop_similar(docs, size=5, num=80, den=100)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -307,3 +307,21 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     ids = pin(classes.join(named, "c1", "left").select("c1", "c2", "n", F.coalesce("component_id", "first").alias("component_id")))
     return (signed.join(ids, ["c1", "c2", "n"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
+
+
+def drop_similar(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, hot: int = 256,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, nulls last, then of the smallest text hash. Rows are
+    known by id and text hash, never by the id alone. Rows without words link with nothing and all stay."""
+    text = text_or_empty(F.col(text_col))
+    key = F.struct(F.col(id_col).isNull().alias("u"), F.col(id_col).alias("i"), F.unhex(F.sha2(text, 256)).alias("h"))
+    groups = pin(similar_groups(docs.select(key.alias("__key"), text.alias("__text")), size, num, den, hot, "__key", "__text").where("n_shingles > 0"))
+    first = F.col("component_id").eqNullSafe(F.col("__key"))
+    gone = groups.where(~first).select("__key")
+    repeated = pin(groups.where(first).groupBy("__key").agg(F.count("*").alias("n")).where("n > 1").select("__key"))
+    rows = docs.select(F.struct("*").alias("__row"), key.alias("__key"))
+    if repeated.isEmpty():
+        return rows.join(gone, "__key", "left_anti").select("__row.*")
+    once = rows.join(gone.unionByName(repeated), "__key", "left_anti")
+    again = rows.join(repeated, "__key", "left_semi").dropDuplicates(["__key"])  # equal in id and text
+    return once.unionByName(again).select("__row.*")
