@@ -12,6 +12,7 @@ import contextlib
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +27,17 @@ RUNTIME_CONF = {
 }
 
 
+def package_on_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it (installed, or a folder all can see)."""
+    root, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    package_on_workers(spark)
     for k, v in RUNTIME_CONF.items():
         try:
             if spark.conf.get(k, None) != v:
