@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import os
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..session import package_on_workers, stage_table
 
 #: White space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -29,11 +26,7 @@ def on_workers(spark: SparkSession) -> SparkSession:
     Arrow batches of texts small."""
     if spark.conf.get(BATCH) == DEFAULT_ROWS:
         spark.conf.set(BATCH, ROWS)
-    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    paths = [p for p in known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
-    if root not in paths:
-        known["PYTHONPATH"] = os.pathsep.join([root, *paths])
-    return spark
+    return package_on_workers(spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

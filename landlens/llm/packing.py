@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -52,7 +53,31 @@ def encoder(path: str | None):
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     ranked = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED if str(path) == default else {})
-    return lambda text: np.asarray(ranked.encode(text, allowed_special="all"), np.uint32)
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return np.asarray(ranked.encode(text, allowed_special="all"), np.uint32)
+        except ValueError:  # its pattern backtracks over white space and gives up on runs of about a million
+            return _long_spaces(ranked, text)
+    return encode
+
+
+#: The regular expression engine gives up somewhat above 800,000 white-space characters in a row.
+LONG_SPACES = 1 << 18
+
+
+def _long_spaces(ranked, text: str) -> np.ndarray:
+    """ids of a text with long runs of white space. Before a word the pattern takes all of a run but its last character, at
+    the end of the text all of it; both are one piece, so the text can be cut around them, and the piece needs no pattern."""
+    out, at = [], 0
+    for run in re.finditer(r"[^\S\x1c-\x1f]+", text):  # white space by Unicode; Python's class holds four controls more
+        if run.end() - run.start() >= LONG_SPACES:
+            end = run.end() - (run.end() < len(text) and not text.startswith(tuple(ADDED), run.end()))
+            out.append(ranked.encode(text[at:run.start()], allowed_special="all"))
+            out.append(ranked._encode_single_piece(text[run.start():end]))
+            at = end
+    out.append(ranked.encode(text[at:], allowed_special="all"))
+    return np.concatenate([np.asarray(x, np.uint32) for x in out])
 
 
 class Packer:

@@ -13,7 +13,6 @@ def tokens(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [1]
 
 

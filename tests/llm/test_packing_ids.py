@@ -38,3 +38,22 @@ def test_packed_ids(spark):
         own = sorted((p["start"], p["length"], p["ids_crc32"], p["doc_tokens"]) for p in found if p["doc_id"] == i)
         assert own and sum(n for _, n, _, _ in own) == len(ids)
         assert all(zlib.crc32(ids[s:s + n].tobytes()) == c and total == len(ids) for s, n, c, total in own)
+
+
+def long_spaces():
+    mixed = " \t\n  \r" * 50_000
+    yield from (" " * 5_000_000, "\n" * 1_500_000, mixed * 3, "a" + " " * 1_000_000 + "b", "a\n" + mixed * 3 + "\n'll <|endoftext|>", "\x1c" * 10 + " " * 900_000 + "\x1d x")
+    yield " " * 900_000 + "<|endoftext|>" + "\t" * 900_000 + "1" + " " * 300_000 + "　é"
+
+
+def test_long_white_space():
+    encode = M.encoder(None)
+    for text in long_spaces():
+        assert np.array_equal(encode(text), contract(text)), (len(text), text[:20])
+
+
+def test_long_white_space_is_packed(spark):
+    texts = ["x" + " " * 1_200_000 + "y", "\n" * 1_000_000, "plain"]
+    found = M.pack(frame(spark, [(i, t, *[None] * 7) for i, t in enumerate(texts)], 2)).collect()
+    for i, text in enumerate(texts):
+        assert sum(p["length"] for p in found if p["doc_id"] == i) == len(contract(text)) + 1
