@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import chat_format, embedding_dedup, exact_dedup, license_scan, mixing, ngram_join, packing, quality, suffix_dedup, url_filter
+from . import chat_format, embedding_dedup, exact_dedup, license_scan, mixing, ngram_join, packing, quality, suffix_dedup, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +123,9 @@ def op9_url_filter(spark, folder):
 def op10_source_mix(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"), [5, 2, 1])
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "repeats")
+
+
+@query("op12_token_files")
+def op12_token_files(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_files.read_documents(token_files.write(docs), docs.schema["doc_id"].dataType.simpleString())

@@ -6,14 +6,11 @@ import pytest
 from landlens.llm import packing as M
 
 from data import DOCS, frame, odd_documents
+from test_packing_ids import contract
 
 
 def tokens(text):
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    return t.encode(text or "", add_special_tokens=False).ids + [1]
+    return contract(text or "") + [1]
 
 
 @pytest.mark.parametrize("window,opened,fan", [(2048, 32, 8), (64, 3, 2), (16, 1, 1)])
