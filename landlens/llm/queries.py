@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
-from . import chat_format, embedding_dedup, exact_dedup, license_scan, mixing, ngram_join, packing, quality, suffix_dedup, token_files, url_filter
+from .common import pin, table
+from . import chat_format, embedding_dedup, exact_dedup, license_scan, merkle, mixing, ngram_join, packing, quality, suffix_dedup, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -129,3 +129,36 @@ def op10_source_mix(spark, folder):
 def op12_token_files(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_files.read_documents(token_files.write(docs), docs.schema["doc_id"].dataType.simpleString())
+
+
+TAMPERED = "pmod(crc32(cast(doc_id as string)), 7) = 0"
+
+
+@query("op13_merkle_manifest", """
+WITH RECURSIVE c AS (SELECT *, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda x, e: xor(xor(x, e) >> 1, 3988292384 * (xor(x, e) & 1))), 4294967295) % 7 = 0 AS bad FROM documents),
+p AS (SELECT doc_id, lang, bad, n_chars, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head, coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail FROM c),
+d AS (SELECT doc_id, lang, sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(length(CAST(n_chars + CASE WHEN bad THEN 1 ELSE 0 END AS VARCHAR)) || ':' || (n_chars + CASE WHEN bad THEN 1 ELSE 0 END), '-') || tail) AS claimed FROM p),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+t AS (SELECT lang, 0 AS level, pos, n, leaf AS h FROM l
+    UNION ALL SELECT lang, level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY lang, level, pos // 2),
+s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS level, pos, n, h FROM s UNION ALL SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY level, pos // 2),
+f AS (SELECT lang, pos, n, 0 AS level, claimed AS h, '' AS proof FROM l
+    UNION ALL SELECT f.lang, f.pos, f.n, f.level + 1, sha256(CASE WHEN (f.pos >> f.level) & 1 = 1 THEN coalesce(t.h, '') || f.h ELSE f.h || coalesce(t.h, '') END), f.proof || coalesce(t.h, '')
+    FROM f LEFT JOIN t ON f.lang IS NOT DISTINCT FROM t.lang AND t.level = f.level AND t.pos = xor(f.pos >> f.level, 1) WHERE (1 << f.level) < f.n),
+g AS (SELECT f.lang, f.pos, s.pos AS at, s.n, 0 AS level, f.h, f.proof FROM f JOIN s ON f.lang IS NOT DISTINCT FROM s.lang WHERE (1 << f.level) >= f.n
+    UNION ALL SELECT g.lang, g.pos, g.at, g.n, g.level + 1, sha256(CASE WHEN (g.at >> g.level) & 1 = 1 THEN coalesce(u.h, '') || g.h ELSE g.h || coalesce(u.h, '') END), g.proof || coalesce(u.h, '')
+    FROM g LEFT JOIN u ON u.level = g.level AND u.pos = xor(g.at >> g.level, 1) WHERE (1 << g.level) < g.n)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(g.proof) AS proof_sha256, g.h AS folded_root, g.h = r.h AS verified
+FROM l JOIN s ON l.lang IS NOT DISTINCT FROM s.lang JOIN g ON g.lang IS NOT DISTINCT FROM l.lang AND g.pos = l.pos AND (1 << g.level) >= g.n CROSS JOIN (SELECT h FROM u WHERE n = 1) r""")
+def op13_merkle_manifest(spark, folder):
+    docs = table(spark, folder, "documents")
+    leaf = lambda n_chars: merkle.leaf_hash([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")])
+    rows = pin(docs.select("doc_id", F.col("lang").cast("string").alias("grp"), leaf(F.col("n_chars")).alias("leaf"),
+                           F.when(F.expr(TAMPERED), leaf(F.col("n_chars") + 1)).alias("_other"))
+               .select("doc_id", "grp", "leaf", F.coalesce("_other", "leaf").alias("claimed")))
+    found = merkle.proofs(merkle.manifest(rows), "claimed")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
