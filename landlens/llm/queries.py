@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pin, table
-from . import chat_format, embedding_dedup, exact_dedup, license_scan, merkle, mixing, ngram_join, packing, quality, suffix_dedup, token_files, url_filter
+from . import chat_format, embedding_dedup, exact_dedup, license_scan, merkle, mixing, ngram_join, packing, phrases, quality, suffix_dedup, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -125,6 +125,24 @@ def op10_source_mix(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "repeats")
 
 
+@query("op11_phrase_mining", r"""
+WITH s AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM s),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, d, unnest(list_transform(range(1, len(ws) - d + 2), lambda i: array_to_string(ws[i:i + d - 1], ' '))) AS phrase FROM w CROSS JOIN range(1, 6) AS t(d)),
+c AS (SELECT lang, d, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY lang, d, phrase HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+inside AS (SELECT DISTINCT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, f FROM c CROSS JOIN range(1, 5) AS a(i) CROSS JOIN range(2, 5) AS b(m) WHERE m < d AND i + m - 1 <= d),
+x AS (SELECT c.lang, c.d, c.phrase, c.ws, c.f AS a FROM c WHERE d > 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.f >= 100 * c.f)),
+k AS (SELECT x.lang, x.phrase, x.a, l.f AS l, r.f AS r, n.n, k, (1000::HUGEINT * x.a * n.n) // (l.f::HUGEINT * r.f) AS score FROM x CROSS JOIN range(1, 5) AS q(k)
+    JOIN c l ON l.lang = x.lang AND l.phrase = array_to_string(x.ws[1:k], ' ') JOIN c r ON r.lang = x.lang AND r.phrase = array_to_string(x.ws[k + 1:x.d], ' ') JOIN n ON n.lang = x.lang WHERE k < x.d),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+    CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM b QUALIFY rank <= 2000""")
+def op11_phrase_mining(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
 @query("op12_token_files")
 def op12_token_files(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
