@@ -11,11 +11,10 @@ shuffle. The exact predicate runs last, on the surviving pairs only.
 
 Scale notes
 -----------
-* The equi-join is an ordinary shuffle join; AQE turns it into a broadcast join
-  only when the measured exploded side is small, and splits a hot cell (a group
-  of stacked copies in one cell) with its skew-join handling.
+* Cells that many rows cover are cut further, and rows lying on top of each other dealt into blocks (operators.grid), so no join key holds
+  more than about ``split_above`` rows of a side.
 * Replication is bounded by ceil(w/c + 1) * ceil(h/c + 1) per row; choose ``cell``
-  near the typical size of the larger layer.
+  near the typical size of the larger layer. Shapes much larger than a cell belong into operators.clipped.
 """
 
 from __future__ import annotations
@@ -26,30 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from . import grid as grids
 from . import pairs as pair
 
-_CELL_SHIFT = 4294967296  # 2^32: pack (cx, cy) into one BIGINT key
-
-
-def _cell_range(s: str, axis: str, c: float, d: float) -> str:
-    lo, hi = f"{s}.{axis}min", f"{s}.{axis}max"
-    return (f"sequence(cast(floor(({lo} - {d}) / {c}) AS bigint),"
-            f" cast(floor(({hi} + {d}) / {c}) AS bigint))")
-
-
-def explode_cells(df: DataFrame, s: str, c: float, d: float) -> DataFrame:
-    """One row per covered grid cell (two codegen'd explodes, no lambdas)."""
-    return (df.withColumn("_cx", F.explode(F.expr(_cell_range(s, "x", c, d))))
-            .withColumn("_cy", F.explode(F.expr(_cell_range(s, "y", c, d))))
-            .withColumn("_cell", F.col("_cx") * _CELL_SHIFT + F.col("_cy"))
-            .drop("_cx", "_cy"))
-
-
-def _owner_sql(a: str, b: str, c: float, d: float) -> str:
-    return (f"cast(floor(greatest({a}.xmin - {d}, {b}.xmin) / {c}) AS bigint) * {_CELL_SHIFT}"
-            f" + cast(floor(greatest({a}.ymin - {d}, {b}.ymin) / {c}) AS bigint)")
-
-
 def auto_cell(left: DataFrame, right: DataFrame, left_shape: str = "shape", right_shape: str = "shape",
               floor: float = 1.0) -> float:
     """Grid size from the data: the median box extent (larger side) of the two
@@ -83,7 +61,7 @@ def _general(pairs: DataFrame, predicate: str, d: float, with_overlap: bool) ->
 def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape",
                  right_shape: str = "shape", predicate: str = "intersects",
                  distance: float = 0.0, cell: float | str = 100.0, on: Sequence[str] = (),
-                 with_overlap: bool = False, keep_shapes: bool = False) -> DataFrame:
+                 with_overlap: bool = False, keep_shapes: bool = False, split_above: int | None = grids.LIMIT) -> DataFrame:
     """Pairs (left row, right row) satisfying the spatial predicate.
 
     predicate: 'intersects' (closed), 'dwithin' (planar distance <= distance),
@@ -96,15 +74,16 @@ def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape"
     ``geometry.mark_rect_only``) only closed-form rectangle expressions are
     planned; otherwise every pair gets the general exact path.
     Column names of the two sides must be disjoint apart from ``on``.
-    ``cell="auto"`` sizes the grid from the data (see :func:`auto_cell`).
+    ``cell="auto"`` sizes the grid from the data (see :func:`auto_cell`). Cells that more than ``split_above`` rows of a side
+    cover are cut (one count of boxes by cell while the join is planned); ``None`` leaves the grid as it is.
     """
     d = float(distance) if predicate == "dwithin" else 0.0
     c = auto_cell(left, right, left_shape, right_shape) if cell == "auto" else float(cell)
     ro = G.is_rect_only(left, left_shape) and G.is_rect_only(right, right_shape)
-    lq = explode_cells(left.withColumnRenamed(left_shape, "_ls"), "_ls", c, d)
-    rq = explode_cells(right.withColumnRenamed(right_shape, "_rs"), "_rs", c, 0.0)
-    cond = F.expr(f"_cell = {_owner_sql('_ls', '_rs', c, d)} AND {G.bbox_intersects_sql('_ls', '_rs', d)}")
-    pairs = lq.join(rq, ["_cell", *on]).where(cond)
+    grid = grids.build(left, right, left_shape, right_shape, c, d, split_above)
+    lq = grid.place(left.withColumnRenamed(left_shape, "_ls"), "_ls", True)
+    rq = grid.place(right.withColumnRenamed(right_shape, "_rs"), "_rs", False)
+    pairs = lq.join(rq, [*grid.keys, *on]).where(grid.owner("_ls", "_rs") & F.expr(G.bbox_intersects_sql("_ls", "_rs", d)))
     if predicate not in ("intersects", "dwithin", "bbox"):
         raise ValueError(f"unknown predicate {predicate!r}")
     if ro:
@@ -116,5 +95,5 @@ def spatial_join(left: DataFrame, right: DataFrame, *, left_shape: str = "shape"
             pairs = pairs.withColumn("overlap_m2", F.expr(G.overlap_area_sql("_ls", "_rs", True)))
     else:
         pairs = _general(pairs, predicate, d, with_overlap)
-    pairs = pairs.drop("_cell")
+    pairs = pairs.drop(*grid.keys)
     return pairs if keep_shapes else pairs.drop("_ls", "_rs")

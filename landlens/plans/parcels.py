@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..operators.overlay import any_hit, is_kind, overlay_summary, sum_overlap
-from ..operators.spatial_join import explode_cells
+from ..operators.nearby import with_neighbour
 from ..functions import geometry as G
+from ..session import stage_table
 
 PARCEL_CELL = 64.0
 NEIGHBOUR_DISTANCE = 0.5
@@ -96,13 +97,10 @@ def adjacency(enriched: DataFrame, distance: float = NEIGHBOUR_DISTANCE,
             .select("pkey", "primary_use", "shape"))
     # A neighbour only has to exist, and equal shapes contain each other: compare distinct shapes, stop at the first hit.
     form = F.xxhash64("primary_use", "shape")
-    forms = cand.select("primary_use", "shape").distinct()
-    ro = G.is_rect_only(enriched, "shape")
-    a = explode_cells(forms.select(form.alias("_a"), F.col("primary_use").alias("_ua"), F.col("shape").alias("_ls")), "_ls", cell, distance)
-    b = explode_cells(forms.select(form.alias("_b"), F.col("primary_use").alias("_ub"), F.col("shape").alias("_rs")), "_rs", cell, 0.0)
-    beside = F.expr(f"_ua = _ub AND _cell = _cell_b AND _a <> _b AND {G.bbox_intersects_sql('_ls', '_rs', distance)}"
-                    f" AND {G.dwithin_sql('_ls', '_rs', distance, ro)} AND NOT {G.contains_sql('_ls', '_rs', ro)}")
-    hit = a.join(b.withColumnRenamed("_cell", "_cell_b"), beside, "left_semi").select("_a").distinct()
+    forms = stage_table(cand.select("primary_use", "shape").distinct().withColumn("_a", form))
+    if G.is_rect_only(enriched, "shape"):
+        forms = G.mark_rect_only(forms)
+    hit = with_neighbour(forms, "_a", "primary_use", distance, cell)
     return cand.withColumn("_a", form).join(hit, "_a", "left_semi").select("pkey")
 
 
