@@ -113,6 +113,29 @@ def _inside(points: pa.Array, b) -> np.ndarray:
     return out
 
 
+def _under(points: pa.Array, b) -> np.ndarray:
+    """Whether any of a row's points lies in the row's edge set b, by the edges above it: needs no upright edges."""
+    nb, fb, segs = b
+    lengths = np.asarray(points.value_lengths().fill_null(0))
+    flat = points.flatten()
+    out = np.zeros(len(points), bool)
+    if not len(flat):
+        return out
+    xy = np.stack([np.asarray(flat.field("x")), np.asarray(flat.field("y"))], axis=1)
+    row = np.repeat(np.arange(len(points)), lengths)
+    for start, end in _slices(np.ones(len(row), np.int64), nb[row]):
+        r = row[start:end]
+        work = nb[r]
+        k = np.repeat(np.arange(end - start), work)
+        s = segs[fb[r][k] + np.arange(len(k)) - np.repeat(np.cumsum(work) - work, work)]
+        x, y = xy[start:end][k].T
+        run = np.where(s[:, 2] == s[:, 0], 1, s[:, 2] - s[:, 0])
+        hit = ((s[:, 0] > x) != (s[:, 2] > x)) & (s[:, 1] + (x - s[:, 0]) * (s[:, 3] - s[:, 1]) / run > y)
+        odd = np.bincount(k, weights=hit, minlength=end - start) % 2 == 1
+        np.logical_or.at(out, r, odd)
+    return out
+
+
 def _overlap_batch(sa: pa.Array, sb: pa.Array) -> pa.Array:
     a, b = _segments(sa), _segments(sb)
     out = np.zeros(len(sa))
