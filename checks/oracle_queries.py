@@ -175,12 +175,8 @@ SELECT id, CASE WHEN deg THEN {_E} ELSE lon END AS x0, CASE WHEN deg THEN {_N} E
          CASE WHEN p_partkey % 3 = 0 THEN 46.2::DOUBLE + (p_partkey // 20) * 0.0006::DOUBLE
               ELSE 1110000.0::DOUBLE + (p_partkey // 20) * 60 END AS lat
   FROM part)""")
-oracle("geo_intersects", f"""
-SELECT p.egrid, z.zone_id FROM parcels p JOIN zparsed z ON {BBOX_JOIN.format(a='p', b='z')} AND {zone_meets('z', 'p')}""",
-       "parcels", "zparsed")
-oracle("geo_overlap_area", f"""
-SELECT p.egrid, z.zone_id, {zone_ov('z', 'p')} AS overlap_m2
-FROM parcels p JOIN zparsed z ON {BBOX_JOIN.format(a='p', b='z')} AND {zone_meets('z', 'p')}""", "parcels", "zparsed")
+proj("geo_intersects", "egrid, zone_id", "zone_parcel")
+proj("geo_overlap_area", "egrid, zone_id, floor(overlap_m2 * 1000 + 0.500001) / 1000 AS overlap_m2", "zone_parcel")
 oracle("geo_dwithin", """
 SELECT a.egrid, b.egrid AS other_egrid FROM parcels a JOIN parcels b
   ON a.egrid <> b.egrid AND b.xmin <= a.xmax + 0.5 AND a.xmin - 0.5 <= b.xmax AND b.ymin <= a.ymax + 0.5 AND a.ymin - 0.5 <= b.ymax

@@ -106,9 +106,15 @@ def cut(segs: np.ndarray, cell: float) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 
 def _sides(edges: np.ndarray, a: int, v: float) -> tuple[np.ndarray, np.ndarray]:
-    """Parts of numbered edges on both closed sides of a line."""
+    """Parts of numbered edges on both closed sides of a line; an edge that only ends on it leaves that point on the other side."""
     first, last = edges[:, a], edges[:, a + 2]
-    low, high = edges[(first <= v) & (last <= v)], edges[(first >= v) & (last >= v)]
+    out = []
+    for low, high in ((first, last), (last, first)):  # ending, then beginning on the line
+        ends = edges[(high == v) & (low != v)]
+        k = 2 if high is last else 0
+        out.append(np.hstack([ends[:, k:k + 2], ends[:, k:k + 2], ends[:, 4:]])[:, :5] if len(ends) else edges[:0])
+    points = np.vstack(out)
+    low, high = np.vstack([edges[(first <= v) & (last <= v)], points]), np.vstack([edges[(first >= v) & (last >= v)], points])
     cross = edges[((first < v) & (last > v)) | ((first > v) & (last < v))]
     if not len(cross):
         return low, high

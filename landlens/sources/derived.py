@@ -282,49 +282,39 @@ def _coords_json(x1: str, y1: str, x2: str, y2: str, closed: bool = True) -> str
 
 def zoning_geojson_features(spark: SparkSession, d: str) -> DataFrame:
     """Zoning features as GeoJSON Feature strings, with the awkward cases a
-    real service returns: MultiPolygon parts, unclosed rings (p % 17 = 0),
-    zero-area rings (p % 19 = 0), bow-tie rings (p % 29 = 0, placed 1,000 km south of
-    all other layers), GeometryCollections with a point (p % 23 = 0), empty
-    coordinates (p % 31 = 0), a repeated vertex (p % 37 = 0), a hole without area
-    (p % 41 = 0); OBJECTID is a JSON number for even p."""
+    real service returns: MultiPolygon parts, and by number p, first rule first: zero-area rings (19), unclosed rings (17),
+    bow-ties (29: one crossing), empty coordinates (31), a repeated vertex (37), a hole without area (41), rings
+    with two crossings (43), L-shapes (47), holes (53), GeometryCollections with a point (23); OBJECTID is a JSON
+    number for even p. Odd forms take the place of the zone's first rectangle."""
     zf = zoning_features(spark, d)
-    r = "rects"
-    poly = f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', True)}, ']}}')"
-    multi = (f"concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[[', {_sql_ring(f'{r}[0]', True)}, '],[',"
-             f" {_sql_ring(f'{r}[1]', True)}, ']]}}')")
-    open_poly = f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', False)}, ']}}')"
-    flat = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
-            f" {r}[0].xmax, ',', {r}[0].ymin, '],[', ({r}[0].xmin + {r}[0].xmax) / 2, ',', {r}[0].ymin, '],[',"
-            f" {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
-    bow = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin - 1000000, '],[',"
-           f" {r}[0].xmax, ',', {r}[0].ymax - 1000000, '],[', {r}[0].xmax, ',', {r}[0].ymin - 1000000, '],[',"
-           f" {r}[0].xmin, ',', {r}[0].ymax - 1000000, '],[', {r}[0].xmin, ',', {r}[0].ymin - 1000000, ']]]}}')")
-    again = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[[', {r}[0].xmin, ',', {r}[0].ymin, '],[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
-             f" {r}[0].xmax, ',', {r}[0].ymin, '],[', {r}[0].xmax, ',', {r}[0].ymax, '],[', {r}[0].xmin, ',', {r}[0].ymax, '],[',"
-             f" {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
-    holed = (f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {_sql_ring(f'{r}[0]', True)}, ',[[', {r}[0].xmin, ',', {r}[0].ymin, '],[',"
-             f" {r}[0].xmax, ',', {r}[0].ymax, '],[', {r}[0].xmin, ',', {r}[0].ymin, ']]]}}')")
-    empty = "'{\"type\":\"Polygon\",\"coordinates\":[]}'"
-    base = f"CASE WHEN size({r}) = 2 THEN {multi} ELSE {poly} END"
+    x1, y1, x2, y2 = (f"rects[0].{c}" for c in ("xmin", "ymin", "xmax", "ymax"))
+    xm, ym = f"(({x1} + {x2}) / 2)", f"(({y1} + {y2}) / 2)"
+    qx = [f"({x1} + ({x2} - {x1}) * {q} / 4)" for q in (1, 3)]
+    qy = [f"({y1} + ({y2} - {y1}) * {q} / 4)" for q in (1, 3)]
+    box = [(x1, y1), (x2, y1), (x2, y2), (x1, y2)]
+    poly = lambda *rings: f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {', \',\', '.join(rings)}, ']}}')"
+    second = [(f"rects[1].{a}", f"rects[1].{b}") for a, b in (("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"))]
+    whole = f"concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[[', {_sql_ring(box)}, '],[', {_sql_ring(second)}, ']]}}')"
+    base = f"CASE WHEN size(rects) = 2 THEN {whole} ELSE {poly(_sql_ring(box))} END"
     coll = (f"concat('{{\"type\":\"GeometryCollection\",\"geometries\":[{{\"type\":\"Point\",\"coordinates\":[',"
-            f" {r}[0].xmin, ',', {r}[0].ymin, ']}},', {base}, ']}}')")
+            f" {x1}, ',', {y1}, ']}},', {base}, ']}}')")
+    hole = [(qx[0], qy[0]), (qx[0], qy[1]), (qx[1], qy[1]), (qx[1], qy[0])]
+    forms = {19: poly(_sql_ring([(x1, y1), (x2, y1), (xm, y1)])), 17: poly(_sql_ring(box, False)), 29: poly(_sql_ring([(x1, y1), (x2, y2), (x2, y1), (x1, y2)])),
+             31: "'{\"type\":\"Polygon\",\"coordinates\":[]}'", 37: poly(_sql_ring([box[0], *box])), 41: poly(_sql_ring(box), _sql_ring([(x1, y1), (x2, y2)])),
+             43: poly(_sql_ring([(x1, y1), (xm, y2), (x2, y1), (x2, y2), (xm, y1), (x1, y2)])), 47: poly(_sql_ring([(x1, y1), (x2, y1), (x2, ym), (xm, ym), (xm, y2), (x1, y2)])),
+             53: poly(_sql_ring(box), _sql_ring(hole)), 23: coll}
     k = "cast(id AS bigint)"
-    geom = (f"CASE WHEN {k} % 19 = 0 THEN {flat} WHEN {k} % 17 = 0 THEN {open_poly}"
-            f" WHEN {k} % 29 = 0 THEN {bow} WHEN {k} % 31 = 0 THEN {empty} WHEN {k} % 37 = 0 THEN {again} WHEN {k} % 41 = 0 THEN {holed}"
-            f" WHEN {k} % 23 = 0 THEN {coll} ELSE {base} END")
+    geom = "CASE " + " ".join(f"WHEN {k} % {n} = 0 THEN {f}" for n, f in forms.items()) + f" ELSE {base} END"
     feat = F.concat(F.lit('{"type":"Feature","id":"'), F.col("id"), F.lit('","properties":'),
                     F.when(F.expr(f"{k} % 2 = 0"), F.regexp_replace(F.to_json("properties"), r'"OBJECTID":"([0-9]+)"', r'"OBJECTID":$1'))
                     .otherwise(F.to_json("properties")), F.lit(',"geometry":'), F.expr(geom), F.lit("}"))
     return zf.select("id", feat.alias("feature_json"))
 
 
-def _sql_ring(rect: str, closed: bool) -> str:
-    x1, y1, x2, y2 = (f"{rect}.xmin", f"{rect}.ymin", f"{rect}.xmax", f"{rect}.ymax")
-    pts = [(x1, y1), (x2, y1), (x2, y2), (x1, y2)] + ([(x1, y1)] if closed else [])
-    parts = []
-    for i, (x, y) in enumerate(pts):
-        parts.append(f"'{',' if i else ''}[', {x}, ',', {y}, ']'")
-    return "concat('[', " + ", ".join(parts) + ", ']')"
+def _sql_ring(points: list[tuple[str, str]], closed: bool = True) -> str:
+    """JSON text of a ring, given as SQL expressions of its points."""
+    points = points + points[:1] if closed else points
+    return "concat('[', " + ", ".join(f"'{',' if i else ''}[', {x}, ',', {y}, ']'" for i, (x, y) in enumerate(points)) + ", ']')"
 
 
 def zoning_pages(spark: SparkSession, d: str, page_size: int = 100) -> DataFrame:

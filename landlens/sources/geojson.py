@@ -4,12 +4,12 @@
 * ``explode_pages(df)`` / ``page_status(df)``: features of the good pages / every page with its feature count or "corrupt".
 * ``geometry(col)``: GeoJSON geometry text -> multipolygon array (Polygon,
   MultiPolygon, polygonal members of a GeometryCollection; other types drop).
-* ``screen(features)``: geometry repair (close rings, drop repeated vertices, degenerate rings and holes, split a ring
-  at its one self-crossing) -> ``status`` / ``reason``; what cannot be repaired stays as a rejected row.
+* ``screen(features)``: geometry repair (close rings, drop repeated vertices, degenerate rings and holes, rebuild crossing
+  rings) -> ``status`` / ``reason``; what cannot be repaired stays as a rejected row.
 * ``flatten_extracts(df)`` / ``extract_status(df)``: legal extract JSON -> one row per restriction / per document.
 
 Everything is JSON parsing by Spark's own readers (``from_json`` /
-``try_parse_json`` + ``variant_get``); no Python touches a row. Properties are texts; one that the JSON
+``try_parse_json`` + ``variant_get``); only rings that may cross go through an Arrow kernel. Properties are texts; one that the JSON
 held as a number starts with ``rules.NUMBER_MARK``.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import rules as R
+from ..operators.repair import uncross
 
 FEATURE_T = "struct<id:string,properties:string,geometry:string>"
 CORRUPT = "_corrupt_page"
@@ -118,58 +119,27 @@ def _flat(r: str) -> str:
             f" = ({r}[vl_ + 1].x - {r}[0].x) * ({r}[vl_].y - {r}[0].y)))")
 
 
-def _crossings(r: str) -> str:
-    """Pairs (i, j) of edges of a ring that properly cross."""
-    def at(i, c):
-        return f"{r}[{i}].{c}"
-
-    def side(a, b, c):
-        return f"sign({G._orient(at(a, 'x'), at(a, 'y'), at(b, 'x'), at(b, 'y'), at(c, 'x'), at(c, 'y'))})"
-    boxes = " AND ".join(f"greatest({at('vi_', c)}, {at('vi_ + 1', c)}) >= least({at('vj_', c)}, {at('vj_ + 1', c)})"
-                         f" AND greatest({at('vj_', c)}, {at('vj_ + 1', c)}) >= least({at('vi_', c)}, {at('vi_ + 1', c)})" for c in "xy")
-    cross = (f"{boxes} AND {side('vi_', 'vi_ + 1', 'vj_')} * {side('vi_', 'vi_ + 1', 'vj_ + 1')} < 0"
-             f" AND {side('vj_', 'vj_ + 1', 'vi_')} * {side('vj_', 'vj_ + 1', 'vi_ + 1')} < 0")
-    edges = f"sequence(0, size({r}) - 2)"
-    return (f"flatten(transform({edges}, vi_ -> transform(filter({edges}, vj_ -> vj_ > vi_ + 1 AND {cross}),"
-            f" vj_ -> named_struct('i', vi_, 'j', vj_))))")
-
-
-def _split_at(r: str, k: str) -> str:
-    """The two rings of a ring whose edges k.i and k.j cross."""
-    a, b, c, d = (f"{r}[{i}]" for i in (f"{k}.i", f"{k}.i + 1", f"{k}.j", f"{k}.j + 1"))
-    t = (f"((({c}.x - {a}.x) * ({d}.y - {c}.y) - ({c}.y - {a}.y) * ({d}.x - {c}.x))"
-         f" / (({b}.x - {a}.x) * ({d}.y - {c}.y) - ({b}.y - {a}.y) * ({d}.x - {c}.x)))")
-    x = f"array(named_struct('x', {a}.x + {t} * ({b}.x - {a}.x), 'y', {a}.y + {t} * ({b}.y - {a}.y)))"
-    one = f"concat({x}, slice({r}, {k}.i + 2, {k}.j - {k}.i), {x})"
-    two = f"concat({x}, slice({r}, {k}.j + 2, size({r}) - {k}.j - 2), slice({r}, 1, {k}.i + 1), {x})"
-    return f"array({one}, {two})"
-
-
 def screen(features: DataFrame, geom: str = "geom") -> DataFrame:
     """Geometry repair (re-aimed ST_MakeValid), part by part.
 
     Rings lose missing and repeated vertices and are closed. A part whose outer ring has fewer than 4 points or no area is dropped,
-    a hole likewise without its part. An outer ring without holes that crosses itself once becomes two parts; rings that only touch
-    themselves are fine. A geometry with nothing left, or with other self-crossings, is a rejected row with its reason."""
+    a hole likewise without its part. Rings that cross themselves or each other are rebuilt from simple loops (operators.repair); rings that only touch
+    are fine. A geometry with nothing left is a rejected row with its reason."""
     rings = f"transform(filter(coalesce(vgeom_, array()), vp_ -> size(vp_) > 0), vp_ -> transform(vp_, vr_ -> {_clean_ring('vr_')}))"
     parts = (f"transform(filter(vg_all_, vp_ -> NOT {_flat('vp_[0]')}), vp_ -> concat(slice(vp_, 1, 1),"
              f" filter(slice(vp_, 2, greatest(size(vp_) - 1, 0)), vr_ -> NOT {_flat('vr_')})))")
-    found = f"transform(vparts_, vp_ -> transform(vp_, vr_ -> {_crossings('vr_')}))"
-    split = ("filter(flatten(transform(vparts_, (vp_, vpi_) -> CASE WHEN size(vcross_[vpi_][0]) = 1"
-             f" THEN transform(filter({_split_at('vp_[0]', 'vcross_[vpi_][0][0]')}, vs_ -> NOT {_flat('vs_')}), vs_ -> array(vs_)) ELSE array(vp_) END)),"
-             f" vq_ -> {_ring_area('vq_[0]')} <> 0)")
-    beyond = ("exists(vcross_, vx_ -> size(vx_[0]) > 1 OR (size(vx_[0]) = 1 AND size(vx_) > 1)"
-              " OR exists(slice(vx_, 2, greatest(size(vx_) - 1, 0)), vh_ -> size(vh_) > 0))")
     reason = ("CASE WHEN size(vg_all_) = 0 THEN 'no polygon' WHEN size(vparts_) = 0 AND forall(vg_all_, vp_ -> size(vp_[0]) < 4) THEN 'ring with < 4 points'"
-              f" WHEN size(vparts_) = 0 THEN 'zero-area ring' WHEN {beyond} THEN 'self-intersecting ring' WHEN size(vdone_) = 0 THEN 'zero-area ring' END")
-    verdict = f"named_struct('reason', {reason}, 'done', vdone_, 'same', vdone_ <=> vgeom_)"
-    # One expression with its steps bound once: later filters may repeat a column's expression.
-    bound = _let("vgeom_", geom, _let("vg_all_", rings, _let("vparts_", parts, _let("vcross_", found, _let(
-        "vdone_", f"CASE WHEN {beyond} THEN array() ELSE {split} END", verdict)))))
-    kept = F.col("_s.reason").isNull()
-    return (features.withColumn("_s", F.expr(bound)).withColumn("reason", F.col("_s.reason"))
-            .withColumn("status", F.when(~kept, "rejected").when(F.col("_s.same"), "ok").otherwise("repaired"))
-            .withColumn(geom, F.when(kept, F.col("_s.done"))).drop("_s"))
+              " WHEN size(vparts_) = 0 THEN 'zero-area ring' END")
+    # triangles and rectangles alone cannot cross themselves
+    plain = f"forall(vparts_, vp_ -> size(vp_) = 1 AND (size(vp_[0]) < 5 OR {G._is_rect_ring('vp_[0]')}))"
+    bound = _let("vgeom_", geom, _let("vg_all_", rings, _let("vparts_", parts, f"named_struct('reason', {reason}, 'parts', vparts_, 'plain', {plain})")))
+    found = features.withColumn("_s", F.expr(bound)).withColumn("_u", uncross(F.when(~F.col("_s.plain"), F.col("_s.parts"))))
+    done = F.expr(f"filter(coalesce(_u, _s.parts), vq_ -> {_ring_area('vq_[0]')} <> 0)")
+    kept = F.col("reason").isNull()
+    return (found.withColumn("_done", done)
+            .withColumn("reason", F.coalesce("_s.reason", F.when(F.size("_done") == 0, F.lit("zero-area ring"))))
+            .withColumn("status", F.when(~kept, "rejected").when(F.col("_done").eqNullSafe(F.col(geom)), "ok").otherwise("repaired"))
+            .withColumn(geom, F.when(kept, F.col("_done"))).drop("_s", "_u", "_done"))
 
 
 def _let(name: str, value: str, body: str) -> str:

@@ -46,8 +46,8 @@ def load_zoning_federal(features: DataFrame, canton: str | None = "VD") -> DataF
                     "shape"))
 
 
-def load_zoning_cantonal(features: DataFrame) -> DataFrame:
-    """Cantonal zoning with code, parsed height limit and density index.
+def load_zoning_cantonal(features: DataFrame, *ride: str) -> DataFrame:
+    """Cantonal zoning with code, parsed height limit and density index; the columns ``ride`` come along.
 
     ``hauptnutzung`` carries the COMMUNE name, as in the source loader.
     """
@@ -62,7 +62,7 @@ def load_zoning_cantonal(features: DataFrame) -> DataFrame:
         code.alias("zone_code"),
         R.parse_height(prop("DESCRIPTION")).alias("height_limit_m"),
         text("INDICE").alias("density_indice"),
-        "shape")
+        "shape", *ride)
 
 
 def load_parcels(features: DataFrame, canton: str | None = "VD") -> DataFrame:

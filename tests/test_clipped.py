@@ -108,6 +108,14 @@ def test_touching_and_holes(spark):
     assert got == {2: 0.0, 3: 0.0, 5: 9.0, 6: 0.0}
 
 
+def test_touching_on_cell_lines(spark):
+    """Corners that meet exactly where cells meet."""
+    a = frame(spark, [(1, [[[(0, 0), (32, 16), (0, 32)]]]), (2, [[[(64, 0), (80, 16), (64, 32), (48, 16)]]])]).withColumnRenamed("k", "i")
+    b = frame(spark, [(k, [[square(x, y, w, h)]]) for k, (x, y, w, h) in enumerate([(-16, -16, 16, 16), (-16, 32, 16, 16), (32, 16, 16, 16), (32, 0, 16, 16), (80, 16, 16, 16), (64, 32, 5, 5), (64, -16, 16, 16), (81, 16, 9, 9)])])
+    got = {(r["i"], r["j"]): r["overlap_m2"] for r in C.clipped_pairs(a, b.withColumnRenamed("k", "j"), "i", "j", 16.0).collect()}
+    assert got == dict.fromkeys([(1, 0), (1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (2, 4), (2, 5), (2, 6)], 0.0)
+
+
 def test_points_by_edges_above():
     import pyarrow as pa
     rng = random.Random(1)
