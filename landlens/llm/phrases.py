@@ -6,8 +6,9 @@ depth (enough for intervals of phrases up to that length). A phrase is a pair of
 left splits its interval by the symbols of the first transform, to the right by those of the second; ranks give the new interval there, and the
 counts of smaller symbols shift the other one. So one step yields all one-word extensions of all phrases of a length, with their counts.
 
-Counts are summed across shards length by length. A phrase can only be frequent if the two phrases one word shorter inside it are, so
-a shard extends only phrases that a bit table of the last length's frequent phrases holds, alternately to the left and right. The tables' size follows the
+Counts are summed across shards. A phrase can only be frequent if all shorter phrases inside it are, so a shard extends only phrases whose parts the bit
+tables of frequent phrases hold, alternately to the left and right, two lengths a pass. Pairs are first counted by shortened keys alone, which gives
+a table of all pairs that can be frequent. Between shards and sums go packed runs, one a shard and part of the keys. The tables' size follows the
 number of frequent phrases up to ``MOST_BITS``; beyond that they hold back less, and results stay the same.
 
 Words go by 64-bit hashes of (language, word) between shards. The word counts hold every hash against its words: should two words share one,
@@ -37,6 +38,8 @@ from .common import on_workers, pin, text_or_empty
 _FOLD = bytes(0x0A if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 0x09 else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 SEPARATOR, NOTHING = 0, -1
 MOST_BITS, BUCKETS = 1 << 26, 64
+#: Bits of a pair's key, and words of the corpus for each part of the keys (a part is summed in one piece).
+KEY_BITS, PART_WORDS = 40, 1 << 21
 _TURN = 11
 
 
@@ -60,6 +63,16 @@ def words_of(raw: bytes, numbers: _Numbers) -> np.ndarray:
     return found[found != NOTHING]
 
 
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending keys, their first positions in order): a stable argsort by one sort of whole words, where key and position fit 63 bits."""
+    bits = max(1, len(key)).bit_length()
+    if len(key) and int(key.max()) >> (63 - bits):
+        order = np.argsort(key, kind="stable")
+        return key[order], order
+    both = np.sort(key << bits | np.arange(len(key)))
+    return both >> bits, both & ((1 << bits) - 1)
+
+
 def transform(seq: np.ndarray, depth: int) -> np.ndarray:
     """Burrows-Wheeler transform of ``seq`` (its last value a separator), over suffixes sorted by their first ``depth`` values."""
     rank, seen = seq.astype(np.int64), 1
@@ -69,11 +82,10 @@ def transform(seq: np.ndarray, depth: int) -> np.ndarray:
             ahead = np.zeros_like(rank)
             ahead[:-step] = rank[step:]
             rank = rank * (int(rank.max()) + 1) + ahead
-        order = np.argsort(rank, kind="stable")
+        held, order = _sorted(rank)
         seen += step
         if seen == depth or len(seq) < 2:
             return seq[order - 1]
-        held = rank[order]
         rank[order] = np.cumsum(np.concatenate([[0], held[1:] != held[:-1]]))
 
 
@@ -89,7 +101,7 @@ class Index:
     def ranked(self, side: int) -> np.ndarray:
         """Row -> row of the suffix that begins one word earlier."""
         if self.to[side] is None:
-            order = np.argsort(self.texts[side], kind="stable")
+            _, order = _sorted(self.texts[side].astype(np.int64))
             self.to[side] = np.empty(len(order), np.int64)
             self.to[side][order] = np.arange(len(order))
         return self.to[side]
@@ -106,8 +118,7 @@ class Index:
         own = np.repeat(np.arange(len(sizes)), sizes)
         rows = np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + firsts[side][own]
         key = own * self.symbols + self.texts[side][rows]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        key, order = _sorted(key)
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         size = np.diff(np.append(begin, len(key)))
         parent, symbol = key[begin] // self.symbols, key[begin] % self.symbols
@@ -131,15 +142,15 @@ def phrase_key(words: np.ndarray) -> np.ndarray:
 
 
 def key_sql(d: int) -> str:
-    turned = [f"(shiftleft(w{i + 1}, {_TURN * i}) | shiftrightunsigned(w{i + 1}, {64 - _TURN * i}))" if i else "w1" for i in range(d)]
+    """:func:`phrase_key` of the array ``ws``."""
+    turned = [f"(shiftleft(ws[{i}], {_TURN * i}) | shiftrightunsigned(ws[{i}], {64 - _TURN * i}))" if i else "ws[0]" for i in range(d)]
     return " ^ ".join(turned)
 
 
-def _bit_table(frequent: DataFrame, d: int) -> np.ndarray:
-    """Bits of all frequent phrases of d words, and of others; at most MOST_BITS."""
-    n = frequent.count()
-    size = min(MOST_BITS, 1 << max(10, (16 * n).bit_length()))
-    words = (frequent.select(F.expr(f"pmod({key_sql(d)}, {size})").alias("bit")).select(F.expr("bit div 32").alias("w"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("b"))
+def _bit_table(keys: DataFrame) -> np.ndarray:
+    """Bits of all values of ``key``, and of others; at most MOST_BITS."""
+    size = min(MOST_BITS, 1 << max(10, (16 * keys.count()).bit_length()))
+    words = (keys.select(F.expr(f"pmod(key, {size})").alias("bit")).select(F.expr("bit div 32").alias("w"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())  # at most MOST_BITS / 32 rows
     out = np.zeros(size // 32, np.uint32)
     out[words.column("w").to_numpy()] = words.column("b").to_numpy()
@@ -201,39 +212,106 @@ def _record(columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[f.split()[0] for f in _INDEX.split(", ")])
 
 
-def count_phrases(index: DataFrame, d: int, bits: list[np.ndarray]) -> DataFrame:
-    """w1..wd and n (in one shard) of all phrases of d words whose parts of d - 1 words the bit tables hold; ``bits``: of lengths 1..d-1."""
-    shared = index.sparkSession.sparkContext.broadcast(bits)  # each at most MOST_BITS
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes: the empty planes of small ones take no room."""
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
 
+def _shards(index: DataFrame, of_shard, schema: str) -> DataFrame:
+    """What ``of_shard(index, hashes)`` gives for every shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
         for batch in batches:
             for k in range(batch.num_rows):
                 unpack = zstandard.ZstdDecompressor().decompress
                 forward, backward = (np.frombuffer(unpack(batch.column(c)[k].as_py()), np.int32) for c in ("forward", "backward"))
                 hashes = np.frombuffer(unpack(batch.column("hashes")[k].as_py()), np.uint64)
-                yield from _count_shard(Index(forward, backward), hashes, d, tables)
+                yield from of_shard(Index(forward, backward), hashes)
 
-    return index.select("forward", "backward", "hashes").mapInArrow(run, ", ".join(f"w{i + 1} bigint" for i in range(d)) + ", n bigint")
+    return index.select("forward", "backward", "hashes").mapInArrow(run, schema)
 
 
-def _count_shard(index: Index, hashes: np.ndarray, d: int, tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    known = _held(tables[0], hashes)
+def _known(index: Index, hashes: np.ndarray, bits: np.ndarray):
+    """Flags of the frequent words, and the state of all phrases of one such word."""
+    known = _held(bits, hashes)
     known[SEPARATOR] = False
     state = index.words()
-    state = _kept(state, known[state[0][:, 0]])
-    for now in range(2, d + 1):
-        side = now % 2  # to the left for pairs, then in turn
-        state = index.extend(state, side, known)
-        words = hashes[state[0]]
-        if now > 2:  # the part that this step has not come from
-            state = _kept(state, _held(tables[now - 2], phrase_key(words[:, :-1] if side == 0 else words[:, 1:])))
-        if now < d:
-            state = _kept(state, _held(tables[now - 1], phrase_key(hashes[state[0]])))
-    words, sizes = hashes[state[0]].view(np.int64), state[2]
-    for a in range(0, len(sizes), 1 << 16):
-        some = slice(a, a + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(words[some, i])) for i in range(d)] + [pa.array(sizes[some].astype(np.int64))], names=[f"w{i + 1}" for i in range(d)] + ["n"])
+    return known, _kept(state, known[state[0][:, 0]])
+
+
+def likely_pairs(index: DataFrame, words: np.ndarray, parts: int, least: int) -> DataFrame:
+    """Keys (``KEY_BITS`` bits of the phrase key) whose pairs of words of the table ``words`` occur at least ``least`` times together; pairs that share a key
+    count as one, so no frequent pair is missed. A shard sends its sorted keys as packed differences, a row for each part of the key range."""
+    shared, schema = index.sparkSession.sparkContext.broadcast(words), "part bigint, keys binary, counts binary"
+
+    def of_shard(index: Index, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        known, state = _known(index, hashes, shared.value)
+        phrases, _, sizes = index.extend(state, 0, known)
+        keys, order = _sorted((phrase_key(hashes[phrases]) >> np.uint64(64 - KEY_BITS)).astype(np.int64))
+        counts, part = sizes[order], keys * parts >> KEY_BITS
+        begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+        rows = [(int(part[a]), _packed(np.diff(keys[a:b], prepend=0)), _packed(counts[a:b])) for a, b in zip(begin, [*begin[1:], len(part)])]
+        for a in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:a + 256]), (pa.int64(), pa.binary(), pa.binary()))], names=["part", "keys", "counts"])
+
+    def add(key, table):
+        keys = np.concatenate([np.cumsum(_unpacked(x.as_py())) for x in table.column("keys")]).astype(np.int64)
+        counts = np.concatenate([_unpacked(x.as_py()) for x in table.column("counts")])
+        keys, order = _sorted(keys)
+        begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return pa.table({"key": pa.array(keys[begin[np.add.reduceat(counts[order], begin) >= least]], pa.int64())})
+
+    return _shards(index, of_shard, schema).groupBy("part").applyInArrow(add, "key bigint")
+
+
+def count_phrases(index: DataFrame, d: int, longest: int, tables: list[np.ndarray], parts: int, least: int) -> DataFrame:
+    """d, ws (word hashes), f of the frequent phrases of d and, up to ``longest``, d + 1 words. ``tables``: bit tables of words, pairs (by their KEY_BITS
+    keys) and then of each length below d. A shard extends what the tables hold, and sends its sums as packed columns, a row for each length and part of the phrases."""
+    shared = index.sparkSession.sparkContext.broadcast(tables)  # each at most MOST_BITS
+    schema = "d int, part bigint, words binary, counts binary"
+
+    def fits(words: np.ndarray) -> np.ndarray:
+        """Whether all parts of a phrase that the tables know are held: its runs of the greatest such length."""
+        n = min(words.shape[1], len(shared.value))
+        keep = np.ones(len(words), bool)
+        for a in range(words.shape[1] - n + 1):
+            keys = phrase_key(words[:, a:a + n])
+            keep &= _held(shared.value[n - 1], keys >> np.uint64(64 - KEY_BITS) if n == 2 else keys)
+        return keep
+
+    def of_shard(index: Index, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        known, state = _known(index, hashes, shared.value[0])
+        for now in range(2, min(d + 1, longest) + 1):
+            state = index.extend(state, now % 2, known)  # to the left for pairs, then in turn
+            words = hashes[state[0]]
+            keep = fits(words)
+            state, words = _kept(state, keep), words[keep]
+            if now >= d and len(words):
+                part = (phrase_key(words) % np.uint64(parts)).astype(np.int64)
+                part, order = _sorted(part)
+                begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                words, sizes = words[order], state[2][order]
+                rows = [(now, int(part[a]), zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(words[a:b]).tobytes()), _packed(sizes[a:b])) for a, b in zip(begin, [*begin[1:], len(part)])]
+                for a in range(0, len(rows), 256):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:a + 256]), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["d", "part", "words", "counts"])
+
+    def add(key, table):
+        n, unpack = key[0].as_py(), zstandard.ZstdDecompressor().decompress
+        words = np.concatenate([np.frombuffer(unpack(x.as_py()), np.uint64).reshape(-1, n) for x in table.column("words")])
+        counts = np.concatenate([_unpacked(x.as_py()) for x in table.column("counts")])
+        order = np.lexsort(words.T)
+        words = words[order]
+        begin = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)]))
+        sums = np.add.reduceat(counts[order], begin).astype(np.int64)
+        keep = sums >= least
+        words, sums = words[begin[keep]].view(np.int64), sums[keep]
+        ws = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * n, pa.int32()), pa.array(words.ravel()))
+        return pa.table({"d": pa.array(np.full(len(words), n, np.int32)), "ws": ws, "f": pa.array(sums)})
+
+    return _shards(index, of_shard, schema).groupBy("d", "part").applyInArrow(add, "d int, ws array<bigint>, f bigint")
 
 
 def _kept(state, keep: np.ndarray):
@@ -256,14 +334,16 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shard_
         raise RuntimeError("word hashes collide under every salt")
     totals = pin(words.groupBy("lang").agg(F.sum("f").alias("n")))
     frequent = pin(words.where(F.col("f") >= least))
-    index, bits = built.where("w1 is null"), [_bit_table(frequent, 1)]
+    index, all_words = built.where("w1 is null"), totals.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, all_words // PART_WORDS)
     out = frequent.select(F.array("w1").alias("ws"), "f")
-    for d in range(2, longest + 1):
-        names = [f"w{i + 1}" for i in range(d)]
-        found = pin(count_phrases(index, d, bits).groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= least))
-        out = out.unionByName(found.select(F.array(*names).alias("ws"), "f"))
-        if d < longest:
-            bits.append(_bit_table(found, d))
+    tables = [_bit_table(frequent.select(F.col("w1").alias("key")))]
+    if longest > 1:
+        tables.append(_bit_table(pin(likely_pairs(index, tables[0], parts, least))))
+    for d in range(2, longest + 1, 2):
+        found = pin(count_phrases(index, d, longest, tables, parts, least))
+        out = out.unionByName(found.select("ws", "f"))
+        tables += [_bit_table(found.where(F.col("d") == k).select(F.expr(key_sql(k)).alias("key"))) for k in (d, d + 1) if 2 < k < longest]
     return frequent, out, totals
 
 
