@@ -89,6 +89,7 @@ from ..operators.clipped import clipped_pairs  # noqa: E402
 from ..operators.spatial_join import spatial_join  # noqa: E402
 from ..sources import derived as D  # noqa: E402
 from ..sources import geojson as J  # noqa: E402
+from ..sources import layout as LY  # noqa: E402
 from ..sources import loaders as LD  # noqa: E402
 from ..sources import paging as PG  # noqa: E402
 from ..sources.store import TableStore  # noqa: E402
@@ -386,9 +387,14 @@ def src_extract_status(spark, d):
 
 @query("src_bbox_read")
 def src_bbox_read(spark, d):
+    """Buildings stored along the curve, read by the box of the target and secondary zones (one row, known before the scan is planned)."""
     L = Layers(spark, d)
-    extent = Z.target_extent(L.zones_a)
-    return Z.within_envelope(L.buildings, *[extent.select(c).scalar() for c in ("xmin", "ymin", "xmax", "ymax")]).select("bld_id", "floors")
+    path = _store(spark).root + "/buildings"
+    LY.write_layer(L.buildings, path, (D.X0, D.Y0))
+    box = Z.target_extent(L.zones_a).first()
+    if box["xmin"] is None:
+        return L.buildings.where(F.lit(False)).select("bld_id", "floors")
+    return LY.read_box(spark, path, *box, rect_only=True).select("bld_id", "floors")
 
 
 @query("src_feature_count")
