@@ -20,8 +20,17 @@ def check_unique(df: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"duplicate {key} in upsert batch: {dup[0][0]!r}")
 
 
+def unique_or_error(df: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df``; one that repeats a non-null key fails the job that computes it, with the key. No job runs before."""
+    names = df.columns
+    own = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*names)).alias("_row"))
+    message = F.concat(F.lit(f"duplicate {key} in upsert batch: "), F.col(key).cast("string"))
+    checked = F.when(F.col("_n") > 1, F.raise_error(message).cast(own.schema["_row"].dataType)).otherwise(F.col("_row"))
+    return own.select(checked.alias("_row")).select("_row.*").unionByName(df.where(F.col(key).isNull()))
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, update: Sequence[str],
-           check: bool = True) -> DataFrame:
+           check: bool | str = True) -> DataFrame:
     """INSERT new ON CONFLICT(key) DO UPDATE SET <update>.
 
     * keys only in ``old`` are kept unchanged (absent parcels are retained);
@@ -29,8 +38,12 @@ def upsert(old: DataFrame, new: DataFrame, key: str, update: Sequence[str],
       keep every other column (stable ids, first_seen, enrichment);
     * keys only in ``new`` and all NULL-key rows of ``new`` are inserted with
       the columns ``new`` has (others NULL), NULL-key rows of ``old`` stay.
+
+    A key given twice in ``new`` is an error: raised here (``check=True``, one job) or inside the plan (``check="plan"``).
     """
-    if check:
+    if check == "plan":
+        new = unique_or_error(new, key)
+    elif check:
         check_unique(new, key)
     cols = list(old.columns)
     for c in new.columns:

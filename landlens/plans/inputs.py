@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..session import stage_table, tune
+from ..session import ensure_checkpoint_dir, stage_table, tune
 from ..sources import derived as D
 from ..sources import loaders as L
 from ..sources import geojson as J
@@ -117,9 +118,21 @@ class Layers:
                         F.when(F.col("_k") % 7 == 0, F.md5(F.lit("x"))).otherwise(F.col("h")).alias("content_hash"))
         return r1.unionByName(r2)
 
+    @cached_property
+    def last_hashes(self) -> DataFrame:
+        """What the two earlier runs left: the last state, merged run by run."""
+        last = C.LastState(self.spark, f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/landlens-last-{uuid.uuid4().hex}", 16)
+        for k, ts in enumerate((RUN1_TS, RUN2_TS)):
+            rows = self.snapshots.where(F.col("run_ts") == F.lit(ts).cast("timestamp"))
+            if k:
+                last.merge(rows)
+            else:
+                last.start(rows)
+        return last.hashes()
+
     @cached_property
     def changes(self) -> DataFrame:
-        return C.detect_changes(self.scored, self.snapshots)
+        return C.changes_since(self.scored, self.last_hashes)
 
     @cached_property
     def zoning_parsed(self) -> DataFrame:

@@ -31,12 +31,15 @@ def value_counts(features: DataFrame) -> DataFrame:
 
 
 def value_mix(df: DataFrame, col: str, order: str, target: str) -> DataFrame:
-    """Value counts of ``col`` plus the 1-based position (in ``order``) of the
-    first row holding ``target`` (NULL when it never occurs)."""
+    """Value counts of ``col`` plus the 1-based position (by ``order``, nulls last) of the first row holding
+    ``target`` (NULL when it never occurs). Among rows of equal order the target's come first. Nothing runs while the plan is built: the
+    position is one aggregation by order value below the target's first, as a scalar subquery."""
     counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    first = df.where(F.col(col) == target).agg(F.min(order).alias("k")).first()["k"]
-    pos = None if first is None else df.where(F.col(order) <= first).count()
-    return counts.withColumn("first_pos", F.when(F.col("value") == target, F.lit(pos).cast("bigint")))
+    hit = df.where(F.col(col) == target)
+    first = hit.agg(F.min(order).alias("k")).select("k").scalar()
+    occurs = hit.agg(F.count(F.lit(1)).alias("n")).select("n").scalar() > 0
+    before = df.agg(F.count_if(F.when(first.isNull(), F.col(order).isNotNull()).otherwise(F.col(order) < first)).alias("n")).select("n").scalar()
+    return counts.withColumn("first_pos", F.when((F.col("value") == target) & occurs, before + 1).cast("bigint"))
 
 
 def crs_of(features: DataFrame, geom: str = "geom") -> DataFrame:

@@ -88,6 +88,7 @@ from ..operators import state as S  # noqa: E402
 from ..operators.clipped import clipped_pairs  # noqa: E402
 from ..operators.spatial_join import spatial_join  # noqa: E402
 from ..sources import derived as D  # noqa: E402
+from ..sources.bucketed import BucketedTable  # noqa: E402
 from ..sources import geojson as J  # noqa: E402
 from ..sources import layout as LY  # noqa: E402
 from ..sources import loaders as LD  # noqa: E402
@@ -455,8 +456,13 @@ def _upsert_inputs(L):
 
 @query("snk_upsert_parcel")
 def snk_upsert_parcel(spark, d):
+    """The table in key-hash buckets; the batch is merged twice, as by a job that is tried again: the second time changes nothing."""
     old, new = _upsert_inputs(Layers(spark, d))
-    return S.upsert(old, new, "egrid", ["area_m2", "commune_bfs", "commune_name", "parcel_no"])
+    table = BucketedTable(spark, _store(spark).root + "/parcel", "egrid")
+    table.create(old)
+    for _ in range(2):
+        table.upsert(new, ["area_m2", "commune_bfs", "commune_name", "parcel_no"])
+    return table.read()
 
 
 def _refreshed_restrictions(L):
@@ -466,7 +472,12 @@ def _refreshed_restrictions(L):
 
 @query("snk_replace_keys")
 def snk_replace_keys(spark, d):
-    return _refreshed_restrictions(Layers(spark, d)).select("egrid", "theme_code", "legal_state")
+    L = Layers(spark, d)
+    keys = L.pin(L.shortlist.select("egrid"))
+    table = BucketedTable(spark, _store(spark).root + "/restrictions", "egrid")
+    table.create(L.restrictions)
+    table.replace_keys(J.flatten_extracts(L.extracts.join(keys, "egrid", "left_semi")), keys)
+    return table.read().select("egrid", "theme_code", "legal_state")
 
 
 @query("join_key_list")
@@ -622,7 +633,8 @@ def content_hash(spark, d):
 
 @query("latest_snapshot")
 def latest_snapshot(spark, d):
-    return C.latest(Layers(spark, d).snapshots)
+    """From the last state, merged run by run."""
+    return Layers(spark, d).last_hashes
 
 
 @query("topn_shortlist")

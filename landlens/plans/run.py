@@ -7,7 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..operators import state as S
+from ..session import stage_table
 from . import changes as C
 from . import parcels as P
 
@@ -31,9 +33,15 @@ def parcel_run(prior: DataFrame | None, raw_parcels: DataFrame, zoning: DataFram
     ts = F.lit(run_ts).cast("timestamp_ntz")
     new = (P.base_parcels(raw_parcels).where(F.col("egrid").isNotNull())
            .withColumns({"last_updated": ts, "first_seen": ts, "parcel_uid": F.sha2(F.col("pkey"), 256)}))
-    held = new if prior is None else S.upsert(prior, new, "egrid", UPDATED, check=False)
-    base = held.select("pkey", "egrid", "source_id", "commune_bfs", "commune_name", "parcel_no", "shape", "area_m2", "first_seen", "last_updated", "parcel_uid")
-    scored = P.score(P.enrich(base, zoning, planning, forest, buildings, restrictions)).drop("score_raw", "score_zeroed")
+    held = S.unique_or_error(new, "egrid") if prior is None else S.upsert(prior, new, "egrid", UPDATED, check="plan")
+    # staged: the overlay and the neighbour join count boxes by cell before they run
+    base = stage_table(held.select("pkey", "egrid", "source_id", "commune_bfs", "commune_name", "parcel_no", "shape", "area_m2", "first_seen", "last_updated", "parcel_uid"))
+    if G.is_rect_only(raw_parcels):
+        base = G.mark_rect_only(base)
+    enriched = stage_table(P.enrich(base, zoning, planning, forest, buildings, restrictions))
+    if G.is_rect_only(base):
+        enriched = G.mark_rect_only(enriched)
+    scored = P.score(enriched).drop("score_raw", "score_zeroed")
     if prior is not None:  # UPDATE ... FROM leaves rows without a match alone
         zone = ["zone_type", "primary_use", "is_building_zone", "dominant_zone_id"]
         old = prior.select(F.col("egrid").alias("_e"), *[F.col(c).alias(f"_old_{c}") for c in zone])

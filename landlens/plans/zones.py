@@ -6,11 +6,12 @@ DataFrame; correlated spatial sub-queries become one overlay per phase.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import rules as R
+from ..session import stage_table
 from ..operators.overlay import any_hit, count_hits, is_kind, overlay_summary, sum_overlap
 
 ZONE_CELL = 128.0
@@ -22,22 +23,22 @@ PHASE_B_DEFAULTS = {"n_buildings": "bigint", "built_footprint_m2": "double",
 PHASE_B_ZEROS = ("n_buildings", "n_raisable", "built_footprint_m2", "built_floor_area_m2")
 
 
-def zone_key() -> Column:
-    """Row key of a zone: its id alone may be empty or given twice, so the shape and, for equal
-    zones, their number among equals belong to it."""
-    own = F.concat_ws("#", F.coalesce(F.col("zone_id"), F.lit("")), F.hex(F.xxhash64("shape")))
-    again = F.row_number().over(Window.partitionBy("zone_id", F.xxhash64("shape")).orderBy(F.lit(0)))
-    return F.when(again == 1, own).otherwise(F.concat_ws("#", own, again))
-
-
 def zone_base(zoning: DataFrame) -> DataFrame:
-    """Building zones with geometry -> zone_opportunity base rows."""
-    return (zoning.where(F.col("is_building_zone") & F.col("shape").isNotNull())
-            .select(zone_key().alias("zone_uid"), "zone_id", "commune_bfs",
-                    F.col("hauptnutzung").alias("commune_name"), F.col("typ_kt").alias("zone_type"),
-                    F.col("hauptnutzung").alias("primary_use"), "zone_code", "height_limit_m",
-                    "density_indice", "shape", F.col("shape.area").alias("area_m2"),
-                    F.col("shape.nparts").alias("n_parts")))
+    """Building zones with geometry -> zone_opportunity base rows.
+
+    The row key is the zone's id (it may be empty or given twice), a hash of the whole row and, for the copies of a row, their number: equal rows are counted
+    and dealt out again, so the keys are the same in any order of the input, and no group of equal zones meets in a window."""
+    names = [c for c in ("zone_id", "commune_bfs", "typ_kt", "hauptnutzung", "is_building_zone", "zone_code", "height_limit_m", "density_indice", "shape") if c in zoning.columns]
+    once = (zoning.where(F.col("is_building_zone") & F.col("shape").isNotNull()).groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)"))))
+    key = F.concat_ws("#", F.coalesce(F.col("zone_id"), F.lit("")), F.hex(F.xxhash64(*names)), F.when(F.col("_copy") > 1, F.col("_copy").cast("string")))
+    if G.is_rect_only(zoning):
+        once = G.mark_rect_only(once)
+    return once.select(key.alias("zone_uid"), "zone_id", "commune_bfs",
+                       F.col("hauptnutzung").alias("commune_name"), F.col("typ_kt").alias("zone_type"),
+                       F.col("hauptnutzung").alias("primary_use"), "zone_code", "height_limit_m",
+                       "density_indice", "shape", F.col("shape.area").alias("area_m2"),
+                       F.col("shape.nparts").alias("n_parts"))
 
 
 def _trim_list(col: Column) -> Column:
@@ -140,12 +141,17 @@ def phase_b(zones_a: DataFrame, buildings: DataFrame, raisable: DataFrame,
 
     Buildings are read only inside the envelope (given, or that of target/secondary zones). With
     no such zone, or no building inside the envelope, the zones keep their
-    Phase A scores; ``phase_b_applied`` says which. Envelope and emptiness are
-    scalar subqueries, so nothing runs while the plan is built.
+    Phase A scores; ``phase_b_applied`` says which. The envelope is one row, and the buildings inside it a stage table, each made once
+    before the overlay is planned; the zones' Phase A values ride along.
     """
-    extent = target_extent(zones_a)
-    bld = within_envelope(buildings, *(envelope or [extent.select(c).scalar() for c in ("xmin", "ymin", "xmax", "ymax")]))
+    box = envelope or target_extent(zones_a).first()
+    if box[0] is None:
+        bld = buildings.where(F.lit(False))
+    else:
+        bld = stage_table(within_envelope(buildings, *box))
+        bld = G.mark_rect_only(bld) if G.is_rect_only(buildings) else bld
     applied = bld.agg(F.count(F.lit(1)) > 0).scalar()
+    zones_a = zones_a.withColumns({"_a_opportunity_score": F.col("opportunity_score"), "_a_score_reasons": F.col("score_reasons")})
 
     ov, fl = F.col("overlap_m2"), F.col("floors")
     b = is_kind("bld")
@@ -184,9 +190,8 @@ def phase_b(zones_a: DataFrame, buildings: DataFrame, raisable: DataFrame,
                       .otherwise(F.col("opportunity_score")))
          .withColumn("score_reasons", reasons_b()))
     names = [*PHASE_B_DEFAULTS, "opportunity_score", "score_reasons"]
-    kept = with_phase_b_defaults(zones_a).select(F.col("zone_uid"), *[F.col(c).alias(f"_a_{c}") for c in ("opportunity_score", "score_reasons")])
     plain = {c: F.lit(0.0 if t == "double" else 0).cast(t) if c in PHASE_B_ZEROS else F.lit(None).cast(t) for c, t in PHASE_B_DEFAULTS.items()}
-    z = z.join(kept, "zone_uid").withColumn("phase_b_applied", applied)
+    z = z.withColumn("phase_b_applied", applied)
     for c in names:
         z = z.withColumn(c, F.when(F.col("phase_b_applied"), F.col(c)).otherwise(plain[c] if c in plain else F.col(f"_a_{c}")))
     return z.drop("_a_opportunity_score", "_a_score_reasons")

@@ -128,7 +128,8 @@ def test_store_keep_on_failure_and_idempotent_append(spark, tmp_path):
     good = spark.range(5).withColumn("v", F.lit("ok"))
     st.replace(good, "t")
     bad = spark.range(5).withColumn("v", F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))).otherwise("x"))
-    assert st.try_replace(bad, "t") is False
+    with pytest.raises(Exception, match="boom"):
+        st.replace(bad, "t")
     assert {r["v"] for r in st.read("t").collect()} == {"ok"}
     st.append(good, "log", "r1")
     st.append(good, "log", "r1")
