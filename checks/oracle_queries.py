@@ -176,7 +176,23 @@ SELECT id, CASE WHEN deg THEN {_E} ELSE lon END AS x0, CASE WHEN deg THEN {_N} E
               ELSE 1110000.0::DOUBLE + (p_partkey // 20) * 60 END AS lat
   FROM part)""")
 proj("geo_intersects", "egrid, zone_id", "zone_parcel")
-proj("geo_overlap_area", "egrid, zone_id, floor(overlap_m2 * 1000 + 0.500001) / 1000 AS overlap_m2", "zone_parcel")
+proj("geo_overlap_area", "egrid, zone_id, floor(overlap_m2 * 1000 + 0.51) / 1000 AS overlap_m2", "zone_parcel")
+def millis(*names: str) -> str:
+    return ", ".join(f"floor({n} * 1000 + 0.51) / 1000 AS {n}" for n in names)
+
+
+proj("job_full_run", f"zone_id, commune_bfs, zone_tier, n_parts, in_planning_zone, n_buildings, n_raisable, score_reasons, {millis('area_m2', 'forest_overlap_m2', 'developable_m2', 'built_footprint_m2', 'built_floor_area_m2', 'utilisation_pct', 'opportunity_score')}", "landed_zones_b")
+proj("job_full_run_parcels", f"egrid, source_id, commune_bfs, dominant_zone_id, is_building_zone, in_planning_zone, oereb_checked, oereb_blocking, {millis('forest_overlap_m2', 'building_footprint_m2', 'developable_m2', 'opportunity_score')}", "landed_scored")
+oracle("src_load_report", """
+WITH n AS (SELECT 'parcels' AS layer, count(*) AS f, count(DISTINCT CAST(source_id AS BIGINT) // 40) AS p FROM parcels
+  UNION ALL SELECT 'buildings', count(*), count(DISTINCT CAST(split_part(bld_id, '-', 1) AS BIGINT) // 40) FROM buildings
+  UNION ALL SELECT 'raisable', count(*), count(DISTINCT objectid // 100) FROM raisable
+  UNION ALL SELECT 'planning', count(*), count(DISTINCT CAST(pz_id AS BIGINT) // 40) FROM planning
+  UNION ALL SELECT 'forest', count(*), count(DISTINCT CAST(fg_id AS BIGINT) // 40) FROM forest),
+z AS (SELECT DISTINCT page_no FROM zparsed_all)
+SELECT layer, 'page ok' AS status, p AS n FROM n UNION ALL SELECT layer, 'feature ok', f FROM n
+UNION ALL SELECT 'zoning', 'page ok', count(*) FROM z UNION ALL SELECT 'zoning', 'page corrupt', count(*) FROM z WHERE page_no % 3 = 0
+UNION ALL SELECT 'zoning', 'feature ' || status, count(*) FROM zparsed_all GROUP BY status""", "parcels", "buildings", "raisable", "planning", "forest", "zparsed_all")
 oracle("geo_dwithin", """
 SELECT a.egrid, b.egrid AS other_egrid FROM parcels a JOIN parcels b
   ON a.egrid <> b.egrid AND b.xmin <= a.xmax + 0.5 AND a.xmin - 0.5 <= b.xmax AND b.ymin <= a.ymax + 0.5 AND a.ymin - 0.5 <= b.ymax

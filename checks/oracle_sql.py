@@ -8,6 +8,8 @@ Fragments are CTEs; ``sql(body, *needs)`` prepends the transitive closure.
 
 from __future__ import annotations
 
+import re
+
 X0, Y0 = "2500000.0::DOUBLE", "1110000.0::DOUBLE"
 
 
@@ -384,31 +386,35 @@ cte("zparsed", ("zparsed_all",), """
 SELECT *, CASE form WHEN 'bow' THEN [{'a': 0.0, 'b': 0.5, 'ha': 1.0, 'hb': 0.0}, {'a': 0.5, 'b': 1.0, 'ha': 0.0, 'hb': 1.0}]
        WHEN 'twice' THEN [{'a': 0.0, 'b': 0.25, 'ha': 1.0, 'hb': 0.0}, {'a': 0.25, 'b': 0.5, 'ha': 0.0, 'hb': 1.0},
                           {'a': 0.5, 'b': 0.75, 'ha': 1.0, 'hb': 0.0}, {'a': 0.75, 'b': 1.0, 'ha': 0.0, 'hb': 1.0}] END AS band
-FROM (SELECT zone_id, page_no, gtype, zone_code, height_limit_m, commune_bfs, is_building_zone, form, ymin, ymax, xmin,
+FROM (SELECT zone_id, page_no, gtype, zone_code, height_limit_m, density_indice, commune_bfs, typ_kt, hauptnutzung, is_building_zone, form, ymin, ymax, xmin,
        CASE WHEN form IN ('whole', 'coll') THEN xmax ELSE p1x2 END AS xmax, p1x1, p1x2,
        CASE WHEN form IN ('whole', 'coll') THEN p2x1 END AS p2x1, CASE WHEN form IN ('whole', 'coll') THEN p2x2 END AS p2x2,
        CASE WHEN form IN ('whole', 'coll') THEN n_parts WHEN form = 'bow' THEN 2 WHEN form = 'twice' THEN 3 ELSE 1 END AS n_parts,
        CASE WHEN form IN ('whole', 'coll') THEN area_m2 ELSE (p1x2 - p1x1) * (ymax - ymin) * CASE WHEN form IN ('bow', 'twice') THEN 0.5::DOUBLE WHEN form IN ('ell', 'holed') THEN 0.75 ELSE 1 END END AS area_m2
       FROM zparsed_all WHERE status <> 'rejected')""")
 
-# Parcels against parsed zones of every form: whether they meet (closed), and the common area.
-cte("zone_parcel", ("parcels", "zparsed"), f"""
-WITH c AS (SELECT p.egrid, z.zone_id, z.form, p.xmin AS px1, p.ymin AS py1, p.xmax AS px2, p.ymax AS py2, z.p1x1 AS x1, z.p1x2 AS x2, z.ymin AS y1, z.ymax AS y2,
+def form_pairs(layer: str, key: str) -> str:
+    """A layer of rectangles against parsed zones of every form: key, zone_id and common area of those that meet (closed)."""
+    return f"""
+WITH c AS (SELECT p.{key}, z.zone_id, z.form, p.xmin AS px1, p.ymin AS py1, p.xmax AS px2, p.ymax AS py2, z.p1x1 AS x1, z.p1x2 AS x2, z.ymin AS y1, z.ymax AS y2,
     (z.ymin + z.ymax) / 2 AS ym, (z.ymax - z.ymin) / 2 AS half, z.band, {zone_meets('z', 'p')} AS box_meets, {zone_ov('z', 'p')} AS box_area
-  FROM parcels p JOIN zparsed z ON {BBOX_JOIN.format(a='p', b='z')}),
-b AS (SELECT egrid, zone_id, px1, px2, py1, py2, ym, x1 + (x2 - x1) * t.a AS a, x1 + (x2 - x1) * t.b AS b, half * t.ha AS ha, half * t.hb AS hb FROM (SELECT *, unnest(band) AS t FROM c WHERE band IS NOT NULL)),
+  FROM {layer} p JOIN zparsed z ON {BBOX_JOIN.format(a='p', b='z')}),
+b AS (SELECT {key}, zone_id, px1, px2, py1, py2, ym, x1 + (x2 - x1) * t.a AS a, x1 + (x2 - x1) * t.b AS b, half * t.ha AS ha, half * t.hb AS hb FROM (SELECT *, unnest(band) AS t FROM c WHERE band IS NOT NULL)),
 e AS (SELECT *, greatest(a, px1) AS lo, least(b, px2) AS hi FROM b WHERE greatest(a, px1) <= least(b, px2)),
 k AS (SELECT *, list_sort([lo, hi, least(greatest(a + (abs(py1 - ym) - ha) / (hb - ha) * (b - a), lo), hi), least(greatest(a + (abs(py2 - ym) - ha) / (hb - ha) * (b - a), lo), hi)]) AS xs,
     greatest(ha * (b - a) + (hb - ha) * (lo - a), ha * (b - a) + (hb - ha) * (hi - a)) >= greatest(py1 - ym, ym - py2) * (b - a) AS hit FROM e),
 h AS (SELECT *, list_transform(xs, lambda x: greatest(least(py2, ym + ha + (hb - ha) * (x - a) / (b - a)) - greatest(py1, ym - ha - (hb - ha) * (x - a) / (b - a)), 0)) AS g FROM k),
-w AS (SELECT egrid, zone_id, bool_or(hit) AS hit, sum(list_sum(list_transform([1, 2, 3], lambda i: (xs[i + 1] - xs[i]) * (g[i] + g[i + 1]) / 2))) AS area FROM h GROUP BY ALL),
+w AS (SELECT {key}, zone_id, bool_or(hit) AS hit, sum(list_sum(list_transform([1, 2, 3], lambda i: (xs[i + 1] - xs[i]) * (g[i] + g[i + 1]) / 2))) AS area FROM h GROUP BY ALL),
 q AS (SELECT *, (x1 + x2) / 2 AS xm, x1 + (x2 - x1) / 4 AS hx1, x1 + (x2 - x1) * 3 / 4 AS hx2, y1 + (y2 - y1) / 4 AS hy1, y1 + (y2 - y1) * 3 / 4 AS hy2 FROM c WHERE form IN ('ell', 'holed'))
-SELECT egrid, zone_id, box_area AS overlap_m2 FROM c WHERE form NOT IN ('bow', 'twice', 'ell', 'holed') AND box_meets
-UNION ALL SELECT egrid, zone_id, area FROM w WHERE hit
-UNION ALL SELECT egrid, zone_id, greatest(least(x2, px2) - greatest(x1, px1), 0) * greatest(least(ym, py2) - greatest(y1, py1), 0) + greatest(least(xm, px2) - greatest(x1, px1), 0) * greatest(least(y2, py2) - greatest(ym, py1), 0)
+SELECT {key}, zone_id, box_area AS overlap_m2 FROM c WHERE form NOT IN ('bow', 'twice', 'ell', 'holed') AND box_meets
+UNION ALL SELECT {key}, zone_id, area FROM w WHERE hit
+UNION ALL SELECT {key}, zone_id, greatest(least(x2, px2) - greatest(x1, px1), 0) * greatest(least(ym, py2) - greatest(y1, py1), 0) + greatest(least(xm, px2) - greatest(x1, px1), 0) * greatest(least(y2, py2) - greatest(ym, py1), 0)
   FROM q WHERE form = 'ell' AND (py1 <= ym OR px1 <= xm)
-UNION ALL SELECT egrid, zone_id, box_area - greatest(least(hx2, px2) - greatest(hx1, px1), 0) * greatest(least(hy2, py2) - greatest(hy1, py1), 0)
-  FROM q WHERE form = 'holed' AND NOT (px1 > hx1 AND px2 < hx2 AND py1 > hy1 AND py2 < hy2)""")
+UNION ALL SELECT {key}, zone_id, box_area - greatest(least(hx2, px2) - greatest(hx1, px1), 0) * greatest(least(hy2, py2) - greatest(hy1, py1), 0)
+  FROM q WHERE form = 'holed' AND NOT (px1 > hx1 AND px2 < hx2 AND py1 > hy1 AND py2 < hy2)"""
+
+
+cte("zone_parcel", ("parcels", "zparsed"), form_pairs("parcels", "egrid"))
 
 # --------------------------------------------------------------------------
 # loader inputs (feature property rules) and extracts
@@ -466,6 +472,32 @@ _variant("signals2", "signals", {"FROM enriched e": "FROM enriched2 e"}, ("enric
 _variant("scored2", "scored", {"FROM signals s": "FROM signals2 s"}, ("signals2",))
 
 
+# --------------------------------------------------------------------------
+# both products from landed documents: the same rules over parsed zones and extracts
+# --------------------------------------------------------------------------
+# building ids repeat: rows are numbered by their values, equal rows being interchangeable
+cte("bld_rows", ("buildings",), "SELECT *, row_number() OVER (ORDER BY bld_id, floors, xmin, ymin, xmax, ymax) AS bld_row FROM buildings")
+for _layer, _key in (("forest", "fg_id"), ("planning", "pz_id"), ("bld_rows", "bld_row"), ("raisable", "objectid")):
+    cte(f"zone_{_layer}", (_layer, "zparsed"), form_pairs(_layer, _key))
+_OWN = {
+    "zbase": (("zparsed",), CTE["zbase"][1].replace("FROM zoning", "FROM zparsed")),
+    "z_forest": (("zone_forest",), "SELECT zone_id, sum(overlap_m2) AS s FROM zone_forest GROUP BY zone_id"),
+    "z_plan": (("zone_planning",), "SELECT DISTINCT zone_id FROM zone_planning"),
+    "z_bld": (("zone_bld_rows", "bld_rows", "envelope"), """
+SELECT p.zone_id, count(*) AS n_buildings, sum(p.overlap_m2) AS footprint, sum(p.overlap_m2 * coalesce(nullif(b.floors, 0), 2)) AS floor_area, avg(nullif(b.floors, 0)) AS avg_floors
+FROM zone_bld_rows p JOIN bld_rows b USING (bld_row) JOIN envelope e ON b.xmin <= e.xmax AND b.xmax >= e.xmin AND b.ymin <= e.ymax AND b.ymax >= e.ymin GROUP BY p.zone_id"""),
+    "z_rais": (("zone_raisable",), "SELECT zone_id, count(*) AS n FROM zone_raisable GROUP BY zone_id"),
+    "pz_pairs": (("zone_parcel", "zparsed"), "SELECT p.egrid, zone_id, z.typ_kt, z.hauptnutzung, z.is_building_zone, p.overlap_m2 FROM zone_parcel p JOIN zparsed z USING (zone_id)"),
+    "p_flags": (("flat_extracts",), CTE["p_flags"][1].replace("FROM restrictions", "FROM flat_extracts")),
+}
+_CHAIN = ["zbase", "z_forest", "z_plan", "za2", "za_points", "za_reasons", "zones_a", "envelope", "z_bld", "z_rais", "zb1", "zb2", "zb3", "zb_reasons", "zb_blend", "zones_b",
+          "pz_pairs", "dominant", "p_flags", "enriched", "adjacent", "signals", "scored"]
+for _name in _CHAIN:
+    _needs, _body = _OWN.get(_name, CTE[_name])
+    _renamed = lambda text: re.sub(r"\b(" + "|".join(_CHAIN) + r")\b", r"landed_\1", text)
+    cte(f"landed_{_name}", tuple(map(_renamed, _needs)), _renamed(_body))
+
+
 def sql(body: str, *needs: str) -> str:
     order: list[str] = []
 

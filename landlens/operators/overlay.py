@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..session import stage_table
+from .clipped import clipped_pairs
 from .spatial_join import spatial_join
 
 KIND = "_kind"
@@ -58,8 +60,12 @@ def overlay_summary(targets: DataFrame, key: str, layers: Mapping[str, DataFrame
     left = targets.select(key, F.col(shape).alias("_tshape"))
     if G.is_rect_only(targets, shape):
         left = G.mark_rect_only(left, "_tshape")
-    pairs = spatial_join(left, right,
-                         left_shape="_tshape", right_shape="shape", with_overlap=True, cell=cell)
+    if G.is_rect_only(left, "_tshape") and G.is_rect_only(right):
+        pairs = spatial_join(left, right,
+                             left_shape="_tshape", right_shape="shape", with_overlap=True, cell=cell)
+    else:  # shapes of any form and size, cut along the cells
+        right = stage_table(right.withColumn("_rid", F.monotonically_increasing_id()))
+        pairs = clipped_pairs(stage_table(left), right, key, "_rid", cell, "_tshape", "shape").join(right.drop("shape"), "_rid")
     summary = pairs.groupBy(key).agg(*aggs)
     return targets.join(summary, key, "left") if join_back else summary
 

@@ -183,4 +183,5 @@ def uncross(geom: Column) -> Column:
             out.append([[[{"x": x, "y": y} for x, y in r.tolist()] for r in rings] for rings in parts] if crossed else None)
         return pa.array(out, kind)
 
-    return fix(geom)
+    # Said to be not deterministic so that no filter above is rewritten to call it, and it runs once a row.
+    return fix.asNondeterministic()(geom)

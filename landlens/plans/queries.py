@@ -95,6 +95,7 @@ from ..sources import loaders as LD  # noqa: E402
 from ..sources import paging as PG  # noqa: E402
 from ..sources.store import TableStore  # noqa: E402
 from . import changes as C  # noqa: E402
+from . import landed as LA  # noqa: E402
 from . import parcels as P  # noqa: E402
 from . import profile as PR  # noqa: E402
 from . import reports as RP  # noqa: E402
@@ -345,7 +346,7 @@ def geo_intersects(spark, d):
 @query("geo_overlap_area")
 def geo_overlap_area(spark, d):
     """To the millimetre squared: slanted edges are cut in other places than the whole shape's, so sums differ in their last bits."""
-    return _zone_pairs(Layers(spark, d)).select("egrid", "zone_id", (F.floor(F.col("overlap_m2") * 1000 + 0.500001) / 1000).alias("overlap_m2"))
+    return _zone_pairs(Layers(spark, d)).select("egrid", "zone_id", (F.floor(F.col("overlap_m2") * 1000 + 0.51) / 1000).alias("overlap_m2"))
 
 
 @query("geo_dwithin")
@@ -701,6 +702,42 @@ def job_restriction_refresh(spark, d):
         "egrid", "oereb_checked", "oereb_blocking", "signal_assembly", "opportunity_score")
 
 
+def _millis(name: str) -> F.Column:
+    """To a thousandth; halves, and what errors of 0.00001 make of them, go up."""
+    return (F.floor(F.col(name) * 1000 + 0.51) / 1000).alias(name)
+
+
+def _landed_run(spark, d, mode: str = "full"):
+    folder = _store(spark).root + "/landing"
+    LA.land(spark, d, folder)
+    out = LA.run(spark, "full", folder)
+    return out if mode == "full" else LA.run(spark, mode, raw=out.raw)
+
+
+@query("job_full_run")
+def job_full_run(spark, d):
+    """Zones after both phases, from landed pages of all layers."""
+    z = _landed_run(spark, d).zones
+    return z.select("zone_id", "commune_bfs", "zone_tier", "n_parts", _millis("area_m2"), _millis("forest_overlap_m2"), "in_planning_zone", _millis("developable_m2"), "n_buildings",
+                    _millis("built_footprint_m2"), _millis("built_floor_area_m2"), "n_raisable", _millis("utilisation_pct"), _millis("opportunity_score"), "score_reasons")
+
+
+@query("job_full_run_parcels")
+def job_full_run_parcels(spark, d):
+    """Scored parcels of a refresh of the short list's restrictions, after a full run from landed pages and extracts."""
+    p = _landed_run(spark, d, "oereb").parcels
+    return p.select("egrid", "source_id", "commune_bfs", "dominant_zone_id", "is_building_zone", "in_planning_zone", _millis("forest_overlap_m2"), _millis("building_footprint_m2"),
+                    _millis("developable_m2"), "oereb_checked", "oereb_blocking", _millis("opportunity_score"))
+
+
+@query("src_load_report")
+def src_load_report(spark, d):
+    """Every landed page and feature by what became of it."""
+    folder = _store(spark).root + "/landing"
+    LA.land(spark, d, folder)
+    return LA.load_report(spark, folder)
+
+
 @query("job_guard_empty_layer")
 def job_guard_empty_layer(spark, d):
     """Phase B with an empty building layer is skipped: Phase A scores stay."""
