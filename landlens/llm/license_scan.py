@@ -119,7 +119,7 @@ def _blanks(c: Column) -> Column:
 
 
 def _detections(words: Column) -> Column:
-    """array<struct<start, end, priority, label>>, end exclusive, of all rules but the base ones; unordered."""
+    """For each anchor word, in order, array<struct<start, end, priority, label>>, end exclusive, of all rules but the base ones."""
     anchors = sorted({r[0] for r in rules()})
     at = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda x: x["w"].isin(anchors))
 
@@ -140,24 +140,28 @@ def _detections(words: Column) -> Column:
 
         return F.transform(fit, span)
 
-    return F.flatten(F.transform(F.transform(at, around), found))
+    return F.transform(F.transform(at, around), found)
 
 
 def _surviving(found: Column) -> Column:
-    """Interval containment in one pass: by start, longest first, best priority first; running ends by priority."""
-    ordered = F.transform(F.array_sort(F.transform(F.array_distinct(found), lambda d: F.struct(
-        d["start"].alias("start"), (-d["end"]).alias("back"), d["priority"].alias("priority"), d["label"].alias("label")))),
-        lambda d: F.struct(d["start"].alias("start"), (-d["back"]).alias("end"), d["priority"].alias("priority"), d["label"].alias("label")))
-    kind = "struct<start:int,end:int,priority:int,label:string>"
-    zero = F.struct(F.lit(0).alias("e1"), F.lit(0).alias("e2"), F.lit(0).alias("e3"), F.array().cast(f"array<{kind}>").alias("kept"))
-
-    def step(acc: Column, d: Column) -> Column:
-        inside = F.when(d["priority"] == 1, acc["e1"]).when(d["priority"] == 2, F.greatest(acc["e1"], acc["e2"])).otherwise(F.greatest(acc["e1"], acc["e2"], acc["e3"])) >= d["end"]
-        reach = lambda p, old: F.when(d["priority"] == p, F.greatest(old, d["end"])).otherwise(old)
-        return F.struct(reach(1, acc["e1"]).alias("e1"), reach(2, acc["e2"]).alias("e2"), reach(3, acc["e3"]).alias("e3"),
-                        F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"))
-
-    return F.aggregate(ordered, zero, step, lambda acc: acc["kept"])
+    """Detections that no other contains with at least its priority (of equal ones the first label), sorted, each once. A span lies within BEFORE and AFTER words of
+    its anchor, so only those of so many anchors around can contain it: the work is linear in the anchors."""
+    reach = BEFORE + AFTER
+
+    def beats(e: Column, d: Column) -> Column:
+        same = (e["start"] == d["start"]) & (e["end"] == d["end"]) & (e["priority"] == d["priority"])
+        around = (e["start"] <= d["start"]) & (d["end"] <= e["end"]) & (e["priority"] <= d["priority"])
+        return around & (~same | (e["label"] < d["label"]))
+
+    def kept(all_: Column) -> Column:
+        def at(own: Column, k: Column) -> Column:
+            near = F.when(F.size(own) > 0, F.flatten(F.slice(all_, F.greatest(k - reach + 1, F.lit(1)), F.lit(2 * reach + 1))))
+            return F.transform(F.array(near), lambda n: F.filter(own, lambda d: ~F.exists(n, lambda e: beats(e, d))))[0]
+        return F.sort_array(F.flatten(F.transform(all_, at)))
+
+    once = lambda x: F.filter(x, lambda d, i: (i == 0) | (d != F.get(x, i - 1)))
+    # one-element arrays bind what is named several times
+    return F.transform(F.transform(F.array(found), kept), once)[0]
 
 
 def _base(words: Column) -> Column:

@@ -62,3 +62,24 @@ def test_there_are_hundreds_of_rules():
 
 def test_empty_table(spark):
     assert M.scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_very_many_detections_in_one_text(spark):
+    """The time grows with the detections, not with their square; the figure for 100,000 repeats is in README."""
+    import time
+
+    text, took = "the mit license ", {}
+    for n in (10, 2_000, 8_000):
+        began = time.time()
+        r = M.scan(frame(spark, [(1, text * n, *[None] * 7)], 1)).collect()[0]
+        took[n] = time.time() - began
+        assert r["n_words"] == 3 * n and len(r["base"]) == n and len(r["detections"]) == 2 * n - 1 and r["labels"] == ["mit"]
+    assert took[8_000] - took[10] < 5 * max(took[2_000] - took[10], 4)
+
+
+def test_overlap_and_priority(spark):
+    """The best of overlapping detections stays; equal ones by label."""
+    rows = ["the gnu general public license version 3 only", "mit license license mit", "spdx license identifier mit license", "licensed under the apache license version 2 0"]
+    for r in M.scan(frame(spark, [(i, t, *[None] * 7) for i, t in enumerate(rows)], 1), carry=("text",)).collect():
+        _, _, kept, labels, _ = brute(r["text"])
+        assert sorted((d["start"], d["end"], d["priority"], d["label"]) for d in r["detections"]) == kept and r["labels"] == labels
