@@ -1,13 +1,14 @@
 """Physical-plan properties that must hold at any scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from landlens.plans.queries import QUERIES
 
 D = "/root/testdata/sf0.001"
 SPATIAL = ["job_enrich_parcels", "job_score_parcels", "job_zone_phase_a", "job_zone_phase_b",
            "geo_overlap_area", "geo_dwithin", "geo_contains", "join_spatial_inner", "join_dwithin_self",
-           "job_restriction_refresh", "job_detect_changes", "snk_upsert_parcel"]
+           "job_restriction_refresh", "job_detect_changes"]
 
 
 def plan(df):
@@ -24,6 +25,14 @@ def test_no_nested_loop_or_cartesian(spark, monkeypatch, name):
     assert "Join" in p, name
 
 
+def test_upsert_joins_on_the_key(spark):
+    """The merge inside a bucketed upsert (the query itself ends in the stored table)."""
+    from landlens.operators import state as S
+    old, new = (spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")) for n in (50, 60))
+    p = plan(S.upsert(old, new, "k", ["v"], check="plan"))
+    assert "Join" in p and "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
 def test_building_read_is_narrow(spark):
     """Only the columns the building layer needs are read; the envelope is a subquery of the same plan."""
     from landlens.plans.inputs import Layers
