@@ -11,7 +11,7 @@ from landlens.operators import nearby
 from landlens.operators.spatial_join import spatial_join
 from pyspark.sql import functions as F
 
-from test_spatial_join import brute, layer, rects
+from test_spatial_join import brute, layer
 
 
 def clustered(rng, n, near, far):
