@@ -48,6 +48,7 @@ def parcel_run(prior: DataFrame | None, raw_parcels: DataFrame, zoning: DataFram
         scored = scored.join(old, F.col("egrid") == F.col("_e"), "left")
         lost = F.col("dominant_zone_id").isNull()
         scored = scored.withColumns({c: F.when(lost, F.col(f"_old_{c}")).otherwise(F.col(c)) for c in zone}).drop("_e", *[f"_old_{c}" for c in zone])
+    scored = stage_table(scored)  # read by the state, the snapshot and the change log
     before = snapshots if snapshots is not None else C.snapshot_rows(scored.where(F.lit(False)), run_id, run_ts)
     found = (C.detect_changes(scored, before).withColumn("detected_at", ts)
              .withColumn("id", F.xxhash64(F.lit(run_id), "egrid")))
